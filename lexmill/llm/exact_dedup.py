@@ -40,15 +40,22 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     rows = docs.select(F.col(id_col).alias("doc_id"), digest.alias("text_sha256"), F.monotonically_increasing_id().alias("row_no"))
     rows = materialize(rows).withColumn("hash", short_hash(F.col("text_sha256")))
 
-    shared = materialize(rows.groupBy("hash").count().where("count > 1").select("hash"))
+    pick = F.max if keep == "largest" else F.min
+
+    def groups() -> DataFrame:  # of several members; a text that stands alone needs no row
+        sums = rows.groupBy("hash").agg(pick(F.struct("doc_id", "row_no")).alias("stays"), F.count("*").alias("group_size"))
+        return materialize(sums.where("group_size > 1"))
+
+    kept = groups()
     texts = docs.select(short_hash(digest).alias("hash"), text.alias("bytes"))
-    members = texts.join(small_or_shuffled(shared, shared.count()), "hash", "left_semi")
+    members = texts.join(small_or_shuffled(kept.select("hash"), kept.count()), "hash", "left_semi")
     variants = members.groupBy("hash", "bytes").agg(F.lit(1).alias("one")).groupBy("hash").agg(F.count("*").alias("texts"))
     collided = materialize(variants.where("texts > 1").select("hash", F.lit(True).alias("collided")))
     if n := collided.count():
         split = rows.join(small_or_shuffled(collided, n), "hash", "left")
         rows = split.withColumn("hash", F.when(F.col("collided"), F.concat("hash", "text_sha256")).otherwise(F.col("hash"))).drop("collided")
+        kept = groups()
 
-    pick = F.max if keep == "largest" else F.min
-    kept = rows.groupBy("hash").agg(pick(F.struct("doc_id", "row_no")).alias("stays"), F.count("*").alias("group_size"))
-    return rows.join(kept, "hash").select("doc_id", F.col("stays.doc_id").alias("keep_id"), "group_size", (F.col("row_no") == F.col("stays.row_no")).alias("kept"), "text_sha256")
+    joined = rows.join(small_or_shuffled(kept, kept.count()), "hash", "left")
+    alone = F.col("group_size").isNull()
+    return joined.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("stays.doc_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), (alone | (F.col("row_no") == F.col("stays.row_no"))).alias("kept"), "text_sha256")
