@@ -4,12 +4,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
+from .line_dedup import dedup_lines
 from .mixing import mix_plan
+from .ngram_join import near_duplicate_classes
+from .packing import pack_documents
 from .quality import judge_quality
+from .secrets import scan_secrets
+from .substring_dedup import remove_repeats
 from .url_filter import filter_urls
+from .warc import archive_dir, read_warc, write_warc
+
+TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
 
 #: Rules of the URL query: host, path, verdict.
 URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -19,6 +29,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER, capacity=1024, end_id=2)
+
+
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(_table(spark, sf_dir, "documents"), keep="largest")
 
@@ -32,16 +46,54 @@ def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    directory = archive_dir(spark)
+    write_warc(_table(spark, sf_dir, "pages"), directory, keep="largest", min_revisit_bytes=0)
+    return read_warc(spark, directory).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_lines(_table(spark, sf_dir, "documents"), counts=True).select("doc_id", "n_lines", "n_removed", "text")
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = scan_secrets(_table(spark, sf_dir, "documents"))
+
+    def joined(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["kind"].isin("assign", "access", "hex"))
+    return found.select("doc_id", count("assign"), count("access"), count("hex"), F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"), window=35)
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return filter_urls(_table(spark, sf_dir, "pages"), rules)
 
 
+def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    classes = near_duplicate_classes(_table(spark, sf_dir, "documents"), words_per_gram=4, threshold=(85, 100))
+    return classes.select("doc_id", "n_shingles", "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
     "op3_quality_rules": op3_quality_rules,
     "op4_mixing": op4_mixing,
+    "op5_warc": op5_warc,
+    "op6_line_dedup": op6_line_dedup,
+    "op7_secret_scan": op7_secret_scan,
+    "op8_substring_dedup": op8_substring_dedup,
     "op9_url_filter": op9_url_filter,
+    "op10_ngram_join": op10_ngram_join,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
