@@ -25,9 +25,16 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def materialize(df: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder and cut the lineage there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write the rows to the checkpoint folder and cut the lineage there.
+
+    A checkpointed table keeps the size estimate of the plan behind it, which
+    grows as a product in loops of joins; the rows are wrapped anew without it.
+    """
+    session = df.sparkSession
+    shared_dir(session)
+    done = df.checkpoint(eager=True)._jdf
+    rows = session._jsparkSession.internalCreateDataFrame(done.queryExecution().toRdd(), done.schema(), False)
+    return DataFrame(rows, session)
 
 
 def partitions(spark: SparkSession) -> int:
