@@ -2,44 +2,16 @@
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexmill.plans.staging import materialize, partitions, shared_dir, small_or_shuffled
+
+__all__ = ["materialize", "partitions", "shared_dir", "small_or_shuffled"]
+
 #: Words are separated by space and the control characters \x09-\x0D only.
 SPACES = r"[\x20\x09-\x0D]+"
 ASCII_UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-#: Most rows of a side that is broadcast; beyond it the same join is shuffled.
-BROADCAST_ROWS = 500_000
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The shared folder of spark.checkpoint.dir; a temporary one only for a local master."""
-    context = spark.sparkContext
-    found = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if not found:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        found = tempfile.mkdtemp(prefix="lexmill-")
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(found)
-    return found if ":" in found else f"file://{found}"
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Write the rows to the checkpoint folder and cut the lineage there."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
-
-
-def partitions(spark: SparkSession) -> int:
-    return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
-
-
-def small_or_shuffled(side: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast when the counted rows are few; otherwise leave a shuffled join."""
-    return F.broadcast(side) if rows <= BROADCAST_ROWS else side
 
 
 def lower_ascii(text: Column) -> Column:
