@@ -56,7 +56,7 @@ def dense_search(vectors: DataFrame, queries: DataFrame, k: int = TOP, *, vec_id
     for at in range(0, max(len(rows), 1), BLOCK):
         part = rows[at : at + BLOCK]
         ids = [r[0] for r in part]
-        asked = np.array([r[1] for r in part], dtype=np.float64).reshape(len(part), -1)
+        asked = np.array([r[1] for r in part], dtype=np.float64)
 
         def best(batches: Iterator[pa.RecordBatch], ids: list = ids, asked: np.ndarray = asked) -> Iterator[pa.RecordBatch]:
             for batch in batches:

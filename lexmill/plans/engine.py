@@ -11,6 +11,7 @@ from typing import Protocol
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexmill.functions import text as tx
 from lexmill.operators import bm25, chunk, dense, fusion, graph, lookup, normalize, select
@@ -75,7 +76,7 @@ def generate(df: DataFrame, model: Generator, prompt: str = "prompt", out: str =
             answers = model.generate(batch.column(prompt).to_pylist())
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(answers, pa.string())], names=[*batch.schema.names, out])
 
-    return df.mapInArrow(run, df.schema.add(out, "string"))
+    return df.mapInArrow(run, T.StructType([*df.schema.fields, T.StructField(out, T.StringType())]))
 
 
 def index_rows(chunks: DataFrame) -> DataFrame:

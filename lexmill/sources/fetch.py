@@ -9,6 +9,7 @@ from urllib import error, request
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexmill.functions import text as tx
 
@@ -16,6 +17,8 @@ RETRIES, BACKOFF, TIMEOUT = 3, 1.5, 30
 # What marks a page as invalid within its first characters.
 BAD_MARKERS, BAD_WITHIN = ["không tìm thấy", "not found", "404", "internal server error"], 5000
 
+LOGS = T.ArrayType(T.StructType([T.StructField("url", T.StringType()), T.StructField("ok", T.BooleanType()), T.StructField("error", T.StringType())]))
+
 Transport = Callable[[str, float], tuple[int, str]]
 
 
@@ -86,5 +89,5 @@ def fetch_first_ok(rows: DataFrame, urls: str = "urls", transport: Transport = h
                 logs.append(seen)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(pages, pa.string()), pa.array(sources, pa.string()), pa.array(logs, log)], names=[*batch.schema.names, "html", "source_url", "logs"])
 
-    schema = rows.schema.add("html", "string").add("source_url", "string").add("logs", "array<struct<url:string,ok:boolean,error:string>>")
+    schema = T.StructType([*rows.schema.fields, T.StructField("html", T.StringType()), T.StructField("source_url", T.StringType()), T.StructField("logs", LOGS)])
     return rows.mapInArrow(run, schema)
