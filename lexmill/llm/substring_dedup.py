@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import partitions
-from .wordhash import U64, gram_hashes, row_chunks, text_buffers, word_hashes, words
+from .wordhash import U64, gram_hashes, mix64, row_chunks, text_buffers, word_hashes, words
 
 WINDOW, ANCHOR = 35, 12
 LABEL_BYTES = 6
@@ -107,6 +107,7 @@ def _emit(window: int, anchor: int):
                 sent = np.where(later, 0, sizes)
                 begin = np.searchsorted(rows, np.arange(b - a))  # first word of each row
                 source = pa.array(rows[first] + a)
+                anchors = np.where(later, mix64(anchors + first.astype(U64)), anchors)  # these carry no labels and may go anywhere
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(anchors.view(np.int64)), batch.column(0).take(source), batch.column(1).take(source), pa.array((first - begin[rows[first]]).astype(np.int32)), pa.array(sizes.astype(np.int32)), pa.array(known), _binary(labels[_spread(first, sent)], sent)],
                     names=["anchor", "doc_id", "check", "first", "size", "known", "labels"],
