@@ -15,7 +15,9 @@ So space is first cut where d is informative, then by pivots:
 3. Inside a region pivots are taken in turn: a pivot owns the free points
    within r = 1 - threshold (its cell); points up to 2r from it are its window,
    the only others that can be linked into the cell by the triangle inequality.
-   Window points not yet in the pivot's component are compared exactly.
+   Window points not yet in the pivot's component are compared exactly.  A
+   large region first has one round of pivots over the cluster, after which
+   only points outside finished cells go to the task that solves the region.
 
 The order and the sample change the cost, never the result.
 
@@ -46,6 +48,8 @@ EXTRA_PERCENT = 12
 #: Documents of the sample for the global order; an n-gram that so many of them hold comes last.
 SAMPLE_DOCS, FREQUENT_DOCS, FREQUENT_GRAMS = 4000, 8, 200_000
 TEXT_CHUNK = 4_000_000
+#: A region of more points or n-grams than this is thinned by about so many pivots first.
+REGION_POINTS, REGION_GRAMS, PIVOTS = 1000, 4_000_000, 16
 
 
 def gram_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -205,19 +209,28 @@ class _Region:
 
 
 def _solve_regions(n: int, num: int, den: int):
-    """Rows (region, node, text), region-sorted -> (node, component)."""
+    """Rows (region, node, text or grams), region-sorted -> links (a, b)."""
 
     def solve(nodes: list[int], sets: list[np.ndarray]) -> pa.RecordBatch:
         roots = _Region(sets, num, den).solve() if len(sets) > 1 else np.zeros(len(sets), dtype=np.int64)
         numbers = np.array(nodes, dtype=np.int64)
         return pa.RecordBatch.from_arrays([pa.array(numbers), pa.array(numbers[roots])], names=["a", "b"])
 
+    def sets_of(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
+        if "text" in batch.schema.names:
+            yield from _sets_of(batch.column("text"), n)
+            return
+        column = batch.column("grams")
+        flat, bounds = column.values.to_numpy(zero_copy_only=False).view(U64), column.offsets.to_numpy()
+        for i in range(len(column)):
+            yield i, flat[bounds[i] : bounds[i + 1]]
+
     def regions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, nodes, sets = None, [], []
         for batch in batches:
             region, node = batch.column("region").to_pylist(), batch.column("node").to_pylist()
-            for i, grams in _sets_of(batch.column("text"), n):
-                if nodes and node[i] == nodes[-1]:
+            for i, grams in sets_of(batch):
+                if nodes and region[i] == current and node[i] == nodes[-1]:
                     continue  # a repeated row
                 if region[i] != current and nodes:
                     yield solve(nodes, sets)
@@ -231,12 +244,56 @@ def _solve_regions(n: int, num: int, den: int):
     return regions
 
 
+def _links_inside(rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
+    placed = rows.repartition(partitions(rows.sparkSession), "region").sortWithinPartitions("region", "node")
+    return placed.mapInArrow(_solve_regions(n, num, den), "a long, b long").where("a <> b").distinct()
+
+
+def _thin(big: DataFrame, n: int, num: int, den: int) -> tuple[DataFrame, DataFrame]:
+    """Pivot links of large regions (region, node, text), and the points that still need a look.
+
+    One round over the cluster: some points of each region are pivots and own
+    the points linked to them.  A cell is done when every point of its window
+    (up to 2r from the pivot) is in the pivot's component already; what remains
+    are points without a pivot, the other cells and their windows.
+    """
+
+    def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [s for _, s in _sets_of(batch.column("text"), n)]
+            offsets = np.concatenate([[0], np.cumsum([len(s) for s in sets])]).astype(np.int32)
+            flat = np.concatenate(sets).view(np.int64) if sets else np.zeros(0, dtype=np.int64)
+            yield pa.RecordBatch.from_arrays([batch.column("region"), batch.column("node"), pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))], names=["region", "node", "grams"])
+
+    points = materialize(big.select("region", "node", "text").mapInArrow(hashed, "region long, node long, grams array<long>").dropDuplicates(["node"]))
+    sizes = points.groupBy("region").agg(F.count("*").alias("points"), F.min("node").alias("least"))
+    chosen = (F.pmod(F.xxhash64("node"), F.col("points")) < PIVOTS) | (F.col("node") == F.col("least"))
+    pivots = materialize(points.join(F.broadcast(sizes) if sizes.count() <= 10_000 else sizes, "region").where(chosen).select("region", F.col("node").alias("pivot"), F.col("grams").alias("pivot_grams")))
+    pairs = points.join(small_or_shuffled(pivots, pivots.count() * 100), "region")
+    shared = F.size(F.array_intersect("grams", "pivot_grams")).cast("long")
+    pairs = pairs.select("region", "node", "pivot", shared.alias("shared"), (F.size("grams") + F.size("pivot_grams") - shared).alias("union")).where("shared > 0")
+    linked = den * F.col("shared") >= num * F.col("union")
+    near = materialize(pairs.withColumn("linked", linked).where(F.col("linked") | (den * F.col("shared") >= (2 * num - den) * F.col("union"))).select("region", "node", "pivot", "linked"))
+    links = near.where("linked and node <> pivot").select(F.col("node").alias("a"), F.col("pivot").alias("b"))
+    cells = near.where("linked").groupBy("region", "node").agg(F.min("pivot").alias("pivot"))
+    of = connected_components(links)
+    window = near.where("not linked").join(of.withColumnRenamed("component", "of_node"), "node", "left")
+    window = window.join(of.select(F.col("node").alias("pivot"), F.col("component").alias("of_pivot")), "pivot", "left")
+    window = materialize(window.where(F.coalesce("of_node", "node") != F.coalesce("of_pivot", "pivot")).select("region", "pivot", "node"))
+    loose = points.select("region", "node").join(cells, ["region", "node"], "left_anti")
+    open_cells = cells.join(window.select("region", "pivot").distinct(), ["region", "pivot"], "left_semi").select("region", "node")
+    remain = materialize(loose.unionByName(open_cells).unionByName(window.select("region", "node")).distinct())
+    return links, points.join(small_or_shuffled(remain, remain.count()), ["region", "node"], "left_semi")
+
+
 def near_duplicate_classes(docs: DataFrame, *, words_per_gram: int = 5, threshold: tuple[int, int] = (80, 100), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, check, n_shingles, component_id.
 
     ``check`` tells rows of the same id with different texts apart.
     """
     num, den = threshold
+    if not den < 2 * num <= 2 * den:
+        raise ValueError("the threshold must be over 1/2 and at most 1")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).alias("check"), F.col(text_col).alias("text"))
     points = _point_table(rows, words_per_gram, num, den)
 
@@ -257,12 +314,18 @@ def near_duplicate_classes(docs: DataFrame, *, words_per_gram: int = 5, threshol
     regions = connected_components(pairs)
 
     # only points that may have a link travel with their texts
-    members = regions.join(edges.select("node"), "node", "left_semi").join(points.select("node", "doc_id", "check"), "node")
-    members = materialize(members.groupBy("doc_id", "check").agg(F.min("node").alias("node"), F.min("component").alias("region")))
+    members = regions.join(edges.select("node"), "node", "left_semi").join(points.select("node", "doc_id", "check", "size"), "node")
+    members = materialize(members.groupBy("doc_id", "check").agg(F.min("node").alias("node"), F.min("component").alias("region"), F.min("size").alias("size")))
     there = members.select(F.col("doc_id").alias("_id"), F.col("check").alias("_check"), "node", "region")
-    texts = rows.join(small_or_shuffled(there, members.count()), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("check") == F.col("_check")))
-    placed = texts.select("region", "node", "text").repartition(partitions(docs.sparkSession), "region").sortWithinPartitions("region", "node")
-    links = placed.mapInArrow(_solve_regions(words_per_gram, num, den), "a long, b long").where("a <> b").distinct()
+    texts = rows.join(small_or_shuffled(there, members.count()), F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("check") == F.col("_check"))).select("region", "node", "text")
+    large = materialize(members.groupBy("region").agg(F.count("*").alias("points"), F.sum("size").alias("grams")).where((F.col("points") > REGION_POINTS) | (F.col("grams") > REGION_GRAMS)).select("region"))
+    if n_large := large.count():
+        side = small_or_shuffled(large, n_large)
+        links = _links_inside(texts.join(side, "region", "left_anti"), words_per_gram, num, den)
+        settled, open_points = _thin(texts.join(side, "region", "left_semi"), words_per_gram, num, den)
+        links = links.unionByName(settled).unionByName(_links_inside(open_points, words_per_gram, num, den))
+    else:
+        links = _links_inside(texts, words_per_gram, num, den)
 
     # a component's id is the least document id of its points; equal sets share a point
     found = connected_components(links)
@@ -277,6 +340,8 @@ def near_duplicate_classes(docs: DataFrame, *, words_per_gram: int = 5, threshol
 def drop_near_duplicates(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """The documents of which the component has no smaller id, with all columns."""
     classes = near_duplicate_classes(docs, id_col=id_col, text_col=text_col, **options)
-    gone = materialize(classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_id"), F.col("check").alias("_check")).distinct())
-    check = F.xxhash64(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"))
-    return docs.join(small_or_shuffled(gone, gone.count()), F.col(f"`{id_col}`").eqNullSafe(F.col("_id")) & (check == F.col("_check")), "left_anti")
+    gone = materialize(classes.where(~F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("gone_id"), F.col("check").alias("gone_check")).distinct())
+    name, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), name.alias("id"), F.xxhash64(name, text).alias("check"))
+    kept = rows.join(small_or_shuffled(gone, gone.count()), F.col("id").eqNullSafe(F.col("gone_id")) & (F.col("check") == F.col("gone_check")), "left_anti")
+    return kept.select("row.*")
