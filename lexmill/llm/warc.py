@@ -121,10 +121,6 @@ def with_shards(records: DataFrame, shard_bytes: int) -> DataFrame:
             first, filled = first + cuts, 0
     if not starts:
         return records.withColumn("shard", F.lit(0))
-    table = F.array(*[F.struct(F.lit(starts.get(b, (0, 1))[0]).alias("first"), F.lit(starts.get(b, (0, 1))[1]).alias("cuts")) for b in range(max(starts) + 1)])
-    if max(starts) < 64:
-        place = F.element_at(table, bucket + 1)
-        return records.withColumn("_place", place).withColumn("shard", (F.col("_place.first") + F.pmod(F.crc32("sha1"), F.col("_place.cuts"))).cast("int")).drop("_place")
     lookup = records.sparkSession.createDataFrame([(b, *v) for b, v in starts.items()], "_bucket int, _first int, _cuts int")
     joined = records.withColumn("_bucket", bucket).join(F.broadcast(lookup), "_bucket")  # at most HISTOGRAM + 1 rows
     return joined.withColumn("shard", (F.col("_first") + F.pmod(F.crc32("sha1"), F.col("_cuts"))).cast("int")).drop("_bucket", "_first", "_cuts")
