@@ -120,10 +120,10 @@ def mix_documents(docs: DataFrame, **options) -> DataFrame:
     """The mixed corpus: every document as many times as the plan repeats it."""
     seed = options.get("seed", 17)
     plan = mix_plan(docs, **options)
-    table = materialize(plan.groupBy("source").agg(F.first("whole").alias("_whole"), F.first("last_u").alias("_last")).withColumnRenamed("source", "_source"))
-    side = small_or_shuffled(table, table.count())
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    taken = F.col("_whole") + F.coalesce((seeded_hash(F.col(options.get("id_col", "doc_id")), seed) <= F.col("_last")).cast("long"), F.lit(0))
-    joined = docs.join(side, F.col(options.get("source_col", "source")).eqNullSafe(F.col("_source")))
-    copies = joined.where(taken > 0).withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), taken)))
-    return copies.select(*columns)
+    table = materialize(plan.groupBy("source").agg(F.first("whole").alias("whole"), F.first("last_u").alias("last")).withColumnRenamed("source", "of"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")
+    name, source = F.col(f"`{options.get('id_col', 'doc_id')}`"), F.col(f"`{options.get('source_col', 'source')}`")
+    rows = docs.select(row, source.alias("source"), seeded_hash(name, seed).alias("u"))
+    joined = rows.join(small_or_shuffled(table, table.count()), F.col("source").eqNullSafe(F.col("of")))
+    taken = F.col("whole") + F.coalesce((F.col("u") <= F.col("last")).cast("long"), F.lit(0))
+    return joined.where(taken > 0).select("row", F.explode(F.sequence(F.lit(1).cast("long"), taken))).select("row.*")
