@@ -60,6 +60,15 @@ def fetch_page(url: str, transport: Transport = http_get, **options) -> tuple[st
     return body, None
 
 
+def looks_invalid(html: Column) -> Column:
+    """Whether a stored page is an error page, by the same markers."""
+    start = F.lower(F.substring(tx.text_or_empty(html), 1, BAD_WITHIN))
+    found = F.lit(False)
+    for marker in BAD_MARKERS:
+        found = found | start.contains(marker)
+    return found
+
+
 def candidate_urls(doc_id: Column, title: Column, url: Column, old_base: str, new_base: str) -> Column:
     """URLs to try in order: legacy ones for numeric ids, else given, slug and bare."""
     key, given = F.trim(tx.text_or_empty(doc_id)), F.trim(tx.text_or_empty(url))

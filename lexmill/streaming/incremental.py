@@ -20,6 +20,12 @@ def finished(rows: DataFrame, upstream: DataFrame, key: str = "qid") -> DataFram
     return rows.join(upstream.select(key).distinct(), key, "left_semi")
 
 
+def row_slice(rows: DataFrame, start: int = 0, limit: int | None = None, order: str = "ord") -> DataFrame:
+    """The rows from ``start`` on, at most ``limit`` of them, as a crawl is cut into runs."""
+    later = rows.orderBy(order).offset(start)
+    return later if limit is None else later.limit(limit)
+
+
 def append_pending(rows: DataFrame, path: str, key: str = "qid") -> int:
     """Append rows that the table at ``path`` lacks; a rerun adds nothing."""
     spark = rows.sparkSession

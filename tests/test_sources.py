@@ -92,6 +92,12 @@ def test_sinks(spark, tmp_path):
         readers.require_artifacts(spark, {"x": f"{base}/nothing"})
 
 
+def test_slices_and_page_check(spark):
+    rows = spark.createDataFrame([(i, "x" * 6000 + "404" if i else "Page NOT Found") for i in range(5)], "ord int, html string")
+    assert [r["ord"] for r in incremental.row_slice(rows, 1, 2).collect()] == [1, 2] and incremental.row_slice(rows, 3).count() == 2
+    assert [r[0] for r in rows.orderBy("ord").select(fetch.looks_invalid(F.col("html"))).collect()] == [True, False, False, False, False]
+
+
 def test_incremental(spark, tmp_path):
     rows = spark.createDataFrame([(1, "a"), (2, "b"), (2, "b")], "qid int, x string")
     path = f"file://{tmp_path}/t"
