@@ -80,7 +80,8 @@ def dedup_lines(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     text = F.col(f"row.`{text_col}`")
     keyed = docs.select(row.alias("row"), document_key(F.col(f"`{id_col}`"), F.col(f"`{text_col}`")).alias("_key"))
-    joined = keyed.join(small_or_shuffled(later, later.count()), "_key", "left")
+    places = later.agg(F.sum(F.size("_later"))).first()[0] or 0  # bounds what a broadcast would hold
+    joined = keyed.join(small_or_shuffled(later, places), "_key", "left")
     cut = joined.withColumn("_text", F.when(F.col("_later").isNull(), text).otherwise(_let(F.split(text, "\n"), lambda lines: F.array_join(_kept_lines(lines, F.col("_later")), "\n"))))
     lines = lambda t: F.coalesce(F.when(t == "", 0).otherwise(F.length(t) - F.length(F.replace(t, F.lit("\n"), F.lit(""))) + 1), F.lit(0)).cast("long")
     columns = [F.col("_text").alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
