@@ -47,7 +47,7 @@ from .wordhash import LOWER, U64, gram_hashes, mix64, row_bounds, row_chunks, te
 EXTRA_PERCENT = 12
 #: Documents of the sample for the global order; an n-gram that so many of them hold comes last.
 SAMPLE_DOCS, FREQUENT_DOCS, FREQUENT_GRAMS = 4000, 8, 200_000
-TEXT_CHUNK = 4_000_000
+TEXT_CHUNK = 2_000_000
 #: A region of more points or n-grams than this is thinned by about so many pivots first.
 REGION_POINTS, REGION_GRAMS, PIVOTS = 1000, 4_000_000, 16
 
