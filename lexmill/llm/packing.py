@@ -26,16 +26,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .common import materialize, small_or_shuffled
+from .tokens import CACHE_ENTRIES
 
 CAPACITY = 1024
 END_ID = 2
 #: Pieces that one salt of a length is meant to hold, and most salts of a length.
-SALT_PIECES, MAX_SALTS = 20_000, 4096
+SALT_PIECES, MAX_SALTS = 5_000, 4096
 
 PIECE_FIELDS = [T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())]
 
 
-def cut_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, end_id: int = END_ID, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def cut_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, end_id: int = END_ID, cache_entries: int = CACHE_ENTRIES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     end = np.uint32(end_id).tobytes()
@@ -43,13 +44,13 @@ def cut_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from lexmill.llm.tokens import encoder
 
-        encode = encoder(tokenizer_path).encode
+        encode = encoder(tokenizer_path, cache_entries).encode
         for whole in batches:
             for at in range(0, whole.num_rows, 256):
                 batch = whole.slice(at, 256)
                 row, piece, start, length, crc = [], [], [], [], []
-                for i, ids in enumerate(encode(batch.column(1).to_pylist())):
-                    ids += end
+                for i, text in enumerate(batch.column(1).to_pylist()):
+                    ids = encode(text) + end
                     total = len(ids) // 4
                     a, b, k = 0, (total - 1) % capacity + 1, 0
                     while a < total:
@@ -150,7 +151,11 @@ def pack_pieces(pieces: DataFrame, *, capacity: int = CAPACITY) -> DataFrame:
     return ranked.mapInArrow(place, schema)
 
 
-def pack_documents(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, end_id: int = END_ID, **columns: str) -> DataFrame:
-    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset."""
-    pieces = materialize(cut_pieces(docs, tokenizer_path, capacity=capacity, end_id=end_id, **columns))
+def pack_documents(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, end_id: int = END_ID, cache_entries: int = CACHE_ENTRIES, **columns: str) -> DataFrame:
+    """One row per piece: doc_id, piece, start, length, ids_crc32, sequence_id, offset.
+
+    ``cache_entries`` bounds the chunks that a worker keeps; more save time
+    where the workers' memory is not shared with other stages.
+    """
+    pieces = materialize(cut_pieces(docs, tokenizer_path, capacity=capacity, end_id=end_id, cache_entries=cache_entries, **columns))
     return pack_pieces(pieces, capacity=capacity)

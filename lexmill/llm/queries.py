@@ -30,7 +30,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER, capacity=1024, end_id=2)
+    return pack_documents(_table(spark, sf_dir, "documents"), TOKENIZER, capacity=1024, end_id=2, cache_entries=1_000_000)
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
