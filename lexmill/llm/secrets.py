@@ -36,7 +36,7 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LENGTH, ACCESS_LENGTH = 6, 20
 
-KEY = re.compile(r"(?<![A-Za-z0-9+/=])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])")
+KEY = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])")
 ENDPOINT = re.compile(r"""https?://[^\s"'<>]+""")
 #: What a text must hold to be scanned at all; keys and endpoints need an identifier anyway.
 ANY = r"(?i:password|passwd|secret|token|api_?key)[\"']? *[:=]|AKIA|[0-9a-f]{24}"
