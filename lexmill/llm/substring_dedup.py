@@ -11,6 +11,13 @@ twice are its deep internal nodes, the maximal repeats.  Runs that repeat
 inside one batch are found there, and only one of them is sent on, so a passage
 that a third of the corpus shares is one row per batch.
 
+An anchor that stands in unlike texts (boilerplate shorter than the window)
+would still gather all their windows in one group.  Anchors are therefore
+counted first on a sample of runs, and windows of those that hold more than
+``SPLIT_WINDOWS`` go out one a row, grouped by the anchor and the part of the
+label that is not shipped.  Split groups compare all 64 bits of a label, others
+48 bits among about ``SPLIT_WINDOWS`` windows at most.
+
 Words are runs of code points other than space and ``\\x09-\\x0D``, compared
 unchanged.  Every word covered by a repeated window goes, in all places.
 Defined cases: null and empty texts have no words; texts shorter than the
@@ -34,6 +41,8 @@ from .wordhash import U64, gram_hashes, mix64, row_chunks, text_buffers, word_ha
 
 WINDOW, ANCHOR = 35, 12
 LABEL_BYTES = 6
+#: Windows of an anchor above which its group is split, and one of how many runs is counted to find such anchors.
+SPLIT_WINDOWS, COUNTED = 65_536, 16
 #: Bytes of text hashed at a time, windows compared at a time.
 TEXT_CHUNK, GROUP_WINDOWS = 4_000_000, 2_000_000
 _PLACE_BITS = U64(24)
@@ -88,24 +97,59 @@ def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - sizes), sizes)
 
 
-def _emit(window: int, anchor: int):
+def split_keys(anchors: np.ndarray, labels: np.ndarray) -> np.ndarray:
+    """Group of a single window: its anchor and the bits of its label that ``_binary`` leaves out."""
+    return mix64(anchors ^ mix64((labels & U64((1 << (64 - 8 * LABEL_BYTES)) - 1)) + U64(1)))
+
+
+def _repeats(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which rows equal an earlier one, and which equal any other."""
+    order = np.lexsort(keys)
+    same = np.logical_and.reduce([k[order][1:] == k[order][:-1] for k in keys])
+    later = np.zeros(len(order), dtype=bool)
+    later[order[1:][same]] = True
+    known = later.copy()
+    known[order[:-1][same]] = True
+    return later, known
+
+
+def _runs(batch: pa.RecordBatch, window: int, anchor: int) -> Iterator[tuple]:
+    """Offset of the rows, begin of each row, rows of words, runs of a part of the batch, and which repeat in it."""
+    data, offsets = text_buffers(batch.column(2))
+    for a, b in row_chunks(offsets, TEXT_CHUNK):
+        starts, ends, rows = words(data, offsets[a : b + 1])
+        first, sizes, anchors, labels = anchor_runs(word_hashes(data, starts, ends), rows, window, anchor)
+        if len(first):
+            later, known = _repeats(sizes, labels[first + sizes - 1], labels[first])  # an equal run stands for the later ones
+            yield a, np.searchsorted(rows, np.arange(b - a)), rows, first, sizes, anchors, labels, later, known
+
+
+def _count(window: int, anchor: int):
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, _, _, first, sizes, anchors, labels, later, _ in _runs(batch, window, anchor):
+                drawn = mix64(np.arange(len(first), dtype=U64) + labels[first[0]]) % U64(COUNTED) == 0
+                drawn &= ~later
+                yield pa.RecordBatch.from_arrays([pa.array(anchors[drawn].view(np.int64)), pa.array(sizes[drawn])], names=["anchor", "windows"])
+
+    return count
+
+
+def _emit(window: int, anchor: int, split: np.ndarray):
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            data, offsets = text_buffers(batch.column(2))
-            for a, b in row_chunks(offsets, TEXT_CHUNK):
-                starts, ends, rows = words(data, offsets[a : b + 1])
-                first, sizes, anchors, labels = anchor_runs(word_hashes(data, starts, ends), rows, window, anchor)
-                if not len(first):
-                    continue
-                low, high = labels[first], labels[first + sizes - 1]
-                order = np.lexsort((sizes, high, low))
-                same = (low[order][1:] == low[order][:-1]) & (high[order][1:] == high[order][:-1]) & (sizes[order][1:] == sizes[order][:-1])
-                later = np.zeros(len(first), dtype=bool)
-                later[order[1:][same]] = True  # an equal run of this batch stands for it
-                known = later.copy()
-                known[order[:-1][same]] = True
+            for a, begin, rows, first, sizes, anchors, labels, later, known in _runs(batch, window, anchor):
+                wide = np.isin(anchors, split) & ~later
+                if wide.any():
+                    own = np.flatnonzero(wide)
+                    run, at = np.repeat(own, sizes[own]), _spread(first[own], sizes[own])
+                    again, twice = _repeats(labels[at], anchors[run])
+                    one = np.ones(len(at), dtype=sizes.dtype)
+                    first, sizes = np.concatenate([first[~wide], at]), np.concatenate([sizes[~wide], one])
+                    anchors = np.concatenate([anchors[~wide], split_keys(anchors[run], labels[at])])
+                    known = np.concatenate([known[~wide], known[run] | twice])
+                    later = np.concatenate([later[~wide], again])
                 sent = np.where(later, 0, sizes)
-                begin = np.searchsorted(rows, np.arange(b - a))  # first word of each row
                 source = pa.array(rows[first] + a)
                 anchors = np.where(later, mix64(anchors + first.astype(U64)), anchors)  # these carry no labels and may go anywhere
                 yield pa.RecordBatch.from_arrays(
@@ -183,20 +227,36 @@ def _find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield solve(pa.Table.from_batches(held))
 
 
-def repeated_windows(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
-    """Runs (doc_id, check, first, size) of repeated windows of a table doc_id, check, text."""
-    kind = docs.schema["doc_id"].dataType
-    place = [T.StructField("doc_id", kind), T.StructField("check", T.IntegerType()), T.StructField("first", T.IntegerType()), T.StructField("size", T.IntegerType())]
+def split_anchors(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, split_windows: int = SPLIT_WINDOWS) -> np.ndarray:
+    """Anchors of more than ``split_windows`` windows, sorted.
+
+    One that stands in half as many by the sample counts too, so that hardly
+    one is missed; the list is at most twice the corpus's windows over the bound.
+    """
+    counted = docs.mapInArrow(_count(window, anchor), "anchor long, windows long").groupBy("anchor").agg(F.sum("windows").alias("windows"))
+    found = counted.where(F.col("windows") * (2 * COUNTED) >= split_windows).select("anchor").collect()
+    return np.sort(np.array([r[0] for r in found], dtype=np.int64).view(U64))
+
+
+def sent_runs(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, split_windows: int = SPLIT_WINDOWS) -> DataFrame:
+    """Runs with their group (anchor) and labels; single windows where a group is split."""
+    split = split_anchors(docs, window=window, anchor=anchor, split_windows=split_windows)
+    place = [docs.schema["doc_id"], T.StructField("check", T.IntegerType()), T.StructField("first", T.IntegerType()), T.StructField("size", T.IntegerType())]
     rows = T.StructType([T.StructField("anchor", T.LongType()), *place, T.StructField("known", T.BooleanType()), T.StructField("labels", T.BinaryType())])
-    sent = docs.mapInArrow(_emit(window, anchor), rows)
+    return docs.mapInArrow(_emit(window, anchor, split), rows)
+
+
+def repeated_windows(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, split_windows: int = SPLIT_WINDOWS) -> DataFrame:
+    """Runs (doc_id, check, first, size) of repeated windows of a table doc_id, check, text."""
+    sent = sent_runs(docs, window=window, anchor=anchor, split_windows=split_windows)
     grouped = sent.repartition(partitions(docs.sparkSession), "anchor").sortWithinPartitions("anchor")
-    return grouped.mapInArrow(_find, T.StructType(place))
+    return grouped.mapInArrow(_find, sent.select("doc_id", "check", "first", "size").schema)
 
 
-def remove_repeats(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, *, window: int = WINDOW, anchor: int = ANCHOR, split_windows: int = SPLIT_WINDOWS, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
     """One row per document: doc_id, n_words, n_removed, kept_sha256 (and kept text)."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).bitwiseAND(F.lit(0x7FFFFFFF)).cast("int").alias("check"), F.col(text_col).alias("text"))
-    runs = repeated_windows(rows, window=window, anchor=anchor).groupBy("doc_id", "check").agg(F.collect_list(F.struct("first", "size")).alias("runs"))
+    runs = repeated_windows(rows, window=window, anchor=anchor, split_windows=split_windows).groupBy("doc_id", "check").agg(F.collect_list(F.struct("first", "size")).alias("runs"))
     runs = runs.select(F.col("doc_id").alias("_id"), F.col("check").alias("_check"), F.col("runs"))
     joined = rows.join(runs, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("check") == F.col("_check")), "left").select("doc_id", "text", F.col("runs.first").alias("first"), F.col("runs.size").alias("size"))
     fields = [T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("kept_sha256", T.StringType())]

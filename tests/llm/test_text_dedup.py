@@ -14,7 +14,7 @@ from lexmill.llm import ngram_join
 from lexmill.llm.components import connected_components
 from lexmill.llm.line_dedup import dedup_lines
 from lexmill.llm.ngram_join import drop_near_duplicates, near_duplicate_classes
-from lexmill.llm.substring_dedup import remove_repeats
+from lexmill.llm.substring_dedup import LABEL_BYTES, remove_repeats, sent_runs, split_keys
 from lexmill.llm.wordhash import gram_hashes, text_buffers, word_hashes, words
 
 
@@ -65,6 +65,29 @@ def test_substrings_at_random(spark):
     assert isinstance(text, str)
 
 
+def test_boilerplate_in_unlike_texts_is_split(spark):
+    rnd = random.Random(11)
+    plate = prose(rnd, 30)
+    rows = [(i, f"{prose(rnd, rnd.randint(20, 40))} {plate} {prose(rnd, rnd.randint(20, 40))}") for i in range(300)]
+    rows += [(300 + i, f"{rows[i][1]} {prose(rnd, 5)}") for i in range(0, 300, 3)]  # repeats that cross the boilerplate
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    docs = df.selectExpr("doc_id", "cast(0 as int) as check", "text")
+
+    def largest(split):
+        windows = sent_runs(docs, split_windows=split).selectExpr("anchor", f"length(labels) div {LABEL_BYTES} as n").groupBy("anchor").sum("n")
+        return windows.selectExpr("max(`sum(n)`)").first()[0]
+
+    assert largest(10**9) > 1500 and largest(500) <= 500
+    want = sorted(substring_removal(rows, 35))
+    for split in (1, 500):
+        assert sorted(tuple(r) for r in remove_repeats(df, split_windows=split).collect()) == want
+
+
+def test_split_windows_differ_by_the_bits_left_out():
+    labels = np.array([0x1234567890AB0000, 0x1234567890AB0001], dtype=np.uint64)
+    assert len(set(split_keys(np.full(2, 7, dtype=np.uint64), labels).tolist())) == 2
+
+
 @pytest.mark.parametrize(("n", "num", "den"), [(4, 85, 100), (5, 80, 100)])
 def test_near_duplicates(odd_docs, odd_rows, no_docs, n, num, den):
     got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicate_classes(odd_docs, words_per_gram=n, threshold=(num, den)).collect()}
