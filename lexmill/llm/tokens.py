@@ -6,7 +6,7 @@ there and each chunk (with its leading space) is encoded once per worker and
 kept.  Inside a chunk of letters, digits and symbols the word pattern only cuts
 where no merge exists, so such chunks go to the model at once; chunks with an
 apostrophe go through the whole tokenizer, and texts in which a cut would touch
-other white space are encoded whole.
+other white space, or that hold an added token literally, are encoded whole.
 """
 
 from __future__ import annotations
@@ -44,7 +44,8 @@ class ChunkEncoder(dict):
 
         super().__init__()
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        # found in the text before the word pattern, so a cut could go through one
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.model = self.tokenizer.model
         self.tokenize = self.model.tokenize
         self.letters = _byte_letters()
@@ -74,6 +75,9 @@ class ChunkEncoder(dict):
         return ids
 
     def encode(self, text: str) -> bytes:
+        for content in self.added:
+            if content in text:
+                return self._whole(text)
         first, *rest = text.split(" ")
         try:
             if not rest:

@@ -85,6 +85,14 @@ def test_ids_are_those_of_whole_texts():
         assert encoder.encode(text) == b"".join(i.to_bytes(4, "little") for i in ids), text
 
 
+def test_added_tokens_keep_their_id():
+    plain, encoder = Tokenizer.from_file(PATH), ChunkEncoder(PATH)
+    assert plain.encode("one <|endoftext|> two", add_special_tokens=False).ids == [505, 220, 50256, 734]
+    for text in ["one <|endoftext|> two", "<|endoftext|>", "a<|endoftext|>b c", "it's <|endoftext|><|endoftext|>\n x", "one <|endoftext |> two", "é  <|endoftext|>"]:
+        ids = plain.encode(text, add_special_tokens=False).ids
+        assert encoder.encode(text) == b"".join(i.to_bytes(4, "little") for i in ids), text
+
+
 def test_no_token_spans_two_words_of_the_pattern():
     """What lets a chunk go to the model at once: every entry is one match of the word pattern."""
     import regex
