@@ -221,13 +221,22 @@ def answer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("qid", "rank", "id", "score", "answer_head")
 
 
-def rule_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _rule_plan(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
     questions = _t(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.concat("text", F.lit(" "), _code(F.col("item_id"))).alias("question"))
-    plans = _documents(spark, sf_dir).where("n_chars < 400").select((F.col("doc_id") % 50).alias("qid"), F.col("lang").alias("query_expansion"), F.concat("source", F.lit(" "), _code(F.col("doc_id"))).alias("hyde_answer"), F.col("doc_id").alias("ord"))
+    plans = docs.select((F.col("doc_id") % 50).alias("qid"), F.col("lang").alias("query_expansion"), F.concat("source", F.lit(" "), _code(F.col("doc_id"))).alias("hyde_answer"), F.col("doc_id").alias("ord"))
     made = graph.rule_plans(questions, plans)
     return made.select("qid", F.array_join("queries", "|").alias("queries"), F.array_join("must_terms", " ").alias("terms"), F.array_join("legal_codes", ",").alias("codes"), "hyde_answer")
 
 
+def rule_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _rule_plan(spark, sf_dir, _documents(spark, sf_dir).where("n_chars < 400"))
+
+
+def rule_plan_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expansions of all documents."""
+    return _rule_plan(spark, sf_dir, _documents(spark, sf_dir))
+
+
 def _coded_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("doc_id")
     text = F.concat(F.lit("theo "), _code(k), F.lit(" va "), F.lower(_code(k * 3 + 1)), F.lit(" "), F.col("lang"))
@@ -242,14 +251,23 @@ def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.mention_edges(_coded_chunks(spark, sf_dir))
 
 
-def relation_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _relation_enrich(spark: SparkSession, sf_dir: str, related: DataFrame) -> DataFrame:
     k = F.col("doc_id")
     articles = _documents(spark, sf_dir).select(F.col("source").alias("doc_id"), k.cast("string").alias("article_no"), F.concat(F.lit("theo "), _code(k % 60), F.lit(" va "), _code(k % 45 + 1)).alias("article_text"))
-    groups = _documents(spark, sf_dir).where("n_chars < 600").select(F.col("source").alias("doc_id"), F.lit(graph.RELATION_GROUPS[0]).alias("relation_group"), F.create_map((k % 20).cast("string"), F.array(F.struct(k.cast("string").alias("id"), F.concat(F.lit("Văn bản "), _code(k % 60)).alias("name")))).alias("items"))
+    groups = related.select(F.col("source").alias("doc_id"), F.lit(graph.RELATION_GROUPS[0]).alias("relation_group"), F.create_map((k % 20).cast("string"), F.array(F.struct(k.cast("string").alias("id"), F.concat(F.lit("Văn bản "), _code(k % 60)).alias("name")))).alias("items"))
     relations = graph.relation_rows(groups, "items", "http://host")
     return graph.enrich_with_relations(articles, relations).select("doc_id", "article_no", "quan_he", "id", "matched_so_hieu", "url")
 
 
+def relation_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _relation_enrich(spark, sf_dir, _documents(spark, sf_dir).where("n_chars < 600"))
+
+
+def relation_enrich_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Relations of all documents."""
+    return _relation_enrich(spark, sf_dir, _documents(spark, sf_dir))
+
+
 def row_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _documents(spark, sf_dir).withColumns({"status": _pick(STATUSES, F.col("doc_id")), "answer": F.when(F.col("doc_id") % 11 == 0, F.concat("lang", F.lit(" 中文"))).otherwise(F.col("lang"))})
     return normalize.drop_expired(rows).where(F.length("text") >= 80).where(~tx.has_cjk(F.col("answer"))).select("doc_id", "status", "answer")
@@ -296,6 +314,6 @@ def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ALL = [
     norm_fold, legal_ids, title_flags, citation_keys, file_names, tokens_lookup, tokens_plan, tokens_search, doc_last_wins, dedupe_text_first, dedupe_two_key, normalized_documents,
     chunk_pack, article_split, bm25_topk, bm25_phrases, dense_topk, hybrid_rrf, rerank_adjust, capped_select_variants, evidence_caps, result_assembly, variant_summary, context_blocks,
-    answer_lookup, rule_plan, graph_nodes, graph_edges, relation_enrich, row_filters, resume_pending, url_extract, json_props, unique_keys, html_title_text, html_units, html_file_links, daily_events,
+    answer_lookup, rule_plan, rule_plan_all, graph_nodes, graph_edges, relation_enrich, relation_enrich_all, row_filters, resume_pending, url_extract, json_props, unique_keys, html_title_text, html_units, html_file_links, daily_events,
 ]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
