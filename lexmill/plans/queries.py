@@ -182,9 +182,18 @@ def capped_select_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.capped(_ranking(spark, sf_dir), select.variants(spark)).select("qid", "variant", "art_no", "citation", "doc")
 
 
+def _evidence_caps(spark: SparkSession, used: DataFrame) -> DataFrame:
+    return select.capped(used, select.variants(spark), distinct=False).select("qid", "variant", "art_no", "citation", "doc")
+
+
 def evidence_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
     used = _ranking(spark, sf_dir).withColumn("pos", F.row_number().over(bm25.Window.partitionBy("qid").orderBy("pos"))).where("pos <= 12")
-    return select.capped(used, select.variants(spark), distinct=False).select("qid", "variant", "art_no", "citation", "doc")
+    return _evidence_caps(spark, used)
+
+
+def evidence_caps_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole rankings."""
+    return _evidence_caps(spark, _ranking(spark, sf_dir))
 
 
 def _assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -214,13 +223,22 @@ def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", "question", "answer", none.alias("relevant_docs"), none.alias("relevant_articles"))
 
 
-def answer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _answer_lookup(spark: SparkSession, sf_dir: str, stored: DataFrame) -> DataFrame:
     questions = _bm25_queries(spark, sf_dir).select("qid", F.col("text").alias("question"))
-    exact = _results(spark, sf_dir).where("id % 10 = 0 and question <> ''").select((F.col("id") + 1_000_000).alias("qid"), F.upper("question").alias("question"))  # repeats of stored questions
+    exact = stored.where("question <> ''").select((F.col("id") + 1_000_000).alias("qid"), F.upper("question").alias("question"))  # repeats of stored questions
     found = lookup.answer_candidates(lookup.prepare_rows(_results(spark, sf_dir)), questions.unionByName(exact))
     return found.select("qid", "rank", "id", "score", "answer_head")
 
 
+def answer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _answer_lookup(spark, sf_dir, _results(spark, sf_dir).where("id % 10 = 0"))
+
+
+def answer_lookup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Repeats of all stored questions."""
+    return _answer_lookup(spark, sf_dir, _results(spark, sf_dir))
+
+
 def _rule_plan(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
     questions = _t(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.concat("text", F.lit(" "), _code(F.col("item_id"))).alias("question"))
     plans = docs.select((F.col("doc_id") % 50).alias("qid"), F.col("lang").alias("query_expansion"), F.concat("source", F.lit(" "), _code(F.col("doc_id"))).alias("hyde_answer"), F.col("doc_id").alias("ord"))
@@ -313,7 +331,7 @@ def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = [
     norm_fold, legal_ids, title_flags, citation_keys, file_names, tokens_lookup, tokens_plan, tokens_search, doc_last_wins, dedupe_text_first, dedupe_two_key, normalized_documents,
-    chunk_pack, article_split, bm25_topk, bm25_phrases, dense_topk, hybrid_rrf, rerank_adjust, capped_select_variants, evidence_caps, result_assembly, variant_summary, context_blocks,
-    answer_lookup, rule_plan, rule_plan_all, graph_nodes, graph_edges, relation_enrich, relation_enrich_all, row_filters, resume_pending, url_extract, json_props, unique_keys, html_title_text, html_units, html_file_links, daily_events,
+    chunk_pack, article_split, bm25_topk, bm25_phrases, dense_topk, hybrid_rrf, rerank_adjust, capped_select_variants, evidence_caps, evidence_caps_all, result_assembly, variant_summary, context_blocks,
+    answer_lookup, answer_lookup_all, rule_plan, rule_plan_all, graph_nodes, graph_edges, relation_enrich, relation_enrich_all, row_filters, resume_pending, url_extract, json_props, unique_keys, html_title_text, html_units, html_file_links, daily_events,
 ]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from lexmill.operators import graph
+from pyspark.sql import functions as F
+from test_operators import greedy_caps
+
+from lexmill.functions.tokens import lookup_tokens
+from lexmill.operators import graph, lookup, select
 from lexmill.plans import queries
 
 
@@ -34,3 +38,32 @@ def test_relations_of_all_documents(spark, sf_dir):
             if number and a["source"] == r["source"] and number in {code(k).replace("Đ", "D") for k in (a["doc_id"] % 60, a["doc_id"] % 45 + 1)}:
                 want.append((r["source"], str(a["doc_id"]), graph.RELATIONS.get(kind, kind), str(r["doc_id"]), number, f"http://host/--{r['doc_id']}"))
     assert sorted(tuple(r) for r in queries.relation_enrich_all(spark, sf_dir).collect()) == sorted(want)
+
+
+def test_caps_over_whole_rankings(spark, sf_dir):
+    nation = {r["c_custkey"]: r["c_nationkey"] for r in queries._t(spark, sf_dir, "customer").collect()}
+    lists, got, want = {}, {}, {}
+    for r in sorted(queries._t(spark, sf_dir, "orders").collect(), key=lambda r: (-r["o_totalprice"], r["o_orderkey"])):
+        doc = f"D{r['o_custkey'] % 7}"
+        lists.setdefault(nation[r["o_custkey"]], []).append((f"{doc}|{r['o_orderkey'] % 5}", doc))
+    for q, rows in lists.items():
+        for name, a, d, p in select.VARIANTS:
+            want[q, name] = greedy_caps(rows, a, d, p, False)
+    for r in sorted(queries.evidence_caps_all(spark, sf_dir).collect(), key=lambda r: r["art_no"]):
+        got.setdefault((r["qid"], r["variant"]), []).append(r["citation"])
+    assert got == want
+
+
+def test_lookup_of_all_stored_questions(spark, sf_dir):
+    stored = queries._results(spark, sf_dir)
+    rows = lookup.prepare_rows(stored).select("id", "exact", "tokens").collect()
+    asked = [(r["item_id"], r["text"]) for r in queries._t(spark, sf_dir, "benchmark").collect()]
+    asked += [(r["id"] + 1_000_000, r["question"].upper()) for r in stored.collect() if r["question"]]
+    tokens = {r["qid"]: r["t"] for r in spark.createDataFrame(asked, "qid long, text string").select("qid", lookup_tokens(F.col("text"), lookup.QUERY_TOKENS).alias("t")).collect()}
+    want = {}
+    for qid, text in asked:
+        query, own = " ".join(text.split()).lower(), set(tokens[qid])
+        scores = sorted((-(1.0 if r["exact"] == query else len(own & set(r["tokens"])) / max(1, len(own))), r["id"]) for r in rows)
+        want |= {(qid, k + 1): (x, round(-s, 5)) for k, (s, x) in enumerate(scores[:5])}
+    assert len(asked) > len(rows)
+    assert {(r["qid"], r["rank"]): (r["id"], r["score"]) for r in queries.answer_lookup_all(spark, sf_dir).collect()} == want
