@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 
 from .common import materialize, partitions, small_or_shuffled
 from .components import connected_components
-from .wordhash import LOWER, U64, gram_hashes, mix64, row_bounds, row_chunks, text_buffers, word_hashes, words
+from .wordhash import LOWER, U64, gram_hashes, row_bounds, row_chunks, text_buffers, word_hashes, words
 
 #: How much longer than the prefix filter's a prefix is, in hundredths of the set.
 EXTRA_PERCENT = 12
@@ -66,8 +66,8 @@ def gram_sets(data: np.ndarray, offsets: np.ndarray, n: int) -> tuple[np.ndarray
     counts = np.diff(bounds)
     short = np.flatnonzero((counts > 0) & (counts < n))
     if len(short):
-        whole = [mix64(np.bitwise_xor.reduce(hashes[a:b] * (U64(2) * np.arange(b - a, dtype=U64) + U64(3)), keepdims=True) + U64(b - a))[0] for a, b in zip(bounds[short], bounds[short + 1], strict=True)]
-        values, owner = np.concatenate([values, np.array(whole, dtype=U64)]), np.concatenate([owner, short])
+        whole = [gram_hashes(hashes[a:b], b - a) + U64(b - a) for a, b in zip(bounds[short], bounds[short + 1], strict=True)]
+        values, owner = np.concatenate([values, *whole]), np.concatenate([owner, short])
     order = np.lexsort((values, owner))
     values, owner = values[order], owner[order]
     new = np.ones(len(values), dtype=bool)

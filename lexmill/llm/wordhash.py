@@ -2,13 +2,15 @@
 
 Everything works on the UTF-8 bytes of a column: a word is a maximal run of
 bytes other than space and ``\\x09-\\x0D``, which for UTF-8 is the same as the
-regular expression ``[^\\x20\\x09-\\x0D]+`` on code points.  Hashes are 64-bit,
-position independent (prefix sums of a polynomial, all arithmetic mod 2**64)
-and finalised with an avalanche mix, so they agree between processes.
+regular expression ``[^\\x20\\x09-\\x0D]+`` on code points.  A word goes through
+an avalanche mix eight bytes at a time, one of more than ``LONG_WORD`` bytes
+through BLAKE2; n-grams are trees of such mixes.  No step is linear in the
+input, so no family of texts collides by its form, and all processes agree.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,14 +18,15 @@ import pyarrow as pa
 import pyarrow.compute as pc
 
 U64 = np.uint64
-_BASE_BYTE = 0x9E3779B97F4A7C15
-_BASE_WORD = 0xD1342543DE82EF95
-_MASK = (1 << 64) - 1
+#: Bytes of a word from which on BLAKE2 takes over.
+LONG_WORD = 64
+_LENGTH, _STEP = U64(0x9E3779B97F4A7C15), U64(0xD1342543DE82EF97)  # the second is 3 modulo 4, so swapped parts differ
 
 IS_SPACE = np.zeros(256, dtype=bool)
 IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[65:91] += 32
+_LANE_MASK = np.array([(1 << 8 * k) - 1 for k in range(9)], dtype=U64)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -35,27 +38,9 @@ def mix64(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> U64(31))
 
 
-_BYTE_VALUE = mix64(np.arange(1, 257, dtype=U64) * U64(_BASE_BYTE))
-
-
-class _Powers:
-    """Growing tables of base**i and base**-i mod 2**64 (base is odd)."""
-
-    def __init__(self, base: int) -> None:
-        self.base, self.inverse = base, pow(base, -1, 1 << 64)
-        self.up = self.down = np.ones(1, dtype=U64)
-
-    def upto(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if len(self.up) <= n:
-            size = max(n + 1, 1 << 16)
-            for name, base in (("up", self.base), ("down", self.inverse)):
-                table = np.full(size, base, dtype=U64)
-                table[0] = 1
-                setattr(self, name, np.multiply.accumulate(table))
-        return self.up, self.down
-
-
-_BYTE_POWERS, _WORD_POWERS = _Powers(_BASE_BYTE), _Powers(_BASE_WORD)
+def combine(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """Hash of two hashed parts in this order."""
+    return mix64(left * _STEP + right)
 
 
 def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
@@ -100,16 +85,25 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(offsets, starts, "right") - 1
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """64-bit hash of each word, from one prefix sum over the bytes spanned."""
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hash of each word; another seed gives an independent one."""
     if not len(starts):
         return np.zeros(0, dtype=U64)
     low, high = int(starts[0]), int(ends[-1])
-    up, down = _BYTE_POWERS.upto(high - low)
-    total = np.zeros(high - low + 1, dtype=U64)
-    np.cumsum(_BYTE_VALUE[data[low:high]] * up[: high - low], out=total[1:])
-    a, b = starts - low, ends - low
-    return mix64((total[b] - total[a]) * down[a] + (ends - starts).astype(U64) * U64(_BASE_WORD))
+    padded = np.concatenate([data[low:high], np.zeros(8, dtype=np.uint8)])
+    lanes = np.ndarray((high - low + 1,), dtype="<u8", buffer=padded, strides=(1,))  # eight bytes from every place
+    at, size = starts - low, ends - starts
+    hashes = mix64((lanes[at] & _LANE_MASK[np.minimum(size, 8)]) ^ mix64(np.array([seed + 1], dtype=U64))) + size.astype(U64) * _LENGTH
+    for step in range(8, LONG_WORD, 8):
+        more = np.flatnonzero(size > step)
+        if not len(more):
+            break
+        lane = lanes[at[more] + step] & _LANE_MASK[np.minimum(size[more] - step, 8)]
+        hashes[more] = combine(hashes[more], lane)
+    for i in np.flatnonzero(size > LONG_WORD).tolist():
+        digest = hashlib.blake2b(padded[at[i] : at[i] + size[i]].tobytes(), digest_size=8, salt=seed.to_bytes(8, "little")).digest()
+        hashes[i] = int.from_bytes(digest, "little")
+    return mix64(hashes)
 
 
 def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
@@ -117,10 +111,16 @@ def gram_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
     count = len(hashes) - n + 1
     if count <= 0:
         return np.zeros(0, dtype=U64)
-    up, down = _WORD_POWERS.upto(len(hashes))
-    total = np.zeros(len(hashes) + 1, dtype=U64)
-    np.cumsum(hashes * up[: len(hashes)], out=total[1:])
-    return mix64((total[n:] - total[:count]) * down[:count] + U64(n))
+    result, done, block, width = None, 0, hashes, 1
+    while True:
+        if n & width:
+            part = block[done : done + count]
+            result = part if result is None else combine(result, part)
+            done += width
+        if 2 * width > n:
+            return result
+        block = combine(block[: len(block) - width], block[width:])
+        width *= 2
 
 
 def row_bounds(rows: np.ndarray, n_rows: int) -> np.ndarray:

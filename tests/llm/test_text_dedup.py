@@ -10,11 +10,11 @@ import pytest
 from brute import line_removal, near_duplicates, substring_removal
 from conftest import prose
 
-from lexmill.llm import ngram_join
+from lexmill.llm import ngram_join, substring_dedup
 from lexmill.llm.components import connected_components
 from lexmill.llm.line_dedup import dedup_lines
 from lexmill.llm.ngram_join import drop_near_duplicates, near_duplicate_classes
-from lexmill.llm.substring_dedup import LABEL_BYTES, remove_repeats, sent_runs, split_keys
+from lexmill.llm.substring_dedup import remove_repeats, split_anchors
 from lexmill.llm.wordhash import gram_hashes, text_buffers, word_hashes, words
 
 
@@ -65,27 +65,76 @@ def test_substrings_at_random(spark):
     assert isinstance(text, str)
 
 
-def test_boilerplate_in_unlike_texts_is_split(spark):
+def located(df):
+    return df.selectExpr("xxhash64(doc_id, text) as loc", "cast(0 as int) as check", "doc_id", "text")
+
+
+def test_boilerplate_in_unlike_texts_has_longer_prefixes(spark):
     rnd = random.Random(11)
     plate = prose(rnd, 30)
     rows = [(i, f"{prose(rnd, rnd.randint(20, 40))} {plate} {prose(rnd, rnd.randint(20, 40))}") for i in range(300)]
     rows += [(300 + i, f"{rows[i][1]} {prose(rnd, 5)}") for i in range(0, 300, 3)]  # repeats that cross the boilerplate
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
-    docs = df.selectExpr("doc_id", "cast(0 as int) as check", "text")
-
-    def largest(split):
-        windows = sent_runs(docs, split_windows=split).selectExpr("anchor", f"length(labels) div {LABEL_BYTES} as n").groupBy("anchor").sum("n")
-        return windows.selectExpr("max(`sum(n)`)").first()[0]
-
-    assert largest(10**9) > 1500 and largest(500) <= 500
+    split = split_anchors(located(df), split_windows=500, counted=1)
+    assert 0 < len(split) < 20 and not len(split_anchors(located(df), split_windows=10**9, counted=1))
     want = sorted(substring_removal(rows, 35))
-    for split in (1, 500):
-        assert sorted(tuple(r) for r in remove_repeats(df, split_windows=split).collect()) == want
-
-
-def test_split_windows_differ_by_the_bits_left_out():
-    labels = np.array([0x1234567890AB0000, 0x1234567890AB0001], dtype=np.uint64)
-    assert len(set(split_keys(np.full(2, 7, dtype=np.uint64), labels).tolist())) == 2
+    for bound in (1, 500, 10**9):
+        assert sorted(tuple(r) for r in remove_repeats(df, split_windows=bound, counted=1).collect()) == want
+
+
+def test_rows_that_repeat_share_all_windows(spark):
+    rnd = random.Random(12)
+    text = prose(rnd, 60)
+    rows = [(1, text)] * 5 + [(2, prose(rnd, 60)), (None, text), (None, None), (3, " ".join(["x"] * 500)), (4, "y\t" * 34)]
+    got = remove_repeats(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted((r["doc_id"] or 0, r["n_words"], r["n_removed"]) for r in got) == [(0, 0, 0), (0, 60, 60), *[(1, 60, 60)] * 5, (2, 60, 0), (3, 500, 500), (4, 34, 0)]
+
+
+def thue_morse(size):
+    """Two complementary words of a and b, which agree in every polynomial modulo a power of two once they are long enough."""
+    word = "a"
+    while len(word) < size:
+        word += word.translate(str.maketrans("ab", "ba"))
+    return word, word.translate(str.maketrans("ab", "ba"))
+
+
+@pytest.mark.parametrize("size", [16, 64, 1024, 2048])
+def test_long_words_of_like_form_differ(spark, size):
+    one, two = thue_morse(size)
+    head = " ".join(f"w{i}" for i in range(34))
+    rows = [(1, f"{head} {one}"), (2, f"{head} {two}"), (3, one), (4, two), (5, f"{one} {two} {two} {one} {one}"), (6, f"{two} {one} {one} {two} {one}")]
+    df = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)
+    assert sorted(tuple(r) for r in remove_repeats(df).collect()) == sorted(substring_removal(rows, 35))
+    got = {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in near_duplicate_classes(df, words_per_gram=4, threshold=(85, 100)).collect()}
+    assert got == near_duplicates(rows, 4, 85, 100)
+
+
+def test_words_decide_where_hashes_agree(spark, monkeypatch):
+    """With every word hashed alike all runs meet, and only equal words count as repeats."""
+    monkeypatch.setattr(substring_dedup, "word_hashes", lambda data, starts, ends: np.ones(len(starts), dtype=np.uint64))
+    rnd = random.Random(13)
+    passage = prose(rnd, 40)
+    rows = [(i, " ".join([prose(rnd, rnd.randint(10, 40)), passage if i % 3 else "", prose(rnd, rnd.randint(0, 30))])) for i in range(30)]
+    batch = pa.record_batch([pa.array([r[0] for r in rows]), pa.array([0] * 30, pa.int32()), pa.array([r[1] for r in rows])], names=["loc", "check", "text"])
+    (sent,) = substring_dedup._emit(35, 12, np.zeros(0, np.uint64))(iter([batch]))
+    assert len(set(sent.column("key").to_pylist())) >= 1
+    runs, ats = [], []
+    for loc, place in zip(sent.column("loc").to_pylist(), sent.column("place").to_pylist(), strict=True):
+        first, size = place >> substring_dedup._FIRST & 0x7FFFFFFF, place >> substring_dedup._SIZE & 0x7FF
+        runs.append(" ".join(rows[loc][1].split()[first : first + size + 34]).encode())
+        ats.append(place >> substring_dedup._AT & 0x7FF)
+    masks = substring_dedup.repeated_offsets(runs, ats, 35)
+    seen = {}
+    for i, (run, at) in enumerate(zip(runs, ats, strict=True)):
+        split = run.split()
+        for w in range(len(split) - 34):
+            seen.setdefault((at - w, tuple(split[w : w + 35])), set()).add(i)
+    want = [0] * len(runs)
+    for (j, _), owners in seen.items():
+        if len(owners) > 1 and j >= 0:
+            for i in owners:
+                want[i] |= 1 << j
+    assert masks == want
 
 
 @pytest.mark.parametrize(("n", "num", "den"), [(4, 85, 100), (5, 80, 100)])
