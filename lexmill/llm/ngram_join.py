@@ -65,7 +65,7 @@ EXTRA_PERCENT = 12
 SAMPLE_DOCS, FREQUENT_DOCS, FREQUENT_GRAMS = 4000, 8, 200_000
 TEXT_CHUNK = 2_000_000
 #: A region of more points or n-grams than this is divided first.
-REGION_POINTS, REGION_GRAMS = 1000, 2_000_000
+REGION_POINTS, REGION_GRAMS = 8000, 2_000_000
 #: Pivots of a region in a round at least, rows per n-gram that a round may compare, and rounds before blocks.
 PIVOTS, ROUND_ROWS, ROUNDS = 16, 8, 6
 #: Bytes of pivots that are broadcast at most; more are shuffled.
@@ -276,7 +276,7 @@ def _links_inside(rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
     return placed.mapInArrow(_solve_regions(n, num, den), "a long, b long").where("a <> b").distinct()
 
 
-def _tie_edges(grams: DataFrame, must: Column) -> DataFrame:
+def _tie_edges(grams: DataFrame, must: Column, salts: int = 1) -> DataFrame:
     """Edges (a, b) of points (node, size, gram) through the first point of each n-gram.
 
     ``must`` (of size) is what a point shares with any point it is linked to.
@@ -408,7 +408,7 @@ def _links_of_large(texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
 
     points = materialize(texts.select("node", "text").mapInArrow(hashed, "node long, grams array<long>").dropDuplicates(["node"]))
     grams = points.select("node", F.size("grams").cast("long").alias("size"), F.explode("grams").alias("gram"))
-    pairs = materialize(_tie_edges(grams, F.expr(f"(size * {num} + {den - 1}) div {den}")))
+    pairs = materialize(_tie_edges(grams, F.expr(f"(size * {num} + {den - 1}) div {den}"), partitions(texts.sparkSession)))
     tied = connected_components(pairs).join(pairs.select(F.col("a").alias("node")).distinct(), "node", "left_semi")
     small, large = _with_sizes(materialize(points.join(tied, "node").select(F.col("component").alias("region"), "node", "grams")))
     found = [materialize(_links_inside(small, n, num, den))]
