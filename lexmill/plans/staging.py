@@ -7,8 +7,8 @@ import tempfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Most rows of a side that is broadcast; beyond it the same join is shuffled.
-BROADCAST_ROWS = 500_000
+#: Most rows and bytes of a side that is broadcast; beyond them the same join is shuffled.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 64 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -41,6 +41,23 @@ def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
 
 
-def small_or_shuffled(side: DataFrame, rows: int) -> DataFrame:
-    """Hint a broadcast when the counted rows are few; otherwise leave a shuffled join."""
-    return F.broadcast(side) if rows <= BROADCAST_ROWS else side
+def small_or_shuffled(side: DataFrame, rows: int, row_bytes: int = 100) -> DataFrame:
+    """Hint a broadcast when the counted rows of so many bytes are few; otherwise leave a shuffled join."""
+    return F.broadcast(side) if rows <= BROADCAST_ROWS and rows * row_bytes <= BROADCAST_BYTES else side
+
+
+def join_counted(rows: DataFrame, side: DataFrame, key: str, weight: str, how: str = "inner") -> DataFrame:
+    """Join to a materialised side with one row a key, of which ``weight`` says how many rows it meets.
+
+    A small side is broadcast.  Of a large one the heaviest keys are, as many as a
+    broadcast holds; no other key meets more than its share of the rows, so the
+    shuffled join of the rest has no hot key.  ``how`` is inner, left or left_semi.
+    """
+    found = side.agg(F.count("*"), F.sum(weight)).first()
+    if found[0] <= BROADCAST_ROWS:
+        return rows.join(F.broadcast(side), key, how)
+    heavy = side.where(F.col(weight) >= -(-found[1] // BROADCAST_ROWS) + 1)
+    rest = side.where(F.col(weight) <= -(-found[1] // BROADCAST_ROWS))
+    met = rows.join(F.broadcast(heavy), key, "left_semi" if how == "left_semi" else "inner")
+    others = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
+    return met.unionByName(others.join(rest, key, how))
