@@ -4,10 +4,13 @@ Main path: DataFrame functions only.  Rows are grouped by a 128-bit content
 hash (only hashes are shuffled, pre-aggregated on the map side), then the texts
 of groups with several members, and of those only, are grouped by their bytes;
 a hash that turns out to stand for different texts is split by its full digest.
+Where groups are too many for a broadcast, the largest ones are broadcast all
+the same, so no join has a hot key.
 
 Defined cases: null text counts as empty, so null and empty texts are equal;
+a very long text is hashed in one row and shuffled only if its hash is shared;
 a null id is smaller than any id; rows that repeat an id compete as separate
-rows and one of them stays; an empty table gives an empty result; columns other
+rows, and of such a tie one row stays; an empty table gives an empty result; columns other
 than id and text are ignored, whatever their names.
 """
 
@@ -18,7 +21,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, materialize, small_or_shuffled
+from .common import join_counted, lower_ascii, materialize, small_or_shuffled
 
 
 def content_hash(digest: Column) -> Column:
@@ -48,7 +51,7 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
 
     kept = groups()
     texts = docs.select(short_hash(digest).alias("hash"), text.alias("bytes"))
-    members = texts.join(small_or_shuffled(kept.select("hash"), kept.count()), "hash", "left_semi")
+    members = join_counted(texts, kept.select("hash", "group_size"), "hash", "group_size", "left_semi")
     variants = members.groupBy("hash", "bytes").agg(F.lit(1).alias("one")).groupBy("hash").agg(F.count("*").alias("texts"))
     collided = materialize(variants.where("texts > 1").select("hash", F.lit(True).alias("collided")))
     if n := collided.count():
@@ -56,6 +59,6 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
         rows = split.withColumn("hash", F.when(F.col("collided"), F.concat("hash", "text_sha256")).otherwise(F.col("hash"))).drop("collided")
         kept = groups()
 
-    joined = rows.join(small_or_shuffled(kept, kept.count()), "hash", "left")
+    joined = join_counted(rows, kept, "hash", "group_size", "left")
     alone = F.col("group_size").isNull()
     return joined.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("stays.doc_id")).alias("keep_id"), F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), (alone | (F.col("row_no") == F.col("stays.row_no"))).alias("kept"), "text_sha256")
