@@ -1,17 +1,20 @@
 """Quality rules as a short-circuit cascade.
 
-Main path: DataFrame functions only, one scan, no shuffle.  The base figures
-are computed for every document; the rules of the cascade run only on documents
-that no earlier rule has rejected (a CASE chain).  Their order comes from a
-bounded sample: each rule is timed on it and its rejections are counted, and
-rules stand by rejections per second.  The order changes the cost, never the
-verdict.
+Main path: DataFrame functions only, one scan, no shuffle.  Rules stand in a
+CASE chain, and what a rule needs is computed inside its branch, so a document
+that one rule rejects costs nothing in the rules behind it.  Their order comes
+from a bounded sample: each rule is evaluated on it often enough to be timed, its
+rejections are counted, and rules stand by rejections per second.  The order
+changes the cost, never the verdict.  ``filter_quality`` has all rules in the
+chain; ``judge_quality`` reports the base figures of every document, so there
+only what they leave is in the chain.
 
 Words are runs of code points other than space and ``\\x09-\\x0D``.  Defined
-cases: null and empty texts have no words and fail the base rule; rows that
-repeat are judged alike; a rule without a value (no lines, no words) does not
-reject; an empty table gives an empty result; other columns are kept by
-``filter_quality`` and ignored by ``judge_quality``.
+cases: null and empty texts have no words and fail the base rule; a very long
+text is judged whole, in one row; rows that repeat are judged alike and there is
+nothing to tie; a rule without a value (no lines, no words) does not reject; an
+empty table gives an empty result; other columns are kept by ``filter_quality``
+and ignored by ``judge_quality``.
 """
 
 from __future__ import annotations
@@ -28,8 +31,8 @@ from .common import materialize, single_spaced, spaced_word_count
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
-#: Rows per partition at most of the sample that orders the rules, and of the sample as a whole.
-SAMPLE_ROWS = 400
+#: Documents of the sample that orders the rules, bytes of the longest one in it, and how often a timing evaluates it.
+SAMPLE_ROWS, SAMPLE_BYTES, REPEATS = 200, 1 << 18, 20
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -48,67 +51,101 @@ def repeated_window_words(spaced: Column) -> Column:
     return _let(windows, lambda w: F.when(F.size(F.array_distinct(w)) == F.size(w), F.lit(0)).otherwise(covered(w))).cast("long")
 
 
-def text_figures(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
-    """Add n_words, word_chars, n_symbols, n_lines, n_dup_lines, n_repeat_words to a table without such names."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    words = docs.withColumn("spaced", single_spaced(F.col(text_col))).withColumn("n_words", spaced_word_count(F.col("spaced")))
+def _symbols(text: Column) -> Column:
+    return (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long")
+
+
+def _line_counts(text: Column) -> Column:
+    """Lines that hold a word, and how many of them equal an earlier one."""
     lines = F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    return words.withColumns({
+    return _let(lines, lambda x: F.struct(F.size(x).cast("long").alias("lines"), (F.size(x) - F.size(F.array_distinct(x))).cast("long").alias("again")))
+
+
+def spaced_words(docs: DataFrame) -> DataFrame:
+    """Add spaced and n_words to a table with text, which both branches of the chain use."""
+    return docs.withColumn("text", F.coalesce("text", F.lit(""))).withColumn("spaced", single_spaced(F.col("text"))).withColumn("n_words", spaced_word_count(F.col("spaced")))
+
+
+def text_figures(docs: DataFrame) -> DataFrame:
+    """Add word_chars, n_symbols, line_counts and n_repeat_words to the rows of ``spaced_words``."""
+    return spaced_words(docs).withColumns({
         "word_chars": F.when(F.col("n_words") > 0, F.length("spaced") - F.col("n_words") + 1).otherwise(0).cast("long"),
-        "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
-        "line_counts": _let(lines, lambda x: F.struct(F.size(x).alias("lines"), F.size(F.array_distinct(x)).alias("distinct"))),
+        "n_symbols": _symbols(F.col("text")),
+        "line_counts": _line_counts(F.col("text")),
         "n_repeat_words": repeated_window_words(F.col("spaced")),
-    }).withColumns({"n_lines": F.col("line_counts.lines").cast("long"), "n_dup_lines": (F.col("line_counts.lines") - F.col("line_counts.distinct")).cast("long")}).drop("line_counts")
+    })
 
 
-def base_failed() -> Column:
-    return (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEATED_PERCENT * F.col("n_words"))
+def base_rules(repeat_words: Column) -> dict[str, Column]:
+    return {"few_words": F.col("n_words") < MIN_WORDS, "repeated_words": 100 * repeat_words > MAX_REPEATED_PERCENT * F.col("n_words")}
 
 
-def cascade_rules(text_col: str = "text") -> dict[str, Column]:
+def cascade_rules(symbols: Column, lines: Column, word_chars: Column) -> dict[str, Column]:
     """Rule name to the condition under which it rejects."""
-    marks = F.length(text_col) - F.length(F.replace(F.col(text_col), F.lit("!"), F.lit("")))
+    marks = F.length("text") - F.length(F.replace(F.col("text"), F.lit("!"), F.lit("")))
     return {
-        "symbols": 100 * F.col("n_symbols") > 30 * F.col("n_words"),
-        "repeated_lines": 100 * F.col("n_dup_lines") > 60 * F.col("n_lines"),
-        "word_length": (F.col("word_chars") < 2 * F.col("n_words")) | (F.col("word_chars") > 20 * F.col("n_words")),
+        "symbols": 100 * symbols > 30 * F.col("n_words"),
+        "repeated_lines": _let(lines, lambda x: 100 * x["again"] > 60 * x["lines"]),
+        "word_length": (word_chars < 2 * F.col("n_words")) | (word_chars > 20 * F.col("n_words")),
         "shouting": 100 * marks > 40 * F.col("n_words"),
     }
 
 
+def all_rules() -> dict[str, Column]:
+    """Every rule on the rows of ``spaced_words``, each with what it needs inside."""
+    word_chars = F.length("spaced") - F.col("n_words") + 1
+    return base_rules(repeated_window_words(F.col("spaced"))) | cascade_rules(_symbols(F.col("text")), _line_counts(F.col("text")), word_chars)
+
+
+def sampled(docs: DataFrame) -> DataFrame:
+    """The first ``SAMPLE_ROWS`` documents that are not too long; partitions are read one after the other until they are found."""
+    spark = docs.sparkSession
+    few = docs.select("text").where(F.octet_length("text") <= SAMPLE_BYTES).limit(SAMPLE_ROWS).collect()
+    return materialize(spaced_words(spark.createDataFrame(few, "text string").coalesce(1)).withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(REPEATS)))))
+
+
 def order_rules(docs: DataFrame, rules: dict[str, Column]) -> list[str]:
     """Rule names by rejections per second on the sample, best first."""
-    sample = materialize(docs.limit(SAMPLE_ROWS))
-    sample.agg(*[F.count_if(r) for r in rules.values()]).first()  # compiled and read once before timing
-    gain = {}
-    for name, rule in rules.items():
-        began = time.perf_counter()
-        rejected = sample.agg(F.count_if(rule)).first()[0]
-        gain[name] = rejected / (time.perf_counter() - began)
-    return sorted(rules, key=lambda name: -gain[name])
+    sample = sampled(docs)
+
+    def seconds(rule: Column) -> float:
+        best = float("inf")
+        for _ in range(2):  # the first one compiles
+            began = time.perf_counter()
+            sample.agg(F.count_if(rule)).first()
+            best = min(best, time.perf_counter() - began)
+        return best
+
+    idle = seconds(F.col("n_words") < 0)
+    rejected = sample.agg(*[F.count_if(r).alias(name) for name, r in rules.items()]).first()
+    cost = {name: max(seconds(rule) - idle, 1e-3) for name, rule in rules.items()}
+    return sorted(rules, key=lambda name: -rejected[name] / cost[name])
 
 
 def verdict(rules: dict[str, Column], order: list[str]) -> Column:
     """True when no rule rejects; later rules run only where earlier ones pass."""
-    kept = F.when(base_failed(), False)
+    kept = None
     for name in order:
-        kept = kept.when(F.coalesce(rules[name], F.lit(False)), False)
+        rejects = F.coalesce(rules[name], F.lit(False))
+        kept = F.when(rejects, False) if kept is None else kept.when(rejects, False)
     return kept.otherwise(True)
 
 
 def judge_quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, the base figures, base_failed, kept."""
-    figures = text_figures(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")))
-    rules = cascade_rules()
-    order = order_rules(figures, rules)
-    return figures.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", base_failed().alias("base_failed"), verdict(rules, order).alias("kept"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
+    base = base_rules(F.col("n_repeat_words"))
+    failed = base["few_words"] | base["repeated_words"]
+    order = [name for name in order_rules(rows, all_rules()) if name not in base]
+    rules = cascade_rules(F.col("n_symbols"), F.col("line_counts"), F.col("word_chars")) | {"base": failed}
+    return text_figures(rows).select("doc_id", "n_words", "word_chars", "n_symbols", F.col("line_counts.again").alias("n_dup_lines"), "n_repeat_words", failed.alias("base_failed"), verdict(rules, ["base", *order]).alias("kept"))
 
 
 def filter_quality(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     """The documents that stay, with all their columns."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    figures = text_figures(docs.select(row.alias("row"), F.col(f"`{text_col}`").alias("text")))
-    rules = cascade_rules()
-    order = order_rules(figures, rules)
-    # a filter would be pushed below the figures and compute them once per rule
-    return figures.select(F.inline(F.when(verdict(rules, order), F.array("row"))))
+    rows = docs.select(row.alias("row"), F.col(f"`{text_col}`").alias("text"))
+    rules = all_rules()
+    kept = verdict(rules, order_rules(rows, rules))
+    # a filter would be pushed below the words and compute them once per rule
+    return spaced_words(rows).select(F.inline(F.when(kept, F.array("row"))))

@@ -6,7 +6,7 @@ from collections import Counter
 from brute import WORD
 from pyspark.sql import functions as F
 
-from lexmill.llm.quality import filter_quality, judge_quality, order_rules
+from lexmill.llm.quality import REPEATS, SAMPLE_ROWS, all_rules, filter_quality, judge_quality, order_rules, sampled, spaced_words, verdict
 
 
 def figures(text):
@@ -41,6 +41,22 @@ def test_filter_keeps_all_columns(odd_docs, odd_rows, no_docs):
 
 
 def test_order_is_by_rejections_per_cost(spark):
-    df = spark.range(1000).select(F.col("id"), F.col("id").alias("n_words"))
-    order = order_rules(df, {"none": F.col("id") < 0, "all": F.col("id") >= 0})
+    df = spark.range(1000).select(F.concat(F.lit("w "), F.col("id").cast("string")).alias("text"))
+    order = order_rules(df, {"none": F.col("n_words") < 0, "all": F.col("n_words") >= 0})
     assert order == ["all", "none"]
+
+
+def test_sample_reads_few_partitions(spark):
+    """A partition that must not be read: the sample is full before it."""
+    broken = F.when(F.col("id") >= 2000, F.raise_error(F.lit("read"))).otherwise(F.lit("some words"))
+    df = spark.range(0, 4000, 1, 1000).select(broken.cast("string").alias("text"))
+    assert sampled(df).select("again").distinct().count() == REPEATS
+    assert sampled(df).count() == SAMPLE_ROWS * REPEATS
+
+
+def test_every_order_gives_the_same_verdict(odd_docs, odd_rows):
+    rules = all_rules()
+    rows = spaced_words(odd_docs.select("doc_id", "text"))
+    want = {r[0] for r in odd_rows if figures(r[1])[-1]}
+    for order in (list(rules), list(reversed(rules))):
+        assert {r["doc_id"] for r in rows.where(verdict(rules, order)).collect()} == want
