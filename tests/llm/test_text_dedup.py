@@ -16,6 +16,7 @@ from lexmill.llm.line_dedup import dedup_lines
 from lexmill.llm.ngram_join import drop_near_duplicates, near_duplicate_classes
 from lexmill.llm.substring_dedup import remove_repeats, split_anchors
 from lexmill.llm.wordhash import gram_hashes, text_buffers, word_hashes, words
+from lexmill.plans import staging
 
 
 def test_word_hashes():
@@ -40,6 +41,23 @@ def test_lines(odd_docs, odd_rows, no_docs):
     assert dedup_lines(no_docs).collect() == []
 
 
+def test_lines_with_columns_of_like_names(spark):
+    text = "a b\nc d\ne f"
+    rows = [(1, text, 9, "r", "k"), (2, text, 9, "r", "k"), (3, text + "\ng", 9, "r", "k"), (4, None, 9, "r", "k")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_removed int, row string, _later string")
+    got = sorted(tuple(r) for r in dedup_lines(df, length_col="n_removed", drop_emptied=True).collect())
+    assert got == [(1, text, 9, "r", "k"), (3, "g", 1, "r", "k"), (4, None, 9, "r", "k")]
+    assert {r["doc_id"]: r["n_removed"] for r in dedup_lines(df, counts=True).collect()} == {1: 0, 2: 3, 3: 3, 4: 0}
+
+
+def test_lines_where_windows_are_too_many_for_a_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(staging, "BROADCAST_ROWS", 3)
+    rnd = random.Random(6)
+    rows = [(i, "\n".join(rnd.choice(["a", "b", "c d", "", " "]) for _ in range(rnd.randint(0, 12)))) for i in range(120)]
+    got = {r["doc_id"]: r["text"] for r in dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(6)).collect()}
+    assert got == line_removal(rows)
+
+
 def test_lines_of_many_documents(spark):
     rnd = random.Random(6)
     rows = [(i, "\n".join(rnd.choice(["a", "b", "c d", "", " "]) for _ in range(rnd.randint(0, 12)))) for i in range(120)]
