@@ -2,17 +2,19 @@
 
 Strong patterns (assignments, access identifiers, long hex runs) are reported
 wherever they match.  Weak parts are only candidates: a 40-character key that
-mixes letter cases and digits, and an endpoint URL.  Every access identifier
-opens a scope, an interval of ``SCOPE`` code points on both sides; an interval
-join (sorted starts, two binary searches per scope) finds the candidates inside
-it.  A key is reported when an identifier is in scope, an endpoint when an
-identifier and a key are.
+mixes letter cases and digits, and an endpoint URL.  A candidate opens a scope:
+the block of text around it (up to the next blank lines, if the block is not longer than
+``BLOCK`` code points), and at least ``SCOPE`` code points on both sides.  An
+interval join (sorted starts, binary searches for the ends of each scope) looks
+for complementary parts in it.  A key is reported when an identifier or an endpoint
+is in scope, an endpoint when an identifier, a key or an assigned secret is.
 
 Texts are scanned whole.  An Arrow regular expression drops texts without any
-pattern before Python sees them.  Defined cases: null text is empty; rows that
-repeat are scanned alike; equal starts are ordered by kind as in ``KINDS``; a
-candidate inside a strong span is not reported again; an empty table gives an
-empty result; other columns are ignored.
+pattern before Python sees them.  Defined cases: null text is empty; a very long
+text is one row, scanned in time proportional to its length and to its parts times
+their logarithm; rows that repeat are scanned alike; equal starts are ordered by
+kind as in ``KINDS``; a candidate inside a strong span is not reported again, and
+counts as no part; an empty table gives an empty result; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KINDS = ["assign", "access", "hex", "key", "endpoint"]
-SCOPE = 300
+SCOPE, BLOCK = 300, 4000
 
 # Fixed patterns of the strong kinds, with their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -38,8 +40,9 @@ ASSIGN_LENGTH, ACCESS_LENGTH = 6, 20
 
 KEY = re.compile(r"(?<![A-Za-z0-9+/])[A-Za-z0-9+/]{40}(?![A-Za-z0-9+/=])")
 ENDPOINT = re.compile(r"""https?://[^\s"'<>]+""")
-#: What a text must hold to be scanned at all; keys and endpoints need an identifier anyway.
-ANY = r"(?i:password|passwd|secret|token|api_?key)[\"']? *[:=]|AKIA|[0-9a-f]{24}"
+BLANK = re.compile(r"\n[^\S\n]*\n")
+#: What a text must hold to be scanned at all; an endpoint alone is complementary to nothing.
+ANY = r"(?i:password|passwd|secret|token|api_?key)[\"']? *[:=]|AKIA|[0-9a-f]{24}|[A-Za-z0-9+/]{40}"
 
 SPAN = T.StructType([T.StructField("kind", T.StringType()), T.StructField("start", T.IntegerType()), T.StructField("end", T.IntegerType()), T.StructField("value", T.StringType())])
 
@@ -48,26 +51,45 @@ def _mixed(key: str) -> bool:
     return any(c.islower() for c in key) and any(c.isupper() for c in key) and any(c.isdigit() for c in key)
 
 
-def linked_parts(text: str, strong: list[tuple[int, int, str]], scope: int = SCOPE) -> list[tuple[int, int, str]]:
-    """Weak parts that complement an access identifier inside its scope."""
-    access = [(a, b) for a, b, kind in strong if kind == "access"]
-    if not access:
-        return []
+def _apart(spans: list[tuple[int, int]], taken: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """Of sorted spans those that touch none of the taken ones."""
+    merged: list[list[int]] = []
+    for a, b in sorted(taken):
+        if merged and a <= merged[-1][1]:
+            merged[-1][1] = max(merged[-1][1], b)
+        else:
+            merged.append([a, b])
+    starts = [a for a, _ in merged]
+
+    def free(a: int, b: int) -> bool:
+        i = bisect_left(starts, b) - 1  # the last one that starts before the span ends
+        return i < 0 or merged[i][1] <= a
+
+    return [(a, b) for a, b in spans if free(a, b)]
 
-    def free(span: tuple[int, int]) -> bool:
-        return not any(a < span[1] and span[0] < b for a, b, _ in strong)
-
-    keys = [m.span() for m in KEY.finditer(text) if _mixed(m[0])]
-    ends = [m.span() for m in ENDPOINT.finditer(text)]
-    key_starts, end_starts = [s for s, _ in keys], [s for s, _ in ends]
-    secret_starts = sorted(key_starts + [a for a, _, kind in strong if kind == "assign"])
-    found: set[tuple[int, int, str]] = set()
-    for a, b in access:
-        low, high = a - scope, b + scope
-        found.update((*keys[i], "key") for i in range(bisect_left(key_starts, low), bisect_right(key_starts, high)) if free(keys[i]))
-        if bisect_left(secret_starts, low) < bisect_right(secret_starts, high):
-            found.update((*ends[i], "endpoint") for i in range(bisect_left(end_starts, low), bisect_right(end_starts, high)) if free(ends[i]))
-    return list(found)
+
+def linked_parts(text: str, strong: list[tuple[int, int, str]], scope: int = SCOPE, block: int = BLOCK) -> list[tuple[int, int, str]]:
+    """Weak parts that have a complementary part inside their scope."""
+    taken = [(a, b) for a, b, _ in strong]
+    keys = _apart([m.span() for m in KEY.finditer(text) if _mixed(m[0])], taken)
+    ends = _apart([m.span() for m in ENDPOINT.finditer(text)], taken + keys)
+    access = sorted(a for a, _, kind in strong if kind == "access")
+    secrets = sorted([a for a, _, kind in strong if kind == "assign"] + [a for a, _ in keys])
+    if not (keys or ends):
+        return []
+    borders = [m.span() for m in BLANK.finditer(text)]
+    border_starts, border_ends = [a for a, _ in borders], [b for _, b in borders]
+
+    def near(span: tuple[int, int], others: list[int]) -> bool:
+        before, after = bisect_right(border_ends, span[0]), bisect_left(border_starts, span[1])
+        low, high = border_ends[before - 1] if before else 0, border_starts[after] if after < len(borders) else len(text)
+        if high - low > block:
+            low, high = span
+        return bisect_left(others, min(low, span[0] - scope)) < bisect_right(others, max(high, span[1] + scope))
+
+    end_starts = [a for a, _ in ends]
+    found = [(a, b, "key") for a, b in keys if near((a, b), access) or near((a, b), end_starts)]
+    return found + [(a, b, "endpoint") for a, b in ends if near((a, b), access) or near((a, b), secrets)]
 
 
 def find_spans(text: str) -> list[tuple[int, int, str]]:
