@@ -1,8 +1,9 @@
 """Deterministic sharded WARC archives and their reader.
 
-Writer: records are range-sorted by id into shards whose bounds come from an
-exact histogram (at most ``HISTOGRAM`` sums, so the same input always gives the
-same files; a bucket over the target is cut further by digest).  A task writes
+Writer: records are range-sorted by id into shards whose bounds come from exact
+sums of bytes over ranges of ids, so the same input always gives the same files.
+Ranges over the target are divided again until they fit, wherever the ids lie;
+only a single id over the target is cut by digest.  A task writes
 each of its shards in order, one gzip member per record with headers and
 digests made anew, and rolls to the next file when the compressed size reaches
 ``roll_bytes``.  Files get temporary names that no other attempt shares; the
@@ -10,9 +11,11 @@ manifest lists those of the attempts that counted, they are renamed, and then
 the manifest itself is committed.  Readers open only what the manifest lists.
 
 Of records with equal payloads one is the response and the others are revisit
-records without content.  Defined cases: null payload is empty; null url gives
-a record without target; a null id sorts first; rows that repeat the id of the
-response are responses too; an empty table gives an empty manifest and an empty
+records without content, whose payloads are not shuffled either.  Defined cases:
+null payload is empty; a very long payload is one record and must fit a worker;
+null url gives a record without target; a null id sorts first; rows that repeat
+the id of the response are responses too, and rows that repeat have record ids
+of their own; an empty table gives an empty manifest and an empty
 result; other columns are ignored.
 """
 
@@ -26,14 +29,16 @@ import zlib
 from collections.abc import Iterator
 from urllib.parse import quote
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, partitions, shared_dir, small_or_shuffled
+from .common import join_counted, materialize, partitions, shared_dir
 
-HISTOGRAM = 4096
+#: Ranges of one pass of sums about, and shards at most.
+HISTOGRAM, MOST_SHARDS = 4096, 100_000
 SHARD_BYTES = 64 << 20
 ROLL_BYTES = 16 << 20
 DATE = "2000-01-01T00:00:00Z"
@@ -52,22 +57,24 @@ def _digest(data: bytes) -> str:
     return base64.b32encode(hashlib.sha1(data).digest()).decode()
 
 
-def _record_id(page_id: object, digest: str) -> str:
-    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, f'{page_id}|{digest}')}>"
+def _record_id(page_id: object, digest: str, copy: int = 0) -> str:
+    """Id of the first record of a page and payload, or of a later copy of it."""
+    name = f"{page_id}|{digest}|{copy}" if copy else f"{page_id}|{digest}"
+    return f"<urn:uuid:{uuid.uuid5(uuid.NAMESPACE_URL, name)}>"
 
 
-def record_bytes(page_id: object, url: str | None, payload: bytes, refers_to: object, revisit: bool) -> bytes:
-    """One uncompressed WARC record."""
-    digest = _digest(payload)
+def record_bytes(page_id: object, url: str | None, payload: bytes, refers_to: object, revisit: bool, digest: str | None = None, length: int | None = None, copy: int = 0) -> bytes:
+    """One uncompressed WARC record; a revisit has digest and length in place of the payload."""
+    digest, length = digest or _digest(payload), len(payload) if length is None else length
     block = b"" if revisit else b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload) + payload
-    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {_record_id(page_id, digest)}", f"WARC-Date: {DATE}"]
+    head = ["WARC/1.1", f"WARC-Type: {'revisit' if revisit else 'response'}", f"WARC-Record-ID: {_record_id(page_id, digest, copy)}", f"WARC-Date: {DATE}"]
     if url is not None:
         head.append("WARC-Target-URI: " + quote(url, safe="!#$%&'()*+,/:;=?@[]~"))
     if revisit:
         head += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"WARC-Refers-To: {_record_id(refers_to, digest)}", f"X-Refers-To-Page: {refers_to}"]
     if page_id is not None:
         head.append(f"X-Page: {page_id}")
-    head += [f"X-Payload-Length: {len(payload)}", f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Block-Digest: sha1:{_digest(block)}", "Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
+    head += [f"X-Payload-Length: {length}", f"WARC-Payload-Digest: sha1:{digest}", f"WARC-Block-Digest: sha1:{_digest(block)}", "Content-Type: application/http;msgtype=response", f"Content-Length: {len(block)}"]
     return "\r\n".join(head).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
 
 
@@ -104,54 +111,101 @@ def _manifest_batch(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], kinds[i]) for i in range(5)], names=["file", "temporary", "records", "bytes", "sha256"])
 
 
-def with_shards(records: DataFrame, shard_bytes: int) -> DataFrame:
-    """Add ``shard`` from an exact histogram of bytes over the (integer) id range."""
-    low, high = records.agg(F.min("page_id"), F.max("page_id")).first()
-    width = 1 if low is None else (high - low) // HISTOGRAM + 1
-    bucket = F.coalesce(F.floor((F.col("page_id") - F.lit(low)) / F.lit(width)), F.lit(0)).cast("int")
-    sums = {r["bucket"]: r["bytes"] for r in records.groupBy(bucket.alias("bucket")).agg(F.sum(F.length("payload") + 500).alias("bytes")).collect()}
-    first, filled, starts = 0, 0, {}
-    for b in sorted(sums):
-        cuts = -(-sums[b] // shard_bytes)
-        if cuts > 1 or filled + sums[b] > shard_bytes:
-            first, filled = first + (1 if filled else 0), 0
-        starts[b] = (first, cuts)
-        filled += sums[b]
-        if cuts > 1:
-            first, filled = first + cuts, 0
-    if not starts:
-        return records.withColumn("shard", F.lit(0))
-    lookup = records.sparkSession.createDataFrame([(b, *v) for b, v in starts.items()], "_bucket int, _first int, _cuts int")
-    joined = records.withColumn("_bucket", bucket).join(F.broadcast(lookup), "_bucket")  # at most HISTOGRAM + 1 rows
-    return joined.withColumn("shard", (F.col("_first") + F.pmod(F.crc32("sha1"), F.col("_cuts"))).cast("int")).drop("_bucket", "_first", "_cuts")
+def _range_sums(sizes: DataFrame, starts: np.ndarray) -> np.ndarray:
+    """Bytes of each range of ids; range k begins at ``starts[k]`` and ends before the next one."""
+
+    def ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            at = np.searchsorted(starts, batch.column(0).to_numpy(zero_copy_only=False), "right") - 1
+            found, inverse = np.unique(at, return_inverse=True)
+            sums = np.zeros(len(found), dtype=np.int64)
+            np.add.at(sums, inverse, batch.column(1).to_numpy(zero_copy_only=False))
+            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int64)), pa.array(sums)], names=["range", "bytes"])
+
+    result = np.zeros(len(starts), dtype=np.int64)
+    for row in sizes.mapInArrow(ranges, "range long, bytes long").groupBy("range").agg(F.sum("bytes").alias("bytes")).collect():
+        result[row["range"]] = row["bytes"]
+    return result
+
+
+def shard_starts(sizes: DataFrame, shard_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First id, first shard and number of shards of each range, from a materialised table (id, bytes) without null ids.
+
+    Some ranges share a shard; a range of several shards holds a single id.
+    """
+    low, high, total = sizes.agg(F.min("id"), F.max("id"), F.sum("bytes")).first()
+    if low is None:
+        return (np.zeros(1, dtype=np.int64),) * 2 + (np.ones(1, dtype=np.int64),)
+    shard_bytes = max(shard_bytes, total // MOST_SHARDS)
+    ranges, sums = [(int(low), int(high) + 1)], np.array([total], dtype=np.int64)
+    while heavy := sum(size > shard_bytes and b - a > 1 for (a, b), size in zip(ranges, sums.tolist(), strict=True)):
+        parts, finer = max(2, HISTOGRAM // heavy), []
+        for (a, b), size in zip(ranges, sums.tolist(), strict=True):
+            step = -(-(b - a) // parts) if size > shard_bytes else b - a
+            finer += [(x, min(x + step, b)) for x in range(a, b, step)]
+        sums = _range_sums(sizes, np.array([a for a, _ in finer], dtype=np.int64))
+        ranges = [r for r, size in zip(finer, sums.tolist(), strict=True) if size]
+        sums = sums[sums > 0]
+    starts = [a for a, _ in ranges]
+    cuts = np.maximum(1, -(-sums // shard_bytes))
+    first, shard, filled = np.zeros(len(starts), dtype=np.int64), 0, 0
+    for k, (size, many) in enumerate(zip(sums.tolist(), cuts.tolist(), strict=True)):
+        if filled and (many > 1 or filled + size > shard_bytes):
+            shard, filled = shard + 1, 0
+        first[k] = shard
+        filled += size
+        if many > 1:
+            shard, filled = shard + many, 0
+    return np.array(starts, dtype=np.int64), first, cuts
+
+
+def with_shards(records: DataFrame, sizes: DataFrame, shard_bytes: int) -> DataFrame:
+    """Add ``shard`` to records with page_id and sha1; null ids go first."""
+    starts, first, cuts = shard_starts(sizes, shard_bytes)
+    names = records.columns
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column(names.index("page_id")).cast(pa.int64()).fill_null(int(starts[0])).to_numpy(zero_copy_only=False)
+            at = np.maximum(np.searchsorted(starts, ids, "right") - 1, 0)
+            cut = batch.column(names.index("cut")).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(first[at] + cut % cuts[at])], names=[*names, "shard"])
+
+    return records.mapInArrow(place, T.StructType([*records.schema.fields, T.StructField("shard", T.LongType())]))
 
 
 def write_warc(pages: DataFrame, directory: str, *, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", keep: str = "largest", min_revisit_bytes: int = 0, shard_bytes: int = SHARD_BYTES, roll_bytes: int = ROLL_BYTES) -> DataFrame:
     """Write the archives and commit them; returns the manifest."""
     spark = pages.sparkSession
-    payload = F.encode(F.coalesce(F.col(payload_col), F.lit("")), "UTF-8")
-    records = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), payload.alias("payload")).withColumn("sha1", F.sha1("payload"))
+    payload = F.encode(F.coalesce(F.col(f"`{payload_col}`"), F.lit("")), "UTF-8")
+    records = pages.select(F.col(f"`{id_col}`").cast("long").alias("page_id"), F.col(f"`{url_col}`").alias("url"), payload.alias("payload")).withColumns({"sha1": F.sha1("payload"), "length": F.length("payload").cast("long")})
+    digests = materialize(records.select("page_id", "sha1", "length"))
     pick = F.max if keep == "largest" else F.min
-    equal = records.where(F.length("payload") >= min_revisit_bytes).groupBy("sha1").agg(pick("page_id").alias("response"), F.count("*").alias("n"))
-    equal = materialize(equal.where("n > 1").drop("n"))
-    records = records.join(small_or_shuffled(equal, equal.count()), "sha1", "left")
+    equal = digests.where(F.col("length") >= min_revisit_bytes).groupBy("sha1").agg(pick("page_id").alias("response"), F.count("*").alias("n"))
+    equal = materialize(equal.where("n > 1"))
     revisit = F.coalesce(~F.col("page_id").eqNullSafe(F.col("response")), F.lit(False)) & F.col("response").isNotNull()
-    records = with_shards(records.withColumn("revisit", revisit), shard_bytes)
-    parts = partitions(spark)
-    sorted_records = records.repartition(parts, "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "sha1", "url").select("shard", "page_id", "url", "payload", "response", "revisit")
+    sizes = join_counted(digests, equal, "sha1", "n", "left").where("page_id is not null")
+    sizes = materialize(sizes.select(F.col("page_id").alias("id"), (F.when(revisit, 0).otherwise(F.col("length")) + 500).alias("bytes")))
+    records = join_counted(records, equal, "sha1", "n", "left").withColumn("revisit", revisit)
+    records = records.select("page_id", "url", F.when(~F.col("revisit"), F.col("payload")).alias("payload"), "sha1", "length", "response", "revisit", F.crc32("sha1").alias("cut"))
+    records = with_shards(records, sizes, shard_bytes)
+    sorted_records = records.repartition(partitions(spark), "shard").sortWithinPartitions("shard", F.col("page_id").asc_nulls_first(), "sha1", "url").select("shard", "page_id", "url", "payload", "response", "revisit", "sha1", "length")
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         at: tuple[int, int] | None = None
         out: _ShardFile | None = None
+        last, copy = None, 0
         for batch in batches:
-            for shard, page_id, url, body, response, is_revisit in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for shard, page_id, url, body, response, is_revisit, sha1, length in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if out is not None and (shard != at[0] or out.size >= roll_bytes):
                     yield _manifest_batch([out.close()])
                     out = None
                 if out is None:
                     at = (shard, at[1] + 1 if at is not None and at[0] == shard else 0)
                     out = _ShardFile(directory, *at)
-                out.add(_gzip_member(record_bytes(page_id, url, body, response, is_revisit)))
+                last, copy = (page_id, sha1), copy + 1 if last == (page_id, sha1) else 0
+                digest = base64.b32encode(bytes.fromhex(sha1)).decode()
+                out.add(_gzip_member(record_bytes(page_id, url, body or b"", response, is_revisit, digest, length, copy)))
         if out is not None:
             yield _manifest_batch([out.close()])
 

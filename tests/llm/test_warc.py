@@ -7,7 +7,7 @@ import os
 
 import pytest
 
-from lexmill.llm.warc import parse_record, read_warc, write_warc
+from lexmill.llm.warc import _members, parse_record, read_warc, write_warc
 
 ROWS = [(1, "http://a/1", "<p>x</p>"), (2, "http://a/2\r\nX: y", "<p>x</p>"), (3, None, None), (4, "http://é", ""), (5, "u", "big " * 50000), (6, "u", "big " * 50000), (None, "n", "only"), (9, "d", "same"), (9, "d", "same"), (8, "e", "same"), (7, "z", "漢😀")]
 
@@ -43,6 +43,31 @@ def test_same_input_same_files(spark, tmp_path):
     assert names[0] == names[1]
 
 
+def test_shards_are_ranges_of_ids_wherever_they_lie(spark, tmp_path):
+    rows = [(i * 7, "u", f"{i} " * 2000) for i in range(60)] + [(10**15, "far", "x"), (5, "one id", "a" * 5000), (5, "one id", "b" * 5000), (-(10**17), "low", "y")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    manifest = write_warc(pages, f"file://{tmp_path}/r", shard_bytes=20_000).collect()
+    assert sum(r["records"] for r in manifest) == len(rows) and len(manifest) >= 10
+    ids, spans = [], {}
+    for name in sorted(r["file"] for r in manifest):
+        for member in _members(open(tmp_path / "r" / name, "rb")):
+            fields, _ = parse_record(member)
+            ids.append(fields["WARC-Record-ID"])
+            spans.setdefault(name, []).append(int(fields["X-Page"]))
+    assert len(set(ids)) == len(ids)
+    ends = [(min(v), max(v)) for _, v in sorted(spans.items())]
+    assert all(a[1] <= b[0] for a, b in zip(ends, ends[1:]))
+    assert read_warc(spark, f"file://{tmp_path}/r").count() == len(rows)
+
+
+def test_rows_that_repeat_have_ids_of_their_own(spark, tmp_path):
+    write_warc(spark.createDataFrame([(9, "d", "same")] * 3 + [(8, "d", "same")], "page_id long, url string, html string"), f"file://{tmp_path}/i")
+    name = next(n for n in os.listdir(tmp_path / "i") if n.endswith(".gz"))
+    fields = [parse_record(m)[0] for m in _members(open(tmp_path / "i" / name, "rb"))]
+    found = [f["WARC-Record-ID"] for f in fields]
+    assert len(set(found)) == 4 and {f["WARC-Refers-To"] for f in fields if f["WARC-Type"] == "revisit"} <= set(found)
+
+
 def test_small_payloads_and_empty_table(spark, tmp_path):
     pages = spark.createDataFrame(ROWS, "page_id long, url string, html string")
     write_warc(pages, f"file://{tmp_path}/m", min_revisit_bytes=100)
