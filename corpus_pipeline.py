@@ -28,10 +28,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Later repeats of three-line windows are cut; a document left without a word goes."""
-    cut = dedup_lines(docs, counts=True)
-    emptied = (F.col("n_removed") > 0) & ~F.col("text").rlike(r"[^\x20\x09-\x0D]")
-    kept = cut.where(~F.coalesce(emptied, F.lit(False)))
-    return kept.withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))).select(*docs.columns)
+    return dedup_lines(docs, length_col="n_chars", drop_emptied=True)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
