@@ -5,10 +5,13 @@ Rows carry an ``ord`` column from ingest; "first" and "last" mean by ``ord``.
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lexmill.functions import text as tx
+from lexmill.plans.components import connected_components
 from lexmill.plans.staging import materialize
 
 # Input names tried in order for each output field.
@@ -16,6 +19,8 @@ DOC_ALIASES = {"title": ["title", "ten_van_ban", "name"], "legal_id": ["legal_id
 ARTICLE_ALIASES = {"title": ["title", "ten_van_ban", "doc_title"], "legal_id": ["legal_id", "so_ky_hieu"], "text": ["text", "content", "body"], "article_no": ["article_no", "dieu", "article"], "article_title": ["article_title", "ten_dieu", "heading"], "doc_type": ["doc_type"], "url": ["url"], "status": ["status"], "source": ["source"], "doc_id": ["doc_id"]}
 DEFAULT_SOURCE = "vbpl"
 WHOLE_TEXT = "toan_van"
+#: Rounds of the two-key dedupe before what is open is scanned by components.
+DEDUPE_ROUNDS = 4
 
 
 def _field(df: DataFrame, aliases: list[str]) -> Column:
@@ -77,24 +82,47 @@ def normalize_articles(raw: DataFrame, documents: DataFrame, aliases: dict[str,
     )
 
 
-def two_key_dedupe(df: DataFrame, key: str, other: str, order: str = "ord") -> DataFrame:
-    """Rows kept by scanning in order and dropping a row of which either key was kept before.
+def _scan(key: str, other: str, order: str):
+    """One group of rows (order, key, other) -> the orders that a scan keeps."""
+
+    def scan(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by(order)
+        seen: tuple[set, set] = (set(), set())
+        kept = []
+        for place, first, second in zip(rows[order].to_pylist(), rows[key].to_pylist(), rows[other].to_pylist(), strict=True):
+            if first not in seen[0] and second not in seen[1]:
+                seen[0].add(first)
+                seen[1].add(second)
+                kept.append(place)
+        return pa.table({order: pa.array(kept, rows[order].type)})
+
+    return scan
+
+
+def two_key_dedupe(df: DataFrame, key: str, other: str, order: str = "ord", rounds: int = DEDUPE_ROUNDS) -> DataFrame:
+    """Rows kept by scanning in order (a unique long) and dropping a row of which either key was kept before.
 
     The scan is done in rounds.  In each round the rows that are first under
     both of their keys are kept, and all rows that share a key with them are
-    settled.  A round is two pre-aggregated minima and anti-joins; every round
-    settles at least the first open row, and typical data need a few.
+    settled.  A round is two pre-aggregated minima and anti-joins; typical data
+    need a few.  What is open after ``rounds`` of them (long chains of keys) is
+    divided into components that share no key, and each is scanned by itself.
     """
     open_rows = materialize(df.groupBy(key, other).agg(F.min(order).alias(order)))  # repeats of a pair fall with its first
     kept = None
-    while True:
+    for _ in range(rounds):
         by_key = open_rows.groupBy(key).agg(F.min(order).alias("_k"))
         by_other = open_rows.groupBy(other).agg(F.min(order).alias("_o"))
         ahead = materialize(open_rows.join(by_key, key).join(by_other, other).where(f"{order} = _k and {order} = _o").select(key, other, order))
-        kept = ahead if kept is None else kept.unionByName(ahead)
+        kept = ahead.select(order) if kept is None else kept.unionByName(ahead.select(order))
         open_rows = materialize(open_rows.join(ahead.select(key), key, "left_anti").join(ahead.select(other), other, "left_anti").select(key, other, order))
         if open_rows.isEmpty():
-            return df.join(kept.select(order), order, "left_semi")
+            return df.join(kept, order, "left_semi")
+    ties = [open_rows.join(open_rows.groupBy(k).agg(F.min(order).alias("b")), k).select(F.col(order).alias("a"), "b") for k in (key, other)]
+    parts = connected_components(ties[0].unionByName(ties[1])).withColumnRenamed("node", order)
+    placed = open_rows.join(parts, order, "left").withColumn("component", F.coalesce("component", order))
+    scanned = materialize(placed.select("component", order, key, other).groupBy("component").applyInArrow(_scan(key, other, order), T.StructType([df.schema[order]])))
+    return df.join(scanned if kept is None else kept.unionByName(scanned), order, "left_semi")
 
 
 def article_table(raw: DataFrame, documents: DataFrame, skip_expired: bool = True) -> DataFrame:
@@ -112,7 +140,38 @@ def normalize_report(raw_articles: DataFrame, documents: DataFrame, articles: Da
     return one(documents, "docs").crossJoin(one(articles, "articles")).crossJoin(one(live, "live")).select("docs", "articles", (F.col("live") - F.col("articles")).alias("skipped_dup"))
 
 
+def _number(base: str, order: str):
+    """One group of rows (order, base) -> order and a key that no earlier row has."""
+
+    def number(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by(order)
+        taken: set[str] = set()
+        following: dict[str, int] = {}  # numbers below are taken for a base
+        keys = []
+        for name in rows[base].to_pylist():
+            key, n = name, following.get(name, 2)
+            while key in taken:
+                key, n = f"{name}_{n}", n + 1
+            following[name] = n
+            taken.add(key)
+            keys.append(key)
+        return pa.table({order: rows[order], "_key": pa.array(keys, pa.string())})
+
+    return number
+
+
 def suffix_keys(df: DataFrame, base: str, order: str = "ord", name: str = "key") -> DataFrame:
-    """Unique keys: the n-th row of a base gets ``_n`` from the second on."""
+    """Unique keys in the order of a unique column: a base, or else the base with the least ``_n`` from 2 on that is free.
+
+    Only bases that are equal without trailing numbers can meet.  Where all rows
+    of such a family have the same base the number is the place; mixed families
+    are scanned one by one.
+    """
+    family = F.regexp_replace(F.col(base), r"(_[0-9]+)+$", "")
+    rows = df.withColumn("_family", family)
+    sizes = rows.groupBy("_family").agg((F.min(base) != F.max(base)).alias("_mixed")).where("_mixed").select("_family")
+    rows = rows.join(sizes.withColumn("_mixed", F.lit(True)), "_family", "left")
     n = F.row_number().over(Window.partitionBy(base).orderBy(order))
-    return df.withColumn(name, F.when(n == 1, F.col(base)).otherwise(F.concat_ws("_", F.col(base), n)))
+    scanned = rows.where("_mixed").select("_family", order, base).groupBy("_family").applyInArrow(_number(base, order), T.StructType([df.schema[order], T.StructField("_key", T.StringType())]))
+    numbered = rows.withColumn("_plain", F.when(n == 1, F.col(base)).otherwise(F.concat_ws("_", F.col(base), n)))
+    return numbered.join(scanned, order, "left").select(*df.columns, F.when(F.col("_mixed"), F.col("_key")).otherwise(F.col("_plain")).alias(name))

@@ -22,13 +22,35 @@ def greedy_two_keys(rows):
     return kept
 
 
+def test_two_key_dedupe_of_a_long_chain(spark):
+    rows = [(i, f"k{i // 2}", f"h{(i + 1) // 2}") for i in range(10_000)]
+    df = spark.createDataFrame(rows, "ord long, key string, hash string").repartition(4)
+    assert sorted(r["ord"] for r in normalize.two_key_dedupe(df, "key", "hash").collect()) == greedy_two_keys(rows)
+
+
+def test_unique_keys_are_unique(spark):
+    rnd = random.Random(4)
+    bases = ["a", "a", "a_2", "a_2_2", "b_3", "b_3", "c", "c"] + [rnd.choice(["x", "x_2", "x_3", "x_2_2", "y", "y_10"]) for _ in range(80)]
+    taken, want = set(), []
+    for base in bases:
+        key, n = base, 2
+        while key in taken:
+            key, n = f"{base}_{n}", n + 1
+        taken.add(key)
+        want.append(key)
+    df = spark.createDataFrame([(i, b, "k") for i, b in enumerate(bases)], "ord long, base string, key0 string").repartition(3)
+    got = normalize.suffix_keys(df, "base")
+    assert got.columns == ["ord", "base", "key0", "key"]
+    assert [r["key"] for r in sorted(got.collect(), key=lambda r: r["ord"])] == want
+
+
 @pytest.mark.parametrize("seed", [0, 1, 2])
 def test_two_key_dedupe(spark, seed):
     rnd = random.Random(seed)
     rows = [(i, f"k{rnd.randint(0, 12)}", f"h{rnd.randint(0, 15)}") for i in range(60)]
     rows += [(100, "k1", "h1"), (101, "k2", "h1"), (102, "k2", "h2")]
     df = spark.createDataFrame(rows, "ord long, key string, hash string").repartition(5)
-    got = sorted(r["ord"] for r in normalize.two_key_dedupe(df, "key", "hash").collect())
+    got = sorted(r["ord"] for r in normalize.two_key_dedupe(df, "key", "hash", rounds=seed).collect())
     assert got == greedy_two_keys(rows)
     empty = df.limit(0)
     assert normalize.two_key_dedupe(empty, "key", "hash").count() == 0
