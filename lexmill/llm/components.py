@@ -1,57 +1,7 @@
-"""Connected components of an edge table by alternating large and small stars."""
+"""Connected components, as the retrieval operators use them too."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+from lexmill.plans.components import connected_components
 
-from .common import materialize, partitions
-
-
-def _fingerprint(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
-
-
-def _least_of_neighbours(edges: DataFrame) -> DataFrame:
-    """Edges (a, b, least): the least neighbour of ``a`` beside each of them.
-
-    Minima are taken by node and salt first and go back to the edges by node and
-    salt, so the edges of a hub are never one group.
-    """
-    salts = partitions(edges.sparkSession)
-    salted = edges.withColumn("salt", F.pmod(F.xxhash64("b"), F.lit(salts)).cast("int"))
-    partial = salted.groupBy("a", "salt").agg(F.min("b").alias("low"))
-    least = partial.groupBy("a").agg(F.min("low").alias("least"))
-    return salted.join(partial.join(least, "a").select("a", "salt", "least"), ["a", "salt"]).select("a", "b", "least")
-
-
-def _large_star(edges: DataFrame) -> DataFrame:
-    """Every larger neighbour of a node is tied to the least of its neighbourhood."""
-    both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    return _least_of_neighbours(both).where("b > a").select(F.col("b").alias("a"), F.least("a", "least").alias("b")).distinct()
-
-
-def _small_star(edges: DataFrame) -> DataFrame:
-    """A node and its smaller neighbours are tied to the least of them."""
-    joined = _least_of_neighbours(edges)
-    tied = joined.select(F.col("b").alias("a"), F.col("least").alias("b")).unionAll(joined.select("a", F.col("least").alias("b")))
-    return tied.where("a > b").distinct()
-
-
-def connected_components(edges: DataFrame) -> DataFrame:
-    """(a, b) long edges -> (node, component), component the least node reachable.
-
-    Only nodes with an edge to another node are returned.  Each round is joins on
-    pre-aggregated minima and is written to the checkpoint folder; the number of
-    rounds is logarithmic in the size of the largest component.
-    """
-    pairs = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a > b").distinct()
-    pairs = materialize(pairs)
-    mark = _fingerprint(pairs)
-    while True:
-        pairs = materialize(_small_star(_large_star(pairs)))
-        if (now := _fingerprint(pairs)) == mark:
-            break
-        mark = now
-    nodes = pairs.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return nodes.unionAll(pairs.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
+__all__ = ["connected_components"]

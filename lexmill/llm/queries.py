@@ -136,4 +136,41 @@ ORACLE_SQL: dict[str, str] = {
         m AS (SELECT page_id, rule_host || rule_path AS rule, rule_verdict FROM p JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path)
             QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule_host || rule_path) DESC) = 1)
         SELECT page_id, host, path, rule, coalesce(rule_verdict, 'allow') AS verdict FROM p LEFT JOIN m USING (page_id)""",
+    "op5_warc": """
+        WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS body FROM pages),
+        d AS (SELECT page_id, octet_length(body)::BIGINT AS payload_bytes, sha1(body) AS hex FROM p),
+        b AS (SELECT *, array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+            ((('0x' || substr(hex, (i // 4 * 5 + 1)::INT, 5))::INT >> ((3 - i % 4) * 5)::INT) & 31) + 1, 1)), '') AS payload_digest FROM d)
+        SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = max(page_id) OVER g THEN 'response' ELSE 'revisit' END AS record_type,
+            CASE WHEN page_id = max(page_id) OVER g THEN NULL ELSE max(page_id) OVER g END AS refers_to FROM b WINDOW g AS (PARTITION BY hex)""",
+    "op6_line_dedup": r"""
+        WITH t AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+        l AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS p, unnest(lines) AS line FROM t),
+        f AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY p) AS i FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+        w AS (SELECT doc_id, i, line || chr(10) || lead(line) OVER d || chr(10) || lead(line, 2) OVER d AS win FROM f WINDOW d AS (PARTITION BY doc_id ORDER BY i)),
+        o AS (SELECT doc_id, i, row_number() OVER (PARTITION BY win ORDER BY doc_id, i) AS n FROM w WHERE win IS NOT NULL),
+        c AS (SELECT DISTINCT doc_id, unnest([i, i + 1, i + 2]) AS i FROM o WHERE n > 1),
+        g AS (SELECT l.doc_id, count(*) FILTER (c.i IS NOT NULL) AS gone, coalesce(string_agg(l.line, chr(10) ORDER BY l.p) FILTER (c.i IS NULL), '') AS kept
+            FROM l LEFT JOIN f USING (doc_id, p) LEFT JOIN c ON f.doc_id = c.doc_id AND f.i = c.i GROUP BY l.doc_id),
+        r AS (SELECT t.doc_id, t.text, CASE WHEN t.text IS NULL THEN NULL WHEN gone = 0 THEN t.text ELSE kept END AS cut FROM t LEFT JOIN g USING (doc_id))
+        SELECT doc_id, cut AS text, CASE WHEN coalesce(text, '') = '' THEN 0 ELSE length(text) - length(replace(text, chr(10), '')) + 1 END::BIGINT AS n_lines,
+            (CASE WHEN coalesce(text, '') = '' THEN 0 ELSE length(text) - length(replace(text, chr(10), '')) + 1 END
+            - CASE WHEN coalesce(cut, '') = '' THEN 0 ELSE length(cut) - length(replace(cut, chr(10), '')) + 1 END)::BIGINT AS n_removed FROM r""",
+    "op8_substring_dedup": f"""
+        WITH w AS (SELECT doc_id, {_WORDS} AS words FROM documents),
+        s AS (SELECT doc_id, words, unnest(range(1, len(words) - 33)) AS i FROM w),
+        n AS (SELECT doc_id, i, count(*) OVER (PARTITION BY sha256(array_to_string(words[i:i + 34], ' '))) AS n FROM s),
+        c AS (SELECT DISTINCT doc_id, unnest(range(i, i + 35)) AS p FROM n WHERE n > 1),
+        x AS (SELECT doc_id, unnest(words) AS word, unnest(range(1, len(words) + 1)) AS p FROM w),
+        k AS (SELECT doc_id, count(*) FILTER (c.p IS NOT NULL) AS gone, string_agg(word, ' ' ORDER BY p) FILTER (c.p IS NULL) AS kept FROM x LEFT JOIN c USING (doc_id, p) GROUP BY doc_id)
+        SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+        FROM w LEFT JOIN k USING (doc_id)""",
+    "op10_ngram_join": r"""
+        WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS words FROM documents),
+        g AS (SELECT DISTINCT doc_id, array_to_string(words[i:i + 3], ' ') AS gram FROM (SELECT doc_id, words, unnest(range(1, greatest(2, len(words) - 2))) AS i FROM w WHERE len(words) > 0)),
+        s AS (SELECT doc_id, count(*) AS n FROM g GROUP BY doc_id),
+        p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS common FROM g x JOIN g y ON x.gram = y.gram AND x.doc_id <> y.doc_id GROUP BY ALL),
+        e AS MATERIALIZED (SELECT a, b FROM p JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
+        r AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen)
+        SELECT doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, low AS component_id FROM documents LEFT JOIN s USING (doc_id) JOIN (SELECT node AS doc_id, min(seen) AS low FROM r GROUP BY node) USING (doc_id)""",
 }
