@@ -13,11 +13,15 @@ K1, B, LEAST_IDF = 1.2, 0.75, 1e-6
 TOP = 80
 
 
+def token_rows(rows: DataFrame, columns: list[str], row_id: str = "rowid") -> DataFrame:
+    """(rowid, col, tokens), one row per column of each row."""
+    each = F.array(*[F.struct(F.lit(i).alias("col"), index_tokens(F.col(c)).alias("tokens")) for i, c in enumerate(columns)])
+    return rows.select(F.col(row_id).alias("rowid"), F.explode(each).alias("c")).select("rowid", "c.col", "c.tokens")
+
+
 def build_postings(rows: DataFrame, columns: list[str], row_id: str = "rowid") -> DataFrame:
     """(rowid, col, pos, token), one row per token of each column."""
-    each = F.array(*[F.struct(F.lit(i).alias("col"), index_tokens(F.col(c)).alias("tokens")) for i, c in enumerate(columns)])
-    cols = rows.select(F.col(row_id).alias("rowid"), F.explode(each).alias("c"))
-    return cols.select("rowid", F.col("c.col").alias("col"), F.posexplode("c.tokens").alias("pos", "token"))
+    return token_rows(rows, columns, row_id).select("rowid", "col", F.posexplode("tokens").alias("pos", "token"))
 
 
 def build_lengths(rows: DataFrame, columns: list[str], row_id: str = "rowid") -> DataFrame:
@@ -31,13 +35,25 @@ def query_phrases(queries: DataFrame, query_id: str = "qid", text: str = "text",
     return terms.select("qid", "term_no", index_tokens(F.col("term")).alias("phrase")).where("size(phrase) > 0")
 
 
-def phrase_matches(postings: DataFrame, phrases: DataFrame) -> DataFrame:
-    """(key, rowid, f): how often each distinct phrase occurs, tokens in order in one column."""
-    wanted = phrases.select(F.array_join("phrase", " ").alias("key"), "phrase").distinct()
-    tokens = wanted.select("key", F.size("phrase").alias("n"), F.posexplode("phrase").alias("i", "token"))
-    hits = postings.join(small_or_shuffled(tokens, tokens.count()), "token")
-    starts = hits.groupBy("key", "rowid", "col", (F.col("pos") - F.col("i")).alias("at"), "n").agg(F.count("*").alias("found")).where("found = n")
-    return starts.groupBy("key", "rowid").agg(F.count("*").alias("f"))
+def _grams(size: int) -> Column:
+    """Every run of so many adjacent tokens, joined by blanks."""
+    if size == 1:
+        return F.col("tokens")
+    runs = F.transform(F.sequence(F.lit(1), F.size("tokens") - (size - 1)), lambda i: F.array_join(F.slice("tokens", i, size), " "))
+    return F.when(F.size("tokens") >= size, runs).otherwise(F.array().cast("array<string>"))
+
+
+def phrase_matches(tokens: DataFrame, phrases: DataFrame) -> DataFrame:
+    """(key, rowid, f): how often each distinct phrase occurs, tokens in order in one column.
+
+    Runs of tokens are formed inside their row, for the lengths that are asked, and
+    meet the phrases whole: a common token in many phrases makes no hits by itself.
+    """
+    wanted = phrases.select(F.array_join("phrase", " ").alias("key"), F.size("phrase").alias("n")).distinct()
+    asked = wanted.groupBy("n").agg(F.count("*").alias("keys")).collect()  # a row for each length of a phrase
+    lengths = sorted(r["n"] for r in asked) or [1]
+    hits = tokens.select("rowid", F.explode(F.concat(*[_grams(n) for n in lengths])).alias("key"))
+    return hits.join(small_or_shuffled(wanted.select("key"), sum(r["keys"] for r in asked)), "key", "left_semi").groupBy("key", "rowid").agg(F.count("*").alias("f"))
 
 
 def bm25_scores(matches: DataFrame, lengths: DataFrame, phrases: DataFrame) -> DataFrame:
@@ -61,6 +77,6 @@ def top_k(scores: DataFrame, k: int, by: list[Column], group: str = "qid", rank:
 def bm25_search(rows: DataFrame, queries: DataFrame, columns: list[str], k: int = TOP, digits: int = 9) -> DataFrame:
     """(qid, rowid, score, rank); scores are rounded before ranking, ties go to the smaller rowid."""
     phrases = query_phrases(queries)
-    matches = phrase_matches(build_postings(rows, columns), phrases)
+    matches = phrase_matches(token_rows(rows, columns), phrases)
     scores = bm25_scores(matches, build_lengths(rows, columns), phrases).withColumn("score", F.round("score", digits))
     return top_k(scores, k, [F.desc("score"), F.asc("rowid")])

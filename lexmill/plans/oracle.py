@@ -105,11 +105,9 @@ _LISTS = f"""
     hybrid AS (SELECT *, round(rrf + bonus - CASE WHEN off_local THEN {fusion.LOCAL_PENALTY} ELSE 0 END::DOUBLE - CASE WHEN off_plate THEN {fusion.BOILERPLATE_PENALTY} ELSE 0 END::DOUBLE - CASE WHEN code = '' THEN {fusion.NO_ID_PENALTY} ELSE 0 END::DOUBLE, 12) AS hybrid FROM flags),
     ranked AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY hybrid DESC, first_at)::INT AS rank FROM hybrid QUALIFY rank <= 80)"""
 
-_RESULTS = f"SELECT conv_id AS id, coalesce(max(CASE WHEN turn = 0 THEN {_norm('text')} END), '') AS question, coalesce(max(CASE WHEN turn = 1 THEN {_norm('text')} END), '') AS answer FROM conversations GROUP BY conv_id"
-
 ORACLE_SQL: dict[str, str] = {
     "norm_fold": f"SELECT doc_id, {_norm('text')} AS normal, {_fold('text')} AS folded FROM documents",
-    "legal_ids": f"""WITH t AS (SELECT doc_id, 'theo ' || lower({_code('doc_id')}) || ' va ' || (doc_id % 50 + 1) || '/QH-' || (doc_id % 7) || ' cung ' || {_code('doc_id + 3')} || ' het' AS t FROM documents)
+    "legal_ids": f"""WITH t AS (SELECT doc_id, 'theo ' || lower({_code('doc_id')}) || ' va ' || (doc_id % 50 + 1) || '/QH-' || (doc_id % 7) || ' cung ' || {_code('doc_id + 3')} || ' het ' || coalesce(text, '') AS t FROM documents)
         SELECT doc_id, {_legal_id('t')} AS legal_id, array_to_string({_sorted_ids('t')}, ',') AS all_ids FROM t""",
     "title_flags": f"""SELECT doc_id, {_chain(_fold(_TITLE), tx.DOC_TYPES, "''", True)} AS kind, {_chain(_fold(_TITLE), tx.TYPE_BONUSES, '0.0::DOUBLE', False)} AS bonus, {_local(_fold(_TITLE))} AS is_local,
         regexp_matches({_fold(_QUESTION)}, '{tx.LOCAL_QUESTION}') AS local_asked, regexp_matches({_fold(_HEADING)}, '{"|".join(tx.BOILERPLATE)}') AS plate, regexp_matches({_fold(_QUESTION)}, '{tx.BOILERPLATE_QUESTION}') AS plate_asked FROM documents""",
@@ -137,7 +135,7 @@ ORACLE_SQL: dict[str, str] = {
             FROM (SELECT *, ln(((SELECT count(*) FROM documents) - n + 0.5) / (n + 0.5)) AS idf0 FROM qk JOIN tf USING (token) JOIN n USING (token) JOIN dl USING (rowid)) GROUP BY qid, rowid)
         SELECT qid, rowid, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, rowid)::INT AS rank FROM s QUALIFY rank <= 80""",
     "bm25_phrases": f"""WITH d AS (SELECT doc_id AS rowid, {_index_list('text')} AS w FROM documents), p AS (SELECT rowid, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM d),
-        q AS (SELECT DISTINCT ({_index_list('text')})[1] AS a, ({_index_list('text')})[2] AS b FROM benchmark WHERE len({_index_list('text')}) >= 2)
+        q AS (SELECT DISTINCT w[i] AS a, w[i + 1] AS b FROM (SELECT w, unnest(range(1, len(w))) AS i FROM (SELECT {_index_list('text')} AS w FROM benchmark)))
         SELECT a || ' ' || b AS key, x.rowid, count(*) AS f FROM q JOIN p x ON x.token = a JOIN p y ON y.token = b AND y.rowid = x.rowid AND y.pos = x.pos + 1 GROUP BY ALL""",
     "dense_topk": """WITH s AS (SELECT q.vec_id AS qid, v.vec_id, round(list_inner_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS score FROM embeddings q, embeddings v WHERE q.vec_id % 100 = 0)
         SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id)::INT AS rank FROM s QUALIFY rank <= 60""",
@@ -146,17 +144,17 @@ ORACLE_SQL: dict[str, str] = {
         fin AS (SELECT *, round(score + bonus - CASE WHEN off_local THEN {fusion.RERANK_LOCAL} ELSE 0 END::DOUBLE - CASE WHEN off_plate THEN {fusion.RERANK_BOILERPLATE} ELSE 0 END::DOUBLE, 12) AS final FROM texts)
         SELECT qid, citation, round(score, 9) AS score, round(final, 9) AS final, row_number() OVER (PARTITION BY qid ORDER BY final DESC, rank)::INT AS final_rank FROM fin""",
     "capped_select_variants": f"SELECT qid, variant, art_no, citation, doc FROM ({_capped(_RANKING, True)})",
-    "evidence_caps": f"SELECT qid, variant, art_no, citation, doc FROM ({_capped(f'SELECT * FROM ({_RANKING}) WHERE pos <= 12', False)})",
+    "evidence_caps": f"SELECT qid, variant, art_no, citation, doc FROM ({_capped(_RANKING, False)})",
     "context_blocks": _LISTS + """, items AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY rank) AS n FROM ranked QUALIFY n <= 5)
         SELECT qid, string_agg('[A' || n || ']' || chr(10) || 'CITATION: ' || citation || chr(10) || 'TÊN VĂN BẢN: ' || title || chr(10) || 'TÊN ĐIỀU: Điều ' || article_no || ' ' || article_title || chr(10) || 'NỘI DUNG: ' || left(""" + _norm("text") + """, 1000), chr(10) || chr(10) ORDER BY n) AS context FROM items GROUP BY qid""",
-    "rule_plan": f"""WITH q AS (SELECT item_id AS qid, text || ' ' || {_code('item_id')} AS question FROM benchmark), h AS (SELECT doc_id % 50 AS qid, arg_max(lang, doc_id) AS e, arg_max({_norm("source || ' ' || " + _code('doc_id'))}, doc_id) AS a FROM documents WHERE n_chars < 400 GROUP BY 1),
+    "rule_plan": f"""WITH q AS (SELECT item_id AS qid, text || ' ' || {_code('item_id')} AS question FROM benchmark), h AS (SELECT doc_id % 50 AS qid, arg_max(lang, doc_id) AS e, arg_max({_norm("source || ' ' || " + _code('doc_id'))}, doc_id) AS a FROM documents GROUP BY 1),
         j AS (SELECT q.qid, question, coalesce(e, '') AS e, coalesce(a, '') AS a FROM q LEFT JOIN h USING (qid)),
         t AS (SELECT *, list_filter(list_transform(string_split(trim(regexp_replace(question, '[^0-9A-Za-zÀ-ỹ%/.-]+', ' ', 'g')), ' '), lambda w: lower(trim(w, '.,;:'))), lambda w: length(w) >= 3 AND NOT list_contains({_list(tk.PLAN_STOP)}, w)) AS k FROM j)
         SELECT qid, array_to_string(list_filter([question, e, a], lambda x: x <> ''), '|') AS queries, coalesce((SELECT string_agg(x, ' ' ORDER BY i) FROM (SELECT x, min(i) AS i FROM (SELECT unnest(k) AS x, generate_subscripts(k, 1) AS i) GROUP BY x ORDER BY i LIMIT 24)), '') AS terms,
             array_to_string({_sorted_ids("question || ' ' || a")}, ',') AS codes, a AS hyde_answer FROM t""",
     "graph_nodes": f"""SELECT {_code('doc_id // 2')} AS legal_id, (doc_id % 3)::VARCHAR AS article_no, {_TITLE} AS title, source, doc_id::VARCHAR AS doc_id, lang AS article_title, documents.doc_id AS ord FROM documents WHERE {_code('documents.doc_id // 2')} <> ''
         QUALIFY row_number() OVER (PARTITION BY {_code('documents.doc_id // 2')}, documents.doc_id % 3, {_sql_pick(TITLES, 'documents.doc_id')} ORDER BY documents.doc_id) = 1""",
-    "graph_edges": f"""WITH c AS (SELECT doc_id, {_code('doc_id // 2')} AS own, 'theo ' || {_code('doc_id')} || ' va ' || lower({_code('doc_id * 3 + 1')}) || ' ' || lang AS text FROM documents)
+    "graph_edges": f"""WITH c AS (SELECT doc_id, {_code('doc_id // 2')} AS own, 'theo ' || {_code('doc_id')} || ' va ' || lower({_code('doc_id * 3 + 1')}) || ' ' || lang || ' ' || coalesce(text, '') AS text FROM documents)
         SELECT own AS src_legal_id, (doc_id % 3)::VARCHAR AS src_article_no, upper(code) AS dst_legal_id, 'mentions_legal_id' AS relation, doc_id AS src_chunk_id FROM (SELECT *, unnest({_sorted_ids('text')}) AS code FROM c) WHERE own <> '' AND upper(code) <> upper(own)""",
     "row_filters": f"""SELECT doc_id, {_sql_pick(STATUSES, 'doc_id')} AS status, lang AS answer FROM documents WHERE NOT contains({_fold(_sql_pick(STATUSES, 'doc_id'))}, 'het hieu luc') AND length(text) >= 80 AND doc_id % 11 <> 0""",
     "resume_pending": "SELECT doc_id AS qid, lang, CASE WHEN doc_id IN (SELECT doc_id FROM labels) THEN 'done' ELSE 'pending' END AS state FROM documents",
@@ -164,15 +162,10 @@ ORACLE_SQL: dict[str, str] = {
     "json_props": "SELECT event_id, (props::JSON ->> 'k')::BIGINT AS k FROM events",
     "unique_keys": "WITH n AS (SELECT doc_id, source || '_' || lang AS base, row_number() OVER (PARTITION BY source, lang ORDER BY doc_id) AS n FROM documents) SELECT doc_id, CASE WHEN n = 1 THEN base ELSE base || '_' || n END AS key FROM n",
     "daily_events": "SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M') AS hour, event_type, count(*) AS events FROM events GROUP BY ALL",
-    "relation_enrich": f"""WITH a AS (SELECT source AS doc_id, doc_id::VARCHAR AS article_no, [{_code('documents.doc_id % 60')}, {_code('documents.doc_id % 45 + 1')}] AS codes FROM documents),
+    "relation_enrich": f"""WITH a AS (SELECT source AS doc_id, doc_id::VARCHAR AS article_no, {_sorted_ids("'theo ' || " + _code('documents.doc_id % 60') + " || ' va ' || " + _code('documents.doc_id % 45 + 1') + " || ' ' || coalesce(documents.text, '')")} AS codes FROM documents),
         cited AS (SELECT DISTINCT doc_id, article_no, upper(replace(strip_accents(lower(c)), 'đ', 'd')) AS n FROM (SELECT doc_id, article_no, unnest(codes) AS c FROM a) WHERE c <> ''),
-        r AS (SELECT source AS doc_id, (doc_id % 20)::VARCHAR AS kind, doc_id::VARCHAR AS id, upper(replace(strip_accents(lower({_code('documents.doc_id % 60')})), 'đ', 'd')) AS n FROM documents WHERE n_chars < 600)
+        r AS (SELECT source AS doc_id, (doc_id % 20)::VARCHAR AS kind, doc_id::VARCHAR AS id, upper(replace(strip_accents(lower({_code('documents.doc_id % 60')})), 'đ', 'd')) AS n FROM documents)
         SELECT doc_id, article_no, coalesce(map {{{', '.join(f"'{k}': '{v}'" for k, v in graph.RELATIONS.items())}}}[kind], kind) AS quan_he, id, n AS matched_so_hieu, 'http://host/--' || id AS url FROM cited JOIN r USING (doc_id, n) WHERE n <> ''""",
-    "answer_lookup": f"""WITH r AS ({_RESULTS}), q AS (SELECT item_id AS qid, text AS question FROM benchmark UNION ALL SELECT id + 1000000, upper(question) FROM r WHERE id % 10 = 0 AND question <> ''),
-        rt AS (SELECT id, list_slice({_first_of_each('k')}, 1, 120) AS k FROM (SELECT id, {_LOOKUP_RAW.format(text='f')} AS k FROM (SELECT id, {_fold("question || ' ' || answer || ' '")} AS f FROM r))),
-        qt AS (SELECT qid, {_norm('question')} AS query, list_slice({_first_of_each('k')}, 1, 80) AS k FROM (SELECT qid, question, {_LOOKUP_RAW.format(text='f')} AS k FROM (SELECT *, {_fold('question')} AS f FROM q))),
-        s AS (SELECT qid, r.id, CASE WHEN lower(r.question) = lower(query) THEN 1.0::DOUBLE ELSE len(list_intersect(qt.k, rt.k))::DOUBLE / greatest(1, len(qt.k)) END AS score, left(r.answer, 300) AS answer_head FROM qt, r JOIN rt USING (id))
-        SELECT qid, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id)::INT AS rank, id, round(score, 5) AS score, answer_head FROM s QUALIFY rank <= 5""",
 }
 
 _EVIDENCE = "SELECT n_nationkey AS qid, unnest([1, 2, 3, 4, 5, 6]) AS pos, unnest(['a|b|1', 'a|b|2', 'a|b|3', 'c|d|1', 'e|f|1', 'g|h|1']) AS citation, unnest(['a|b', 'a|b', 'a|b', 'c|d', 'e|f', 'g|h']) AS doc FROM nation WHERE n_nationkey % 3 = 1"

@@ -50,13 +50,17 @@ def _code(key: Column) -> Column:
 _SQL_CODE = "CASE WHEN {k} % 7 = 0 THEN '' ELSE ({k} % 900 + 1) || '/' || (2000 + {k} % 25) || '/NĐ-CP' END"
 
 
+def _whole_text() -> Column:
+    return F.coalesce("text", F.lit(""))
+
+
 def norm_fold(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _documents(spark, sf_dir).select("doc_id", tx.norm_space(F.col("text")).alias("normal"), tx.fold(F.col("text")).alias("folded"))
 
 
 def legal_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("doc_id")
-    text = F.concat(F.lit("theo "), F.lower(_code(k)), F.lit(" va "), (k % 50 + 1).cast("string"), F.lit("/QH-"), (k % 7).cast("string"), F.lit(" cung "), _code(k + 3), F.lit(" het"))
+    text = F.concat(F.lit("theo "), F.lower(_code(k)), F.lit(" va "), (k % 50 + 1).cast("string"), F.lit("/QH-"), (k % 7).cast("string"), F.lit(" cung "), _code(k + 3), F.lit(" het "), _whole_text())
     rows = _documents(spark, sf_dir).select("doc_id", text.alias("t"))
     return rows.select("doc_id", tx.legal_id(F.col("t")).alias("legal_id"), F.array_join(tx.sorted_legal_ids(F.col("t")), ",").alias("all_ids"))
 
@@ -136,8 +140,9 @@ def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def bm25_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _documents(spark, sf_dir).select(F.col("doc_id").alias("rowid"), "text")
-    phrases = _bm25_queries(spark, sf_dir).select("qid", F.slice(tk.index_tokens(F.col("text")), 1, 2).alias("phrase")).where("size(phrase) = 2")
-    return bm25.phrase_matches(bm25.build_postings(rows, ["text"]), phrases).select("key", "rowid", "f")
+    tokens = _bm25_queries(spark, sf_dir).select("qid", tk.index_tokens(F.col("text")).alias("tokens")).where("size(tokens) >= 2")
+    pairs = F.transform(F.sequence(F.lit(1), F.size("tokens") - 1), lambda i: F.slice("tokens", i, 2))
+    return bm25.phrase_matches(bm25.token_rows(rows, ["text"]), tokens.select("qid", F.explode(pairs).alias("phrase"))).select("key", "rowid", "f")
 
 
 def dense_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -182,18 +187,8 @@ def capped_select_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return select.capped(_ranking(spark, sf_dir), select.variants(spark)).select("qid", "variant", "art_no", "citation", "doc")
 
 
-def _evidence_caps(spark: SparkSession, used: DataFrame) -> DataFrame:
-    return select.capped(used, select.variants(spark), distinct=False).select("qid", "variant", "art_no", "citation", "doc")
-
-
 def evidence_caps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    used = _ranking(spark, sf_dir).withColumn("pos", F.row_number().over(bm25.Window.partitionBy("qid").orderBy("pos"))).where("pos <= 12")
-    return _evidence_caps(spark, used)
-
-
-def evidence_caps_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Whole rankings."""
-    return _evidence_caps(spark, _ranking(spark, sf_dir))
+    return select.capped(_ranking(spark, sf_dir), select.variants(spark), distinct=False).select("qid", "variant", "art_no", "citation", "doc")
 
 
 def _assembled(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -223,41 +218,24 @@ def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("id", "question", "answer", none.alias("relevant_docs"), none.alias("relevant_articles"))
 
 
-def _answer_lookup(spark: SparkSession, sf_dir: str, stored: DataFrame) -> DataFrame:
+def answer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    stored = _results(spark, sf_dir)
     questions = _bm25_queries(spark, sf_dir).select("qid", F.col("text").alias("question"))
-    exact = stored.where("question <> ''").select((F.col("id") + 1_000_000).alias("qid"), F.upper("question").alias("question"))  # repeats of stored questions
-    found = lookup.answer_candidates(lookup.prepare_rows(_results(spark, sf_dir)), questions.unionByName(exact))
+    exact = stored.where("question <> ''").select((F.col("id") + 1_000_000).alias("qid"), F.upper("question").alias("question"))  # repeats of all stored questions
+    found = lookup.answer_candidates(lookup.prepare_rows(stored), questions.unionByName(exact))
     return found.select("qid", "rank", "id", "score", "answer_head")
 
 
-def answer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _answer_lookup(spark, sf_dir, _results(spark, sf_dir).where("id % 10 = 0"))
-
-
-def answer_lookup_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Repeats of all stored questions."""
-    return _answer_lookup(spark, sf_dir, _results(spark, sf_dir))
-
-
-def _rule_plan(spark: SparkSession, sf_dir: str, docs: DataFrame) -> DataFrame:
+def rule_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
     questions = _t(spark, sf_dir, "benchmark").select(F.col("item_id").alias("qid"), F.concat("text", F.lit(" "), _code(F.col("item_id"))).alias("question"))
-    plans = docs.select((F.col("doc_id") % 50).alias("qid"), F.col("lang").alias("query_expansion"), F.concat("source", F.lit(" "), _code(F.col("doc_id"))).alias("hyde_answer"), F.col("doc_id").alias("ord"))
+    plans = _documents(spark, sf_dir).select((F.col("doc_id") % 50).alias("qid"), F.col("lang").alias("query_expansion"), F.concat("source", F.lit(" "), _code(F.col("doc_id"))).alias("hyde_answer"), F.col("doc_id").alias("ord"))
     made = graph.rule_plans(questions, plans)
     return made.select("qid", F.array_join("queries", "|").alias("queries"), F.array_join("must_terms", " ").alias("terms"), F.array_join("legal_codes", ",").alias("codes"), "hyde_answer")
 
 
-def rule_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rule_plan(spark, sf_dir, _documents(spark, sf_dir).where("n_chars < 400"))
-
-
-def rule_plan_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Expansions of all documents."""
-    return _rule_plan(spark, sf_dir, _documents(spark, sf_dir))
-
-
 def _coded_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("doc_id")
-    text = F.concat(F.lit("theo "), _code(k), F.lit(" va "), F.lower(_code(k * 3 + 1)), F.lit(" "), F.col("lang"))
+    text = F.concat(F.lit("theo "), _code(k), F.lit(" va "), F.lower(_code(k * 3 + 1)), F.lit(" "), F.col("lang"), F.lit(" "), _whole_text())
     return _documents(spark, sf_dir).select(F.col("doc_id").alias("chunk_id"), "source", k.cast("string").alias("doc_id"), _code(F.floor(k / 2)).alias("legal_id"), (k % 3).cast("string").alias("article_no"), _pick(TITLES, k).alias("title"), F.col("lang").alias("article_title"), text.alias("text"), k.alias("ord"))
 
 
@@ -269,23 +247,15 @@ def graph_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graph.mention_edges(_coded_chunks(spark, sf_dir))
 
 
-def _relation_enrich(spark: SparkSession, sf_dir: str, related: DataFrame) -> DataFrame:
+def relation_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("doc_id")
-    articles = _documents(spark, sf_dir).select(F.col("source").alias("doc_id"), k.cast("string").alias("article_no"), F.concat(F.lit("theo "), _code(k % 60), F.lit(" va "), _code(k % 45 + 1)).alias("article_text"))
-    groups = related.select(F.col("source").alias("doc_id"), F.lit(graph.RELATION_GROUPS[0]).alias("relation_group"), F.create_map((k % 20).cast("string"), F.array(F.struct(k.cast("string").alias("id"), F.concat(F.lit("Văn bản "), _code(k % 60)).alias("name")))).alias("items"))
+    docs = _documents(spark, sf_dir)
+    articles = docs.select(F.col("source").alias("doc_id"), k.cast("string").alias("article_no"), F.concat(F.lit("theo "), _code(k % 60), F.lit(" va "), _code(k % 45 + 1), F.lit(" "), _whole_text()).alias("article_text"))
+    groups = docs.select(F.col("source").alias("doc_id"), F.lit(graph.RELATION_GROUPS[0]).alias("relation_group"), F.create_map((k % 20).cast("string"), F.array(F.struct(k.cast("string").alias("id"), F.concat(F.lit("Văn bản "), _code(k % 60)).alias("name")))).alias("items"))
     relations = graph.relation_rows(groups, "items", "http://host")
     return graph.enrich_with_relations(articles, relations).select("doc_id", "article_no", "quan_he", "id", "matched_so_hieu", "url")
 
 
-def relation_enrich(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _relation_enrich(spark, sf_dir, _documents(spark, sf_dir).where("n_chars < 600"))
-
-
-def relation_enrich_all(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Relations of all documents."""
-    return _relation_enrich(spark, sf_dir, _documents(spark, sf_dir))
-
-
 def row_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _documents(spark, sf_dir).withColumns({"status": _pick(STATUSES, F.col("doc_id")), "answer": F.when(F.col("doc_id") % 11 == 0, F.concat("lang", F.lit(" 中文"))).otherwise(F.col("lang"))})
     return normalize.drop_expired(rows).where(F.length("text") >= 80).where(~tx.has_cjk(F.col("answer"))).select("doc_id", "status", "answer")
@@ -331,7 +301,7 @@ def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = [
     norm_fold, legal_ids, title_flags, citation_keys, file_names, tokens_lookup, tokens_plan, tokens_search, doc_last_wins, dedupe_text_first, dedupe_two_key, normalized_documents,
-    chunk_pack, article_split, bm25_topk, bm25_phrases, dense_topk, hybrid_rrf, rerank_adjust, capped_select_variants, evidence_caps, evidence_caps_all, result_assembly, variant_summary, context_blocks,
-    answer_lookup, answer_lookup_all, rule_plan, rule_plan_all, graph_nodes, graph_edges, relation_enrich, relation_enrich_all, row_filters, resume_pending, url_extract, json_props, unique_keys, html_title_text, html_units, html_file_links, daily_events,
+    chunk_pack, article_split, bm25_topk, bm25_phrases, dense_topk, hybrid_rrf, rerank_adjust, capped_select_variants, evidence_caps, result_assembly, variant_summary, context_blocks,
+    answer_lookup, rule_plan, graph_nodes, graph_edges, relation_enrich, row_filters, resume_pending, url_extract, json_props, unique_keys, html_title_text, html_units, html_file_links, daily_events,
 ]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}

@@ -1,4 +1,4 @@
-"""Queries over whole tables that have no SQL, against plain Python."""
+"""Queries over whole tables against plain Python."""
 
 from __future__ import annotations
 
@@ -26,7 +26,7 @@ def test_rule_plan_takes_the_last_of_all_documents(spark, sf_dir):
     for r in queries._t(spark, sf_dir, "benchmark").collect():
         said = [f"{r['text']} {code(r['item_id'])}", *last.get(r["item_id"], ("", ""))]
         want[r["item_id"]] = "|".join(x for x in said if x), said[2]
-    assert {r["qid"]: (r["queries"], r["hyde_answer"]) for r in queries.rule_plan_all(spark, sf_dir).collect()} == want
+    assert {r["qid"]: (r["queries"], r["hyde_answer"]) for r in queries.rule_plan(spark, sf_dir).collect()} == want
 
 
 def test_relations_of_all_documents(spark, sf_dir):
@@ -37,7 +37,7 @@ def test_relations_of_all_documents(spark, sf_dir):
         for a in docs:
             if number and a["source"] == r["source"] and number in {code(k).replace("Đ", "D") for k in (a["doc_id"] % 60, a["doc_id"] % 45 + 1)}:
                 want.append((r["source"], str(a["doc_id"]), graph.RELATIONS.get(kind, kind), str(r["doc_id"]), number, f"http://host/--{r['doc_id']}"))
-    assert sorted(tuple(r) for r in queries.relation_enrich_all(spark, sf_dir).collect()) == sorted(want)
+    assert sorted(tuple(r) for r in queries.relation_enrich(spark, sf_dir).collect()) == sorted(want)
 
 
 def test_caps_over_whole_rankings(spark, sf_dir):
@@ -49,7 +49,7 @@ def test_caps_over_whole_rankings(spark, sf_dir):
     for q, rows in lists.items():
         for name, a, d, p in select.VARIANTS:
             want[q, name] = greedy_caps(rows, a, d, p, False)
-    for r in sorted(queries.evidence_caps_all(spark, sf_dir).collect(), key=lambda r: r["art_no"]):
+    for r in sorted(queries.evidence_caps(spark, sf_dir).collect(), key=lambda r: r["art_no"]):
         got.setdefault((r["qid"], r["variant"]), []).append(r["citation"])
     assert got == want
 
@@ -66,4 +66,4 @@ def test_lookup_of_all_stored_questions(spark, sf_dir):
         scores = sorted((-(1.0 if r["exact"] == query else len(own & set(r["tokens"])) / max(1, len(own))), r["id"]) for r in rows)
         want |= {(qid, k + 1): (x, round(-s, 5)) for k, (s, x) in enumerate(scores[:5])}
     assert len(asked) > len(rows)
-    assert {(r["qid"], r["rank"]): (r["id"], r["score"]) for r in queries.answer_lookup_all(spark, sf_dir).collect()} == want
+    assert {(r["qid"], r["rank"]): (r["id"], r["score"]) for r in queries.answer_lookup(spark, sf_dir).collect()} == want
