@@ -3,9 +3,9 @@
 Main path: DataFrame functions only, one scan, no shuffle.  Rules stand in a
 CASE chain, and what a rule needs is computed inside its branch, so a document
 that one rule rejects costs nothing in the rules behind it.  Their order comes
-from a bounded sample: each rule is evaluated on it often enough to be timed, its
-rejections are counted, and rules stand by rejections per second.  The order
-changes the cost, never the verdict.  ``filter_quality`` has all rules in the
+from a bounded random sample that one job draws, judges and times: every rule
+stands between two readings of the clock, its rejections are counted, and rules
+stand by rejections per second.  The order changes the cost, never the verdict.  ``filter_quality`` has all rules in the
 chain; ``judge_quality`` reports the base figures of every document, so there
 only what they leave is in the chain.
 
@@ -19,20 +19,22 @@ and ignored by ``judge_quality``.
 
 from __future__ import annotations
 
-import time
+import hashlib
 from collections.abc import Callable
+from urllib.parse import unquote
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import materialize, single_spaced, spaced_word_count
+from .common import single_spaced, spaced_word_count
 
 # Fixed values of the base rule.
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEATED_PERCENT = 50
-#: Documents of the sample that orders the rules, bytes of the longest one in it, and how often a timing evaluates it.
-SAMPLE_ROWS, SAMPLE_BYTES, REPEATS = 200, 1 << 18, 20
+#: Documents of the sample that orders the rules, bytes of the longest one in it, and files that it is drawn from at most.
+SAMPLE_ROWS, SAMPLE_BYTES, SAMPLE_FILES = 200, 1 << 15, 32
 
 
 def _let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -97,29 +99,40 @@ def all_rules() -> dict[str, Column]:
     return base_rules(repeated_window_words(F.col("spaced"))) | cascade_rules(_symbols(F.col("text")), _line_counts(F.col("text")), word_chars)
 
 
-def sampled(docs: DataFrame) -> DataFrame:
-    """The first ``SAMPLE_ROWS`` documents that are not too long; partitions are read one after the other until they are found."""
-    spark = docs.sparkSession
-    few = docs.select("text").where(F.octet_length("text") <= SAMPLE_BYTES).limit(SAMPLE_ROWS).collect()
-    return materialize(spaced_words(spark.createDataFrame(few, "text string").coalesce(1)).withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(REPEATS)))))
+def sample_files(docs: DataFrame) -> DataFrame:
+    """The rows of at most ``SAMPLE_FILES`` of the files behind a table, by hash of their names; other files are not read."""
+    files = docs.inputFiles()
+    if len(files) <= SAMPLE_FILES:
+        return docs
+    chosen = sorted(files, key=lambda f: hashlib.md5(f.encode()).digest())[:SAMPLE_FILES]
+    try:
+        return docs.where(docs.metadataColumn("_metadata")["file_name"].isin([unquote(f.rsplit("/", 1)[-1]) for f in chosen]))
+    except AnalysisException:  # a derived table has lost its files' names
+        return docs
 
 
-def order_rules(docs: DataFrame, rules: dict[str, Column]) -> list[str]:
-    """Rule names by rejections per second on the sample, best first."""
-    sample = sampled(docs)
+def drawn(docs: DataFrame, text_col: str) -> DataFrame:
+    """A random draw of ``SAMPLE_ROWS`` documents that are not too long, as text, spaced and n_words; each task keeps no more."""
+    text = sample_files(docs).select(F.col(f"`{text_col}`").alias("text"))
+    few = text.where(F.octet_length("text") <= SAMPLE_BYTES).orderBy(F.rand(17)).limit(SAMPLE_ROWS)
+    return spaced_words(few)
 
-    def seconds(rule: Column) -> float:
-        best = float("inf")
-        for _ in range(2):  # the first one compiles
-            began = time.perf_counter()
-            sample.agg(F.count_if(rule)).first()
-            best = min(best, time.perf_counter() - began)
-        return best
 
-    idle = seconds(F.col("n_words") < 0)
-    rejected = sample.agg(*[F.count_if(r).alias(name) for name, r in rules.items()]).first()
-    cost = {name: max(seconds(rule) - idle, 1e-3) for name, rule in rules.items()}
-    return sorted(rules, key=lambda name: -rejected[name] / cost[name])
+def _clock() -> Column:
+    """Nanoseconds at the moment of evaluation; fields of a struct are evaluated in turn."""
+    return F.reflect(F.lit("java.lang.System"), F.lit("nanoTime")).cast("long")
+
+
+def order_rules(docs: DataFrame, rules: dict[str, Column], text_col: str = "text") -> list[str]:
+    """Rule names by rejections per nanosecond on the sample, best first; one job."""
+    marks = [_clock().alias("t0")]
+    for i, rule in enumerate(rules.values()):
+        marks += [F.coalesce(rule, F.lit(False)).alias(f"r{i}"), _clock().alias(f"t{i + 1}")]
+    timed = drawn(docs, text_col).select(F.struct(*marks).alias("m"))
+    sums = [F.count_if(f"m.r{i}").alias(f"n{i}") for i in range(len(rules))] + [F.sum(F.col(f"m.t{i + 1}") - F.col(f"m.t{i}")).alias(f"ns{i}") for i in range(len(rules))]
+    found = timed.agg(*sums).first()
+    gain = {name: found[f"n{i}"] / max(found[f"ns{i}"] or 0, 1) for i, name in enumerate(rules)}
+    return sorted(rules, key=lambda name: -gain[name])
 
 
 def verdict(rules: dict[str, Column], order: list[str]) -> Column:
@@ -136,7 +149,7 @@ def judge_quality(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "t
     rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     base = base_rules(F.col("n_repeat_words"))
     failed = base["few_words"] | base["repeated_words"]
-    order = [name for name in order_rules(rows, all_rules()) if name not in base]
+    order = [name for name in order_rules(docs, all_rules(), text_col) if name not in base]
     rules = cascade_rules(F.col("n_symbols"), F.col("line_counts"), F.col("word_chars")) | {"base": failed}
     return text_figures(rows).select("doc_id", "n_words", "word_chars", "n_symbols", F.col("line_counts.again").alias("n_dup_lines"), "n_repeat_words", failed.alias("base_failed"), verdict(rules, ["base", *order]).alias("kept"))
 
@@ -146,6 +159,6 @@ def filter_quality(docs: DataFrame, *, text_col: str = "text") -> DataFrame:
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
     rows = docs.select(row.alias("row"), F.col(f"`{text_col}`").alias("text"))
     rules = all_rules()
-    kept = verdict(rules, order_rules(rows, rules))
+    kept = verdict(rules, order_rules(docs, rules, text_col))
     # a filter would be pushed below the words and compute them once per rule
     return spaced_words(rows).select(F.inline(F.when(kept, F.array("row"))))

@@ -6,7 +6,8 @@ from collections import Counter
 from brute import WORD
 from pyspark.sql import functions as F
 
-from lexmill.llm.quality import REPEATS, SAMPLE_ROWS, all_rules, filter_quality, judge_quality, order_rules, sampled, spaced_words, verdict
+from lexmill.llm import quality
+from lexmill.llm.quality import SAMPLE_ROWS, all_rules, drawn, filter_quality, judge_quality, order_rules, spaced_words, verdict
 
 
 def figures(text):
@@ -46,12 +47,31 @@ def test_order_is_by_rejections_per_cost(spark):
     assert order == ["all", "none"]
 
 
-def test_sample_reads_few_partitions(spark):
-    """A partition that must not be read: the sample is full before it."""
-    broken = F.when(F.col("id") >= 2000, F.raise_error(F.lit("read"))).otherwise(F.lit("some words"))
-    df = spark.range(0, 4000, 1, 1000).select(broken.cast("string").alias("text"))
-    assert sampled(df).select("again").distinct().count() == REPEATS
-    assert sampled(df).count() == SAMPLE_ROWS * REPEATS
+def test_sample_is_drawn_from_everywhere(spark):
+    """A table sorted by source: the draw holds rows of its head and of its tail."""
+    df = spark.range(0, 8000, 1, 16).select(F.concat(F.lit("w "), F.col("id").cast("string")).alias("text"))
+    ids = sorted(int(r["text"].split()[1]) for r in drawn(df, "text").select("text").collect())
+    assert len(ids) == len(set(ids)) == SAMPLE_ROWS
+    assert all(sum(a <= i < a + 2000 for i in ids) > 20 for a in range(0, 8000, 2000))
+
+
+def test_sample_reads_few_files(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_FILES", 3)
+    spark.range(0, 400, 1, 20).select(F.concat(F.lit("w "), F.col("id").cast("string")).alias("text")).write.parquet(f"file://{tmp_path}/d")
+    df = spark.read.parquet(f"file://{tmp_path}/d")
+    assert drawn(df, "text").count() == 60
+    grouped = df.groupBy("text").count()  # no files' names left: drawn from all rows
+    assert drawn(grouped, "text").count() == SAMPLE_ROWS
+
+
+def test_order_takes_one_job_and_times_every_rule(spark):
+    df = spark.range(1000).select(F.concat(F.lit("w "), F.col("id").cast("string")).alias("text"))
+    slow = F.size(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(3000)), lambda i: F.array(F.concat(F.col("text"), i.cast("string"))))))) > 0
+    tracker, group = spark.sparkContext.statusTracker(), "order-rules"
+    spark.sparkContext.setJobGroup(group, group)
+    assert order_rules(df, {"slow": slow, "fast": F.col("n_words") >= 0, "never": F.col("n_words") < 0}) == ["fast", "slow", "never"]
+    assert len(tracker.getJobIdsForGroup(group)) <= 2
+    spark.sparkContext._jsc.clearJobGroup()
 
 
 def test_every_order_gives_the_same_verdict(odd_docs, odd_rows):
