@@ -3,7 +3,7 @@
 Main path: DataFrame functions only, one scan, no shuffle.  Rules stand in a
 CASE chain, and what a rule needs is computed inside its branch, so a document
 that one rule rejects costs nothing in the rules behind it.  Their order comes
-from a bounded random sample that one job draws, judges and times: every rule
+from a bounded random sample that one action draws, judges and times: every rule
 stands between two readings of the clock, its rejections are counted, and rules
 stand by rejections per second.  The order changes the cost, never the verdict.  ``filter_quality`` has all rules in the
 chain; ``judge_quality`` reports the base figures of every document, so there
@@ -124,7 +124,7 @@ def _clock() -> Column:
 
 
 def order_rules(docs: DataFrame, rules: dict[str, Column], text_col: str = "text") -> list[str]:
-    """Rule names by rejections per nanosecond on the sample, best first; one job."""
+    """Rule names by rejections per nanosecond on the sample, best first; one action."""
     marks = [_clock().alias("t0")]
     for i, rule in enumerate(rules.values()):
         marks += [F.coalesce(rule, F.lit(False)).alias(f"r{i}"), _clock().alias(f"t{i + 1}")]

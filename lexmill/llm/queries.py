@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .exact_dedup import exact_dedup
+from .importance import resample
 from .line_dedup import dedup_lines
 from .mixing import mix_plan
 from .ngram_join import near_duplicate_classes
@@ -83,6 +84,10 @@ def op10_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return classes.select("doc_id", "n_shingles", "component_id")
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=5, min_words=20, seed=42)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
@@ -94,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_substring_dedup": op8_substring_dedup,
     "op9_url_filter": op9_url_filter,
     "op10_ngram_join": op10_ngram_join,
+    "op11_importance_resampling": op11_importance_resampling,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -173,4 +179,21 @@ ORACLE_SQL: dict[str, str] = {
         e AS MATERIALIZED (SELECT a, b FROM p JOIN s x ON x.doc_id = a JOIN s y ON y.doc_id = b WHERE 100 * common >= 85 * (x.n + y.n - common)),
         r AS (SELECT doc_id AS node, doc_id AS seen FROM documents UNION SELECT r.node, e.b FROM r JOIN e ON e.a = r.seen)
         SELECT doc_id, coalesce(s.n, 0)::BIGINT AS n_shingles, low AS component_id FROM documents LEFT JOIN s USING (doc_id) JOIN (SELECT node AS doc_id, min(seen) AS low FROM r GROUP BY node) USING (doc_id)""",
+    "op11_importance_resampling": r"""
+        WITH tbl AS (SELECT list(c ORDER BY b) AS t FROM (SELECT b, list_reduce([b] || range(8), lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c FROM (SELECT unnest(range(256)) AS b))),
+        x AS (SELECT 0 AS side, doc_id AS id, text FROM documents UNION ALL SELECT 1, item_id, text FROM benchmark),
+        w AS (SELECT side, id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS words FROM x),
+        p AS (SELECT side, id, words, unnest(range(1, len(words) + 1)) AS i FROM w),
+        r AS (SELECT side, id, unnest(list_filter([words[i], CASE WHEN i + 1 <= len(words) THEN words[i] || ' ' || words[i + 1] END, CASE WHEN i + 2 <= len(words) THEN words[i] || ' ' || words[i + 1] || ' ' || words[i + 2] END], lambda f: f IS NOT NULL)) AS f FROM p),
+        n AS (SELECT side, id, f, count(*) AS c FROM r GROUP BY ALL),
+        d AS (SELECT f, hex(encode(f)) AS h FROM (SELECT DISTINCT f FROM n)),
+        k AS (SELECT f, xor(list_reduce([4294967295] || list_transform(range(length(h) // 2), lambda j: ('0x' || substr(h, (2 * j + 1)::INT, 2))::BIGINT), lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 AS bucket FROM d, tbl),
+        b AS (SELECT bucket, coalesce(sum(c) FILTER (side = 0), 0) AS s, coalesce(sum(c) FILTER (side = 1), 0) AS t FROM n JOIN k USING (f) GROUP BY bucket),
+        a AS (SELECT sum(s) AS s, sum(t) AS t FROM b),
+        g AS (SELECT bucket, floor(1000 * ln(((b.t + 1)::DOUBLE * (a.s + 10000)::DOUBLE) / ((b.s + 1)::DOUBLE * (a.t + 10000)::DOUBLE)))::BIGINT AS gain FROM b, a),
+        v AS (SELECT id AS doc_id, sum(c)::BIGINT AS n_features, sum(c * gain)::BIGINT AS weight FROM n JOIN k USING (f) JOIN g USING (bucket) WHERE side = 0 GROUP BY id),
+        e AS (SELECT id AS doc_id, len(words) AS n_words, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight, ('0x' || substr(sha256('42:' || id), 1, 8))::BIGINT AS h FROM w LEFT JOIN v ON v.doc_id = w.id WHERE side = 0),
+        z AS (SELECT doc_id, n_words >= 20 AS able, n_features::BIGINT AS n_features, weight::BIGINT AS weight, (weight + floor(-1000 * ln(-ln((h + 0.5::DOUBLE) / 4294967296))))::BIGINT AS score FROM e),
+        o AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY able) AS size FROM z)
+        SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 5 * size // 100 THEN place END AS rank FROM o""",
 }
