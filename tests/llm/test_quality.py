@@ -51,7 +51,7 @@ def test_sample_is_drawn_from_everywhere(spark):
     """A table sorted by source: the draw holds rows of its head and of its tail."""
     df = spark.range(0, 8000, 1, 16).select(F.concat(F.lit("w "), F.col("id").cast("string")).alias("text"))
     ids = sorted(int(r["text"].split()[1]) for r in drawn(df, "text").select("text").collect())
-    assert len(ids) == len(set(ids)) == SAMPLE_ROWS
+    assert len(ids) == len(set(ids)) and SAMPLE_ROWS // 2 < len(ids) < 2 * SAMPLE_ROWS
     assert all(sum(a <= i < a + 2000 for i in ids) > 20 for a in range(0, 8000, 2000))
 
 
@@ -61,16 +61,16 @@ def test_sample_reads_few_files(spark, tmp_path, monkeypatch):
     df = spark.read.parquet(f"file://{tmp_path}/d")
     assert drawn(df, "text").count() == 60
     grouped = df.groupBy("text").count()  # no files' names left: drawn from all rows
-    assert drawn(grouped, "text").count() == SAMPLE_ROWS
+    assert 100 < drawn(grouped, "text").count() < 300
 
 
-def test_order_takes_one_action_and_times_every_rule(spark):
+def test_order_takes_two_actions_and_times_every_rule(spark):
     df = spark.range(1000).select(F.concat(F.lit("w "), F.col("id").cast("string")).alias("text"))
     slow = F.size(F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.lit(3000)), lambda i: F.array(F.concat(F.col("text"), i.cast("string"))))))) > 0
     tracker, group = spark.sparkContext.statusTracker(), "order-rules"
     spark.sparkContext.setJobGroup(group, group)
     assert order_rules(df, {"slow": slow, "fast": F.col("n_words") >= 0, "never": F.col("n_words") < 0}) == ["fast", "slow", "never"]
-    assert len(tracker.getJobIdsForGroup(group)) <= 4  # one action; each of its exchanges is a job to the tracker
+    assert len(tracker.getJobIdsForGroup(group)) <= 4  # two actions; each exchange is a job to the tracker
     spark.sparkContext._jsc.clearJobGroup()
 
 
