@@ -18,6 +18,7 @@ from .quality import judge_quality
 from .secrets import scan_secrets
 from .substring_dedup import remove_repeats
 from .url_filter import filter_urls
+from .vector_search import nearest_neighbours
 from .warc import archive_dir, read_warc, write_warc
 
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -88,6 +89,10 @@ def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"), percent=5, min_words=20, seed=42)
 
 
+def op12_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"), k=20, every=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_exact_dedup": op2_exact_dedup,
@@ -100,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_ngram_join": op10_ngram_join,
     "op11_importance_resampling": op11_importance_resampling,
+    "op12_nearest_neighbours": op12_nearest_neighbours,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
