@@ -3,9 +3,8 @@
 Strong patterns (assignments, access identifiers, long hex runs) are reported
 wherever they match.  Weak parts are only candidates: a 40-character key that
 mixes letter cases and digits, and an endpoint URL.  A candidate opens a scope:
-the block of text around it (up to the next blank lines, if the block is not longer than
-``BLOCK`` code points), and at least ``SCOPE`` code points on both sides.  An
-interval join (sorted starts, binary searches for the ends of each scope) looks
+the block of text around it, up to the next blank lines whatever its length, and at
+least ``scope`` code points on both sides.  An interval join (sorted starts, binary searches for the ends of each scope) looks
 for complementary parts in it.  A key is reported when an identifier or an endpoint
 is in scope, an endpoint when an identifier, a key or an assigned secret is.
 
@@ -30,7 +29,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 KINDS = ["assign", "access", "hex", "key", "endpoint"]
-SCOPE, BLOCK = 300, 4000
+#: Code points on both sides of a candidate that its scope holds at least.
+SCOPE = 300
 
 # Fixed patterns of the strong kinds, with their least lengths.
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.IGNORECASE | re.ASCII)
@@ -68,7 +68,7 @@ def _apart(spans: list[tuple[int, int]], taken: list[tuple[int, int]]) -> list[t
     return [(a, b) for a, b in spans if free(a, b)]
 
 
-def linked_parts(text: str, strong: list[tuple[int, int, str]], scope: int = SCOPE, block: int = BLOCK) -> list[tuple[int, int, str]]:
+def linked_parts(text: str, strong: list[tuple[int, int, str]], scope: int = SCOPE) -> list[tuple[int, int, str]]:
     """Weak parts that have a complementary part inside their scope."""
     taken = [(a, b) for a, b, _ in strong]
     keys = _apart([m.span() for m in KEY.finditer(text) if _mixed(m[0])], taken)
@@ -83,8 +83,6 @@ def linked_parts(text: str, strong: list[tuple[int, int, str]], scope: int = SCO
     def near(span: tuple[int, int], others: list[int]) -> bool:
         before, after = bisect_right(border_ends, span[0]), bisect_left(border_starts, span[1])
         low, high = border_ends[before - 1] if before else 0, border_starts[after] if after < len(borders) else len(text)
-        if high - low > block:
-            low, high = span
         return bisect_left(others, min(low, span[0] - scope)) < bisect_right(others, max(high, span[1] + scope))
 
     end_starts = [a for a, _ in ends]
@@ -92,17 +90,17 @@ def linked_parts(text: str, strong: list[tuple[int, int, str]], scope: int = SCO
     return found + [(a, b, "endpoint") for a, b in ends if near((a, b), access) or near((a, b), secrets)]
 
 
-def find_spans(text: str) -> list[tuple[int, int, str]]:
+def find_spans(text: str, scope: int = SCOPE) -> list[tuple[int, int, str]]:
     """All reported (start, end, kind), code points, by start and kind."""
     strong = [(*m.span(), "assign") for m in ASSIGN.finditer(text) if m.end(2) - m.start(2) >= ASSIGN_LENGTH]
     strong += [(*m.span(), "access") for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_LENGTH]
     strong += [(*m.span(), "hex") for m in HEX.finditer(text)]
-    return sorted(strong + linked_parts(text, strong), key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
+    return sorted(strong + linked_parts(text, strong, scope), key=lambda s: (s[0], KINDS.index(s[2]), s[1]))
 
 
-def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", scope: int = SCOPE) -> DataFrame:
     """One row per document: doc_id, spans array<struct<kind,start,end,value>>."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{text_col}`").alias("text"))
     struct = pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("value", pa.string())])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -111,7 +109,7 @@ def scan_secrets(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
             spans: list[list[dict]] = [[] for _ in range(batch.num_rows)]
             for i in pc.indices_nonzero(pc.match_substring_regex(texts, ANY)).to_pylist():
                 text = texts[i].as_py()
-                spans[i] = [{"kind": k, "start": a, "end": b, "value": text[a:b]} for a, b, k in find_spans(text)]
+                spans[i] = [{"kind": k, "start": a, "end": b, "value": text[a:b]} for a, b, k in find_spans(text, scope)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(struct))], names=["doc_id", "spans"])
 
     return rows.mapInArrow(scan, T.StructType([T.StructField("doc_id", docs.schema[id_col].dataType), T.StructField("spans", T.ArrayType(SPAN))]))
