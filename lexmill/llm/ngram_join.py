@@ -55,7 +55,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import materialize, partitions, small_or_shuffled
+from .common import join_counted, materialize, partitions, small_or_shuffled
 from .components import connected_components
 from .wordhash import LOWER, U64, gram_hashes, row_bounds, row_chunks, text_buffers, word_hashes, words
 
@@ -276,16 +276,19 @@ def _links_inside(rows: DataFrame, n: int, num: int, den: int) -> DataFrame:
     return placed.mapInArrow(_solve_regions(n, num, den), "a long, b long").where("a <> b").distinct()
 
 
-def _tie_edges(grams: DataFrame, must: Column, salts: int = 1) -> DataFrame:
+def _tie_edges(grams: DataFrame, must: Column) -> DataFrame:
     """Edges (a, b) of points (node, size, gram) through the first point of each n-gram.
 
+    The points of the most frequent n-grams meet their ties by broadcast, so no task
+    holds all points of one n-gram.
+
     ``must`` (of size) is what a point shares with any point it is linked to.
     Points that share less with all others have no edge.  A point leaves out
     its weakest ties while they weigh less than half of ``must``.  Every point
     that may have a link is an ``a``, if only beside itself.
     """
-    ties = grams.groupBy("gram").agg(F.min(F.struct("size", "node")).alias("first"), F.count("*").alias("n")).where("n > 1").select("gram", F.col("first.node").alias("tie"))
-    weights = grams.join(ties, "gram").groupBy("node", "tie").agg(F.count("*").alias("w"), F.first("size").alias("size"))
+    ties = grams.groupBy("gram").agg(F.min(F.struct("size", "node")).alias("first"), F.count("*").alias("n")).where("n > 1").select("gram", F.col("first.node").alias("tie"), "n")
+    weights = join_counted(grams, materialize(ties), "gram", "n").groupBy("node", "tie").agg(F.count("*").alias("w"), F.first("size").alias("size"))
     per_node = weights.groupBy("node").agg(F.first("size").alias("size"), F.sum("w").alias("shared"), F.array_sort(F.collect_list(F.struct("w", "tie"))).alias("ties"))
     alive = per_node.withColumn("must", must).where("shared >= must")
     running = F.aggregate("ties", F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<bigint>").alias("kept")), lambda a, t: F.struct((a["sum"] + F.when(t["tie"] == F.col("node"), 0).otherwise(t["w"])).alias("sum"), F.when((t["tie"] != F.col("node")) & (a["sum"] + t["w"] <= F.floor((F.col("must") - 1) / 2)), a["kept"]).otherwise(F.concat(a["kept"], F.array(t["tie"]))).alias("kept")))
@@ -408,7 +411,7 @@ def _links_of_large(texts: DataFrame, n: int, num: int, den: int) -> DataFrame:
 
     points = materialize(texts.select("node", "text").mapInArrow(hashed, "node long, grams array<long>").dropDuplicates(["node"]))
     grams = points.select("node", F.size("grams").cast("long").alias("size"), F.explode("grams").alias("gram"))
-    pairs = materialize(_tie_edges(grams, F.expr(f"(size * {num} + {den - 1}) div {den}"), partitions(texts.sparkSession)))
+    pairs = materialize(_tie_edges(grams, F.expr(f"(size * {num} + {den - 1}) div {den}")))
     tied = connected_components(pairs).join(pairs.select(F.col("a").alias("node")).distinct(), "node", "left_semi")
     small, large = _with_sizes(materialize(points.join(tied, "node").select(F.col("component").alias("region"), "node", "grams")))
     found = [materialize(_links_inside(small, n, num, den))]
@@ -434,7 +437,8 @@ def near_duplicate_classes(docs: DataFrame, *, words_per_gram: int = 5, threshol
     num, den = threshold
     if not den < 2 * num <= 2 * den:
         raise ValueError("the threshold must be over 1/2 and at most 1")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(id_col, text_col).alias("check"), F.col(text_col).alias("text"))
+    name, text = F.col(f"`{id_col}`"), F.col(f"`{text_col}`")
+    rows = docs.select(name.alias("doc_id"), F.xxhash64(name, text).alias("check"), text.alias("text"))
     points = _point_table(rows, words_per_gram, num, den)
 
     classes = points.where("digest is not null").groupBy("digest").agg(F.min(F.struct("doc_id", "node")).alias("first"), F.count("*").alias("n"))
