@@ -16,8 +16,8 @@
 4. Cells are gathered in units of like size; a large cell is divided by class, and a
    unit that many queries visit is repeated for blocks of them.  A task holds one
    unit and streams its queries by, comparing whole vectors of the visited cells.
-   It returns the best of each query, which are merged, spread over the ids of
-   their classes and cut to the k nearest.
+   It returns one list of the best for each query; lists are merged, spread over
+   the ids of their classes and cut to the k nearest.
 
 Scores are sums of products in the order of the components, in doubles.
 
@@ -268,45 +268,53 @@ def _probes(classes: DataFrame, book: Codebook, budget: int) -> DataFrame:
 
 
 def _entries(classes: DataFrame, book: Codebook) -> DataFrame:
-    """(node, vec, cell) of every class, and with units known also its unit."""
-    kind = classes.schema["vec"].dataType.simpleString()
+    """(node, vec, low, cell) of every class, and with units known also its unit."""
+    kinds = dict(classes.select("vec", F.element_at("ids", 1).alias("low")).dtypes)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             cells = book.cells(_matrix(batch.column(1))) if batch.num_rows else np.zeros(0, dtype=np.int64)
             units = np.zeros(len(cells), dtype=np.int64) if book.counts is None else book.unit_of[cells] + batch.column(0).to_numpy() % book.units_of[cells]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(cells, pa.int64()), pa.array(units, pa.int64())], names=["node", "vec", "cell", "unit"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(cells, pa.int64()), pa.array(units, pa.int64())], names=["node", "vec", "low", "cell", "unit"])
 
-    return classes.select("node", "vec").mapInArrow(place, f"node long, vec {kind}, cell long, unit long")
+    return classes.select("node", "vec", F.element_at("ids", 1).alias("low")).mapInArrow(place, f"node long, vec {kinds['vec']}, low {kinds['low']}, cell long, unit long")
 
 
 def _compare(book: Codebook, k: int):
-    """Rows of a unit's block, its classes first and then its queries -> (node, best) of each query."""
+    """Rows of a unit's block, its classes first and then its queries -> (query, unit, best) of each query."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         current, parts, held = None, [], None
         for batch in batches:
             group = np.stack([batch.column(c).to_numpy() for c in (0, 1, 2)], axis=1)  # unit, block, kind
             starts = np.flatnonzero(np.concatenate([[True], (group[1:] != group[:-1]).any(axis=1)])) if len(group) else []
+            low_type = batch.schema.field("low").type
             for a, b in zip(starts, [*starts[1:], len(group)], strict=True):
                 unit, kind, part = tuple(group[a][:2]), group[a][2], batch.slice(a, b - a)
                 if unit != current:
                     current, parts, held = unit, [], None
                 if kind == 0:
-                    parts.append((part.column(3).to_numpy(), part.column(4).to_numpy(), _matrix(part.column(5))))
+                    parts.append((part.column("node").to_numpy(), part.column("cell").to_numpy(), _matrix(part.column("vec")), np.array(part.column("low").to_pylist())))
                     continue
                 if held is None:
                     held = tuple(np.concatenate(c) for c in zip(*parts, strict=True))
-                nodes, cells, vectors = held
-                for low in range(0, part.num_rows, AT_ONCE):
-                    some = part.slice(low, AT_ONCE)
-                    queries, reach = _matrix(some.column(5)), some.column(6).to_numpy()
+                nodes, cells, vectors, lows = held
+                width = len(book.second)
+                for begin in range(0, part.num_rows, AT_ONCE):
+                    some = part.slice(begin, AT_ONCE)
+                    queries, reach = _matrix(some.column("vec")), some.column("reach").to_numpy()
                     first, second = book.distances(queries)
-                    width = len(book.second)
                     seen = first[:, cells // width] + second[:, cells % width] <= reach[:, None]
-                    best = [list(zip(scores.tolist(), nodes[places].tolist(), strict=True)) for places, scores in best_of(queries, vectors, k + 1, seen)]
-                    rows = [[{"score": s, "node": n} for s, n in found] for found in best]
-                    yield pa.RecordBatch.from_arrays([some.column(3), pa.array(rows, pa.list_(pa.struct([("score", pa.float64()), ("node", pa.int64())])))], names=["query", "best"])
+                    sizes, negs, found = [], [], []
+                    for places, scores in best_of(queries, vectors, k, seen):
+                        order = np.lexsort((lows[places], -scores))[:k]
+                        sizes.append(len(order))
+                        negs.append(0.0 - scores[order])
+                        found.append(places[order])
+                    flat = np.concatenate(found)
+                    hits = pa.StructArray.from_arrays([pa.array(np.concatenate(negs)), pa.array(lows[flat].tolist(), low_type), pa.array(nodes[flat])], names=["neg", "low", "node"])
+                    lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), hits)
+                    yield pa.RecordBatch.from_arrays([some.column("node"), some.column("unit"), lists], names=["query", "unit", "best"])
 
     return compare
 
@@ -333,21 +341,22 @@ def nearest_neighbours(vectors: DataFrame, *, k: int = 20, every: int = 20, reca
     blocks = materialize(visits.groupBy("unit").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks")))
     side = small_or_shuffled(blocks, blocks.count(), 12)
     there = _entries(classes, book).join(side, "unit").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    there = there.select("unit", "block", F.lit(0).alias("kind"), "node", "cell", "vec", F.lit(0.0).alias("reach"))
-    asked = visits.join(side, "unit").select("unit", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("kind"), "node", F.lit(-1).cast("long").alias("cell"), "vec", "reach")
+    there = there.select("unit", "block", F.lit(0).alias("kind"), "node", "cell", "low", "vec", F.lit(0.0).alias("reach"))
+    nothing = F.lit(None).cast(there.schema["low"].dataType).alias("low")
+    asked = visits.join(side, "unit").select("unit", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("kind"), "node", F.lit(-1).cast("long").alias("cell"), nothing, "vec", "reach")
     dealt = there.unionByName(asked).repartition(partitions(spark), "unit", "block").sortWithinPartitions("unit", "block", "kind")
-    found = dealt.mapInArrow(_compare(book, k), "query long, best array<struct<score:double,node:bigint>>")
-
-    # the best classes of a query, then the ids of those
-    by = lambda name: lambda x, y: F.when(x["score"] > y["score"], -1).when(x["score"] < y["score"], 1).when(x[name] < y[name], -1).when(x[name] > y[name], 1).otherwise(0)
-    hits = found.select("query", F.inline("best")).join(classes.select("node", "ids"), "node").withColumn("low", F.element_at("ids", 1))
-    rank = F.row_number().over(Window.partitionBy("query").orderBy(F.desc("score"), "low"))
-    hits = hits.withColumn("_i", rank).where(F.col("_i") <= k + 1).select("query", "score", F.explode("ids").alias("vec_id"))
-    lists = hits.groupBy("query").agg(F.collect_list(F.struct("score", "vec_id")).alias("near"))  # at most (k + 1) squared
-    lists = lists.select(F.col("query").alias("node"), F.slice(F.array_sort("near", by("vec_id")), 1, k + 1).alias("near"))
+    found = dealt.mapInArrow(_compare(book, k + 1), f"query long, unit long, best array<struct<neg:double,low:{dict(there.dtypes)['low']},node:bigint>>")
+
+    # the best classes of a query, merged over its units in two steps, then the ids of those
+    best = F.slice(F.array_sort(F.flatten(F.collect_list("best"))), 1, k + 1).alias("best")
+    few = F.pmod("unit", F.lit(max(1, round((int(book.unit_of.max()) + 1) ** 0.5))))
+    merged = found.groupBy("query", few.alias("part")).agg(best).groupBy("query").agg(best)
+    hits = merged.select("query", F.inline("best")).join(classes.select("node", "ids"), "node").select("query", "neg", F.explode("ids").alias("vec_id"))
+    lists = hits.groupBy("query").agg(F.slice(F.array_sort(F.collect_list(F.struct("neg", "vec_id"))), 1, k + 1).alias("near"))  # of at most (k + 1) squared
+    lists = lists.select(F.col("query").alias("node"), "near")
     answers = materialize(classes.where("asked > 0").select("node", "key", "asked").join(lists, "node").select("key", "asked", "near"))
 
     queries = rows.where(is_query).groupBy("vec_id", "key").agg(F.count("*").alias("_n")).select(F.col("vec_id").alias("query_id"), "key")
     joined = join_counted(queries, answers, "key", "asked")
     others = F.slice(F.filter("near", lambda x: x["vec_id"] != F.col("query_id")), 1, k)
-    return joined.select("query_id", F.posexplode(others).alias("_pos", "_hit")).select("query_id", (F.col("_pos") + 1).alias("rank"), "_hit.vec_id", "_hit.score")
+    return joined.select("query_id", F.posexplode(others).alias("_pos", "_hit")).select("query_id", (F.col("_pos") + 1).alias("rank"), "_hit.vec_id", (0.0 - F.col("_hit.neg")).alias("score"))
