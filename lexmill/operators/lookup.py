@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as tx
 from lexmill.functions.tokens import lookup_tokens
+from lexmill.plans.staging import materialize
 
 from .bm25 import top_k
 
 QUERY_TOKENS, ROW_TOKENS, HEAD_CHARS, DIGITS = 80, 120, 300, 5
+#: Token sets that hold a token at most, for the tokens of each round of a lookup; the last takes all.
+RARE = (64, 4096, None)
 
 
 def prepare_rows(results: DataFrame) -> DataFrame:
@@ -19,19 +22,50 @@ def prepare_rows(results: DataFrame) -> DataFrame:
     return results.select("id", "question", "answer", "relevant_docs", "relevant_articles", F.lower("question").alias("exact"), lookup_tokens(text, ROW_TOKENS).alias("tokens"))
 
 
-def score_questions(rows: DataFrame, questions: DataFrame) -> DataFrame:
-    """(qid, query, id, score) for the pairs that share a token or are equal.
+def _least_of_equals(rows: DataFrame, by: str, k: int) -> DataFrame:
+    """Of the rows equal in ``by`` those of the k least ids, as no others can be among k best."""
+    return rows.withColumn("_i", F.row_number().over(Window.partitionBy(by).orderBy("id"))).where(F.col("_i") <= k).drop("_i")
 
-    Pairs meet through their tokens (an equi-join with partial sums), so rows
-    that share nothing with a question cost nothing; they have score 0.
+
+def top_overlap(rows: DataFrame, asked: DataFrame, k: int, rounds: tuple[int | None, ...] = RARE) -> DataFrame:
+    """(qid, id, score) of the k rows (id, exact, tokens) that share most tokens with each question (qid, exact, tokens).
+
+    A question first meets rows through its rare tokens, those that at most
+    ``rounds[0]`` token sets hold, and its candidates are scored on whole sets.  A row
+    that shares none of the tokens used so far shares at most the others; a question
+    of which the k-th candidate shares more is done, and only the rest go on to more
+    frequent tokens.  Rows with equal tokens score alike, so the k of least id stand
+    for all of them; likewise for rows with an equal question.  Rows that share nothing
+    have no score.
     """
-    asked = questions.select("qid", tx.norm_space(F.col("question")).alias("query")).withColumn("tokens", lookup_tokens(F.col("query"), QUERY_TOKENS))
-    query_tokens = asked.select("qid", F.size("tokens").alias("n"), F.explode("tokens").alias("token"))
-    row_tokens = rows.select("id", F.explode("tokens").alias("token"))
-    shared = query_tokens.join(row_tokens, "token").groupBy("qid", "id").agg((F.count("*") / F.greatest(F.lit(1), F.first("n"))).alias("score"))
-    equal = asked.select("qid", F.lower("query").alias("exact")).join(rows.select("id", "exact"), "exact").select("qid", "id", F.lit(1.0).alias("score"))
-    both = shared.unionByName(equal).groupBy("qid", "id").agg(F.max("score").alias("score"))
-    return asked.select("qid", "query").join(both, "qid")
+    asked = materialize(asked)
+    same = _least_of_equals(rows.select("id", "exact"), "exact", k).join(asked.select("qid", "exact"), "exact").select("qid", "id", F.lit(1.0).alias("score"))
+    sets = materialize(_least_of_equals(rows.select("id", "tokens").where("size(tokens) > 0"), "tokens", k))
+    held = sets.select("id", F.explode("tokens").alias("token"))
+    seen = held.groupBy("token").agg(F.count("*").alias("df"))
+    pairs = materialize(asked.select("qid", F.explode("tokens").alias("token")).join(seen, "token"))
+    sizes = asked.select("qid", "tokens", F.size("tokens").alias("n"))
+    best = materialize(same)
+    open_queries = materialize(pairs.groupBy("qid").agg(F.count("*").alias("known")))
+    least = 0
+    for most in rounds:
+        there = pairs if most is None else pairs.where(F.col("df") <= most)
+        fresh = there.where(F.col("df") > least).join(open_queries.select("qid"), "qid", "left_semi")
+        met = fresh.select("qid", "token").join(held, "token").select("qid", "id").distinct()
+        scored = met.join(sizes, "qid").join(sets.withColumnRenamed("tokens", "others"), "id").select("qid", "id", (F.size(F.array_intersect("tokens", "others")) / F.greatest(F.lit(1), "n")).alias("score"))
+        merged = best.unionByName(scored).groupBy("qid", "id").agg(F.max("score").alias("score"))
+        best = materialize(top_k(merged, k, [F.desc("score"), F.asc("id")], rank="_rank"))
+        if most is None:
+            break
+        # what a row can share that no token so far has met, against the k-th score
+        left = pairs.where(F.col("df") > most).groupBy("qid").agg(F.count("*").alias("left"))
+        reached = best.where(F.col("_rank") == k).select("qid", "score")
+        state = open_queries.join(left, "qid").join(sizes.select("qid", "n"), "qid").join(reached, "qid", "left")
+        open_queries = materialize(state.where(F.col("score").isNull() | (F.col("left") / F.greatest(F.lit(1), "n") >= F.col("score"))).select("qid", "known"))
+        best, least = best.drop("_rank"), most
+        if open_queries.isEmpty():
+            break
+    return best.select("qid", "id", "score")
 
 
 def answer_candidates(rows: DataFrame, questions: DataFrame, k: int = 5) -> DataFrame:
@@ -40,14 +74,15 @@ def answer_candidates(rows: DataFrame, questions: DataFrame, k: int = 5) -> Data
     Where fewer than k rows share a token, rows of score 0 follow by id, as a
     full scan would give; they are taken from the k least ids of the table.
     """
-    scored = score_questions(rows, questions)
     asked = questions.select("qid", tx.norm_space(F.col("question")).alias("query"))
+    keyed = asked.select("qid", F.lower("query").alias("exact"), lookup_tokens(F.col("query"), QUERY_TOKENS).alias("tokens"))
+    scored = top_overlap(rows, keyed, k)
     least = rows.select("id").orderBy("id").limit(k)  # at most k rows
     # of the k least ids as many are without score as places can be left
-    fill = asked.crossJoin(F.broadcast(least)).join(scored.select("qid", "id"), ["qid", "id"], "left_anti").withColumn("score", F.lit(0.0))
+    fill = asked.select("qid").crossJoin(F.broadcast(least)).join(scored.select("qid", "id"), ["qid", "id"], "left_anti").withColumn("score", F.lit(0.0))
     top = top_k(scored.unionByName(fill), k, [F.desc("score"), F.asc("id")])
     shown = rows.select("id", "question", F.substring("answer", 1, HEAD_CHARS).alias("answer_head"))
-    return top.join(shown, "id").select("qid", "query", "rank", "id", F.round("score", DIGITS).alias("score"), "question", "answer_head")
+    return top.join(asked, "qid").join(shown, "id").select("qid", "query", "rank", "id", F.round("score", DIGITS).alias("score"), "question", "answer_head")
 
 
 def answers(rows: DataFrame, questions: DataFrame, k: int = 5) -> DataFrame:

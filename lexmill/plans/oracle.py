@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from lexmill.functions import text as tx
 from lexmill.functions import tokens as tk
-from lexmill.operators import bm25, fusion, graph, select
+from lexmill.operators import bm25, chunk, fusion, graph, lookup, select
 
 from .queries import _SQL_CODE, HEADINGS, QUESTIONS, STATUSES, TITLES, _sql_pick
 
@@ -179,5 +179,54 @@ _ASSEMBLY = f"""WITH e AS ({_lists(_capped(_EVIDENCE, False))}), k AS ({_lists(_
     a AS (SELECT v.variant, n_nationkey AS qid, n_name AS question, CASE WHEN n_nationkey % 3 <> 0 THEN 'answer ' || n_name ELSE '' END AS answer, coalesce(e.docs, k.docs, '') AS docs, coalesce(e.articles, k.articles, '') AS articles, coalesce(e.n_docs, k.n_docs, 0) AS nd, coalesce(e.n_articles, k.n_articles, 0) AS na
         FROM nation CROSS JOIN ({_VARIANTS}) v LEFT JOIN e ON e.qid = n_nationkey AND e.variant = v.variant LEFT JOIN k ON k.qid = n_nationkey AND k.variant = v.variant)"""
 
+def _lookup_tokens(text: str, limit: int) -> str:
+    k = _LOOKUP_RAW.format(text=f"replace({_fold(text)}, 'ð', 'd')")
+    return f"(SELECT list_slice(list(x ORDER BY i), 1, {limit}) FROM (SELECT x, min(i) AS i FROM (SELECT unnest(k) AS x, generate_subscripts(k, 1) AS i FROM (SELECT {k} AS k)) GROUP BY x))"
+
+
+ORACLE_SQL["answer_lookup"] = f"""
+    WITH c AS (SELECT conv_id AS id, coalesce(max({_norm('text')}) FILTER (turn = 0), '') AS question, coalesce(max({_norm('text')}) FILTER (turn = 1), '') AS answer FROM conversations GROUP BY conv_id),
+    r AS (SELECT *, lower(question) AS exact, coalesce({_lookup_tokens("question || ' ' || answer", lookup.ROW_TOKENS)}, []) AS tokens FROM c),
+    q AS (SELECT item_id AS qid, {_norm('text')} AS query FROM benchmark UNION ALL
+        SELECT id + 1000000, translate(question, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ') FROM c WHERE question <> ''),
+    a AS (SELECT *, lower(query) AS exact, coalesce({_lookup_tokens('query', lookup.QUERY_TOKENS)}, []) AS tokens FROM q),
+    s AS (SELECT qid, id, answer, CASE WHEN a.exact = r.exact THEN 1.0::DOUBLE ELSE len(list_intersect(a.tokens, r.tokens))::DOUBLE / greatest(1, len(a.tokens)) END AS score FROM a, r),
+    t AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id)::INT AS rank FROM s QUALIFY rank <= 5)
+    SELECT qid, rank, id, round(score, {lookup.DIGITS}) AS score, left(answer, {lookup.HEAD_CHARS}) AS answer_head FROM t"""
+_MARK = "chr(57344)"  # private use, in no text
+
+
+def _paragraphs(text: str) -> str:
+    """Cut after a full stop before "1." or "a)"; RE2 has no lookarounds, so cuts are marked, every second one in a second pass."""
+    once = r"regexp_replace({0}, '\.\s+(\d+\.|[a-z]\))', '.' || chr(57344) || '\1', 'g')"
+    return f"list_filter(list_transform(string_split({once.format(once.format(text))}, {_MARK}), lambda p: trim(p)), lambda p: p <> '')"
+
+
+def _pieces(text: str) -> str:
+    """Paragraphs packed up to the target with one of overlap, as a fold over (out, cur, n)."""
+    flush = "{{'o': list_append({0}.o, array_to_string({0}.c, ' ')), 'c': [{0}.c[-1]], 'n': length({0}.c[-1]) + 1}}"
+    start = "[{'o': []::VARCHAR[], 'c': []::VARCHAR[], 'n': 0::BIGINT}]"
+    each = f"list_transform({_paragraphs(text)}, lambda p: {{'o': []::VARCHAR[], 'c': [p], 'n': 0::BIGINT}})"
+    room = f"CASE WHEN len(a.c) > 0 AND a.n + length(x.c[1]) + 1 > {chunk.TARGET_CHARS} THEN {flush.format('a')} ELSE a END"
+    put = "{'o': r.o, 'c': list_append(r.c, x.c[1]), 'n': r.n + length(x.c[1]) + 1}"
+    step = f"list_transform(list_transform([{room}], lambda r: {put}), lambda q: CASE WHEN q.n >= {chunk.MAX_CHARS} THEN {flush.format('q')} ELSE q END)[1]"
+    done = f"list_transform([list_reduce({start} || {each}, lambda a, x: {step})], lambda s: CASE WHEN len(s.c) > 0 THEN list_append(s.o, array_to_string(s.c, ' ')) ELSE s.o END)[1]"
+    return f"CASE WHEN length({text}) <= {chunk.MAX_CHARS} THEN [{text}] ELSE {done} END"
+
+
+_HEADING_RE = r"(?i)Điều\s+([0-9]+[a-zA-Z]?|toan_van)\.?\s+([^\n]{0,180})"
+ORACLE_SQL["chunk_pack"] = f"""
+    WITH t AS (SELECT doc_id, source, {_code('doc_id')} AS legal_id, {_sql_pick(TITLES, 'doc_id')} AS title, (doc_id % 20)::VARCHAR AS article_no, {_sql_pick(HEADINGS, 'doc_id')} AS article_title,
+            {_norm(r"replace(regexp_replace(text, '\s+', ' ', 'g'), '. ', '. 1. ')")} AS text FROM documents),
+    p AS (SELECT *, unnest(k) AS piece, generate_subscripts(k, 1) - 1 AS idx FROM (SELECT *, {_pieces('text')} AS k FROM t))
+    SELECT 'vbpl:' || CASE WHEN legal_id = '' THEN left(sha1(title), 16) ELSE legal_id END || ':article:' || article_no || ':chunk:' || idx AS chunk_id, source, doc_id::VARCHAR AS doc_id, legal_id, '' AS doc_type, title, article_no,
+        'Điều ' || article_no AS article_label, article_title, '' AS url, piece AS text, doc_id AS ord, idx::INT AS idx
+    FROM p WHERE length(piece) >= {chunk.MIN_CHARS} QUALIFY row_number() OVER (PARTITION BY piece ORDER BY doc_id, idx) = 1"""
+ORACLE_SQL["article_split"] = f"""
+    WITH t AS (SELECT doc_id, {_norm("'Mở đầu. Điều 1. ' || text || ' Điều 2a Phạm vi. ' || substr(text, 1, 200) || ' điều 3. hết'")} AS text FROM documents),
+    p AS (SELECT doc_id, string_split(regexp_replace(text, '({_HEADING_RE})', {_MARK} || '\\1', 'g'), {_MARK})[2:] AS k FROM t),
+    a AS (SELECT doc_id, unnest(k) AS part, generate_subscripts(k, 1) - 1 AS article_pos FROM p)
+    SELECT doc_id, article_pos::INT AS article_pos, regexp_extract(part, '{_HEADING_RE}', 1) AS article_no, {_norm(f"regexp_extract(part, '{_HEADING_RE}', 2)")} AS article_title, {_norm('part')} AS text FROM a"""
+ORACLE_SQL["keyword_search_stored"] = ORACLE_SQL["bm25_topk"]
 ORACLE_SQL["result_assembly"] = _ASSEMBLY + " SELECT variant, qid, question, answer, docs, articles FROM a"
 ORACLE_SQL["variant_summary"] = _ASSEMBLY + " SELECT variant, min(na)::INT AS min_articles, round(avg(na), 3) AS avg_articles, max(na)::INT AS max_articles, min(nd)::INT AS min_docs, round(avg(nd), 3) AS avg_docs, max(nd)::INT AS max_docs, 0::BIGINT AS bad_answers FROM a GROUP BY variant"

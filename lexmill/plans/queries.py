@@ -6,6 +6,8 @@ both engines build alike from the row's id.
 
 from __future__ import annotations
 
+import string
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,7 +15,8 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import text as tx
 from lexmill.functions import tokens as tk
-from lexmill.operators import bm25, chunk, dense, fusion, graph, html, lookup, normalize, select
+from lexmill.operators import bm25, chunk, dense, fusion, graph, html, index, lookup, normalize, select
+from lexmill.plans.staging import shared_dir
 from lexmill.sources import readers
 from lexmill.streaming import incremental
 
@@ -138,6 +141,16 @@ def bm25_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("qid", "rowid", "score", "rank")
 
 
+def keyword_search_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same search from an index that is written in two batches first."""
+    rows = _documents(spark, sf_dir).select(F.col("doc_id").alias("rowid"), "text")
+    folder = f"{shared_dir(spark).rstrip('/')}/index-{uuid.uuid4().hex}"
+    half = F.pmod(F.xxhash64("rowid"), F.lit(2))
+    for batch in (0, 1):
+        index.add_rows(rows.where(half == batch), folder, batch, ["text"], buckets=16)
+    return index.search(spark, folder, _bm25_queries(spark, sf_dir), 80, digits=6)
+
+
 def bm25_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _documents(spark, sf_dir).select(F.col("doc_id").alias("rowid"), "text")
     tokens = _bm25_queries(spark, sf_dir).select("qid", tk.index_tokens(F.col("text")).alias("tokens")).where("size(tokens) >= 2")
@@ -221,7 +234,7 @@ def _results(spark: SparkSession, sf_dir: str) -> DataFrame:
 def answer_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     stored = _results(spark, sf_dir)
     questions = _bm25_queries(spark, sf_dir).select("qid", F.col("text").alias("question"))
-    exact = stored.where("question <> ''").select((F.col("id") + 1_000_000).alias("qid"), F.upper("question").alias("question"))  # repeats of all stored questions
+    exact = stored.where("question <> ''").select((F.col("id") + 1_000_000).alias("qid"), F.translate("question", string.ascii_lowercase, string.ascii_uppercase).alias("question"))  # repeats of all stored questions; engines differ on other letters
     found = lookup.answer_candidates(lookup.prepare_rows(stored), questions.unionByName(exact))
     return found.select("qid", "rank", "id", "score", "answer_head")
 
@@ -301,7 +314,7 @@ def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _ALL = [
     norm_fold, legal_ids, title_flags, citation_keys, file_names, tokens_lookup, tokens_plan, tokens_search, doc_last_wins, dedupe_text_first, dedupe_two_key, normalized_documents,
-    chunk_pack, article_split, bm25_topk, bm25_phrases, dense_topk, hybrid_rrf, rerank_adjust, capped_select_variants, evidence_caps, result_assembly, variant_summary, context_blocks,
+    chunk_pack, article_split, bm25_topk, keyword_search_stored, bm25_phrases, dense_topk, hybrid_rrf, rerank_adjust, capped_select_variants, evidence_caps, result_assembly, variant_summary, context_blocks,
     answer_lookup, rule_plan, graph_nodes, graph_edges, relation_enrich, row_filters, resume_pending, url_extract, json_props, unique_keys, html_title_text, html_units, html_file_links, daily_events,
 ]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}
