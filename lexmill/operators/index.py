@@ -14,7 +14,7 @@ its score is known from that shard alone.  A search scores the shards that promi
 most first; shards of which the bound is below the k-th score found so far are not
 read.  Results equal those of ``bm25.bm25_search``.
 
-Rows without an id are left out.  Writing a batch again replaces it.
+Ids are longs; rows without one are left out.  Writing a batch again replaces it.
 """
 
 from __future__ import annotations
@@ -31,6 +31,10 @@ from . import bm25
 
 #: Partitions by token and hash classes of rows of a new index; shards that a search scores before it skips any.
 BUCKETS, SHARDS, FIRST_SHARDS = 64, 1024, 8
+SCHEMAS = {
+    "postings": "token string, rowid long, f int, dl int, places array<struct<col:int,pos:int>>, shard int, batch int, bucket int",
+    "blocks": "token string, shard int, rows long, most int, shortest int, batch int, bucket int",
+}
 
 
 def _bucket(token: Column, buckets: int) -> Column:
@@ -66,7 +70,7 @@ def write_batch(rows: DataFrame, path: str, batch: int, columns: list[str], *, r
     dealt = postings.repartition(partitions(spark), "bucket", F.pmod(F.xxhash64("token", "shard"), F.lit(parts)))
     _write(dealt.sortWithinPartitions("bucket", "token", "shard", "rowid"), f"{path}/postings", "batch", "bucket")
 
-    stored = spark.read.parquet(f"{path}/postings").where(F.col("batch") == batch) if path_exists(spark, f"{path}/postings/batch={batch}") else postings.limit(0)
+    stored = spark.read.schema(postings.schema).parquet(f"{path}/postings").where(F.col("batch") == batch)
     blocks = stored.groupBy("batch", "bucket", "token", "shard").agg(F.count("*").alias("rows"), F.max("f").alias("most"), F.min("dl").alias("shortest"))
     _write(blocks.repartition(partitions(spark), "bucket", F.pmod(F.xxhash64("token"), F.lit(parts))).sortWithinPartitions("bucket", "token", "shard"), f"{path}/blocks", "batch", "bucket")
     _write(bm25.build_lengths(there, columns, row_id).withColumn("batch", F.lit(batch)), f"{path}/lengths", "batch")
@@ -89,9 +93,9 @@ def add_rows(rows: DataFrame, path: str, batch: int, columns: list[str], *, row_
 
 def _postings(spark: SparkSession, path: str, tokens: DataFrame, table: str) -> DataFrame:
     """The rows of the named tokens; only their buckets are opened."""
-    buckets = spark.read.parquet(f"{path}/{table}")
+    rows = spark.read.schema(SCHEMAS[table]).parquet(f"{path}/{table}")  # a table without a row has no file to tell its columns
     wanted = sorted(r["bucket"] for r in tokens.select("bucket").distinct().collect())  # at most the index's buckets
-    return buckets.where(F.col("bucket").isin(wanted)).join(small_or_shuffled(tokens.select("token"), tokens.count()), "token", "left_semi")
+    return rows.where(F.col("bucket").isin(wanted)).join(small_or_shuffled(tokens.select("token"), tokens.count()), "token", "left_semi")
 
 
 def _phrase_counts(hits: DataFrame, phrases: DataFrame) -> DataFrame:

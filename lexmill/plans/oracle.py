@@ -65,7 +65,7 @@ _TITLE, _HEADING, _QUESTION = (_sql_pick(v, "doc_id") for v in (TITLES, HEADINGS
 _LOOKUP_RAW = "list_filter(list_transform(string_split_regex(regexp_replace({text}, '[^a-z0-9%/.,-]+', ' ', 'g'), ' '), lambda x: trim(x, '.,-')), lambda x: length(x) >= 3 AND NOT list_contains(" + _list(tk.LOOKUP_STOP) + ", x))"
 
 
-def _index_list(text: str) -> str:
+def index_list(text: str) -> str:
     """Index tokens by explicit folding of the letters that the tables hold."""
     source, target = tk._index_table()
     pairs = [(a, b) for a, b in zip(source, target, strict=True) if a != "'"]
@@ -127,15 +127,15 @@ ORACLE_SQL: dict[str, str] = {
         SELECT ord, key, hash FROM s WHERE kept""",
     "normalized_documents": f"""WITH t AS (SELECT doc_id, {_TITLE} || ' số ' || source AS title, {_code('doc_id')} AS code, {_sql_pick(STATUSES, 'doc_id')} AS status FROM documents)
         SELECT CASE WHEN code = '' THEN left(sha1(title), 16) ELSE code END AS doc_id, code AS legal_id, title, {_chain(_fold('title'), tx.DOC_TYPES, "''", True)} AS doc_type, 'http://x/' || doc_id AS url, status, 'vbpl' AS source, doc_id AS ord FROM t""",
-    "bm25_topk": f"""WITH tok AS (SELECT doc_id AS rowid, unnest({_index_list('text')}) AS token FROM documents), dl AS (SELECT doc_id AS rowid, len({_index_list('text')}) AS dl FROM documents),
+    "bm25_topk": f"""WITH tok AS (SELECT doc_id AS rowid, unnest({index_list('text')}) AS token FROM documents), dl AS (SELECT doc_id AS rowid, len({index_list('text')}) AS dl FROM documents),
         tf AS (SELECT rowid, token, count(*) AS f FROM tok GROUP BY ALL), n AS (SELECT token, count(*) AS n FROM tf GROUP BY token),
         q AS (SELECT item_id AS qid, unnest({_search_terms('text')}) AS term FROM benchmark), qt AS (SELECT qid, list_filter(string_split_regex(lower(term), '[^a-z0-9ß-ÿ]+'), lambda x: x <> '') AS p, term FROM q),
-        qk AS (SELECT qid, ({_index_list('term')})[1] AS token, count(*) AS times FROM qt GROUP BY ALL HAVING token IS NOT NULL),
+        qk AS (SELECT qid, ({index_list('term')})[1] AS token, count(*) AS times FROM qt GROUP BY ALL HAVING token IS NOT NULL),
         s AS (SELECT qid, rowid, round(sum(times * greatest(idf0, CASE WHEN idf0 > 0 THEN idf0 ELSE {bm25.LEAST_IDF} END) * f * 2.2 / (f + 1.2 * (0.25 + 0.75 * dl / (SELECT avg(dl) FROM dl)))), 6) AS score
             FROM (SELECT *, ln(((SELECT count(*) FROM documents) - n + 0.5) / (n + 0.5)) AS idf0 FROM qk JOIN tf USING (token) JOIN n USING (token) JOIN dl USING (rowid)) GROUP BY qid, rowid)
         SELECT qid, rowid, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, rowid)::INT AS rank FROM s QUALIFY rank <= 80""",
-    "bm25_phrases": f"""WITH d AS (SELECT doc_id AS rowid, {_index_list('text')} AS w FROM documents), p AS (SELECT rowid, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM d),
-        q AS (SELECT DISTINCT w[i] AS a, w[i + 1] AS b FROM (SELECT w, unnest(range(1, len(w))) AS i FROM (SELECT {_index_list('text')} AS w FROM benchmark)))
+    "bm25_phrases": f"""WITH d AS (SELECT doc_id AS rowid, {index_list('text')} AS w FROM documents), p AS (SELECT rowid, unnest(w) AS token, generate_subscripts(w, 1) AS pos FROM d),
+        q AS (SELECT DISTINCT w[i] AS a, w[i + 1] AS b FROM (SELECT w, unnest(range(1, len(w))) AS i FROM (SELECT {index_list('text')} AS w FROM benchmark)))
         SELECT a || ' ' || b AS key, x.rowid, count(*) AS f FROM q JOIN p x ON x.token = a JOIN p y ON y.token = b AND y.rowid = x.rowid AND y.pos = x.pos + 1 GROUP BY ALL""",
     "dense_topk": """WITH s AS (SELECT q.vec_id AS qid, v.vec_id, round(list_inner_product(q.embedding::DOUBLE[], v.embedding::DOUBLE[]), 6) AS score FROM embeddings q, embeddings v WHERE q.vec_id % 100 = 0)
         SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, vec_id)::INT AS rank FROM s QUALIFY rank <= 60""",
@@ -230,3 +230,11 @@ ORACLE_SQL["article_split"] = f"""
 ORACLE_SQL["keyword_search_stored"] = ORACLE_SQL["bm25_topk"]
 ORACLE_SQL["result_assembly"] = _ASSEMBLY + " SELECT variant, qid, question, answer, docs, articles FROM a"
 ORACLE_SQL["variant_summary"] = _ASSEMBLY + " SELECT variant, min(na)::INT AS min_articles, round(avg(na), 3) AS avg_articles, max(na)::INT AS max_articles, min(nd)::INT AS min_docs, round(avg(nd), 3) AS avg_docs, max(nd)::INT AS max_docs, 0::BIGINT AS bad_answers FROM a GROUP BY variant"
+
+
+def result_package(least: float) -> str:
+    """Keyword ranking under the caps of each variant, with the nearest stored answer of at least this score."""
+    ranking = f"SELECT qid, coalesce(source, '') || '|' || doc_id AS citation, coalesce(source, '') AS doc, rank AS pos FROM ({ORACLE_SQL['bm25_topk']}) JOIN documents ON doc_id = rowid"
+    return f"""WITH k AS ({_lists(_capped(ranking, True))}), l AS (SELECT qid, answer_head FROM ({ORACLE_SQL['answer_lookup']}) WHERE rank = 1 AND score >= {least} AND qid < 1000000)
+        SELECT v.variant, item_id AS qid, text AS question, coalesce({_norm('answer_head')}, '') AS answer, coalesce(k.docs, '') AS docs, coalesce(k.articles, '') AS articles
+        FROM benchmark CROSS JOIN ({_VARIANTS}) v LEFT JOIN k ON k.qid = item_id AND k.variant = v.variant LEFT JOIN l ON l.qid = item_id"""

@@ -61,3 +61,18 @@ def join_counted(rows: DataFrame, side: DataFrame, key: str, weight: str, how: s
     met = rows.join(F.broadcast(heavy), key, "left_semi" if how == "left_semi" else "inner")
     others = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
     return met.unionByName(others.join(rest, key, how))
+
+
+def join_hot(rows: DataFrame, side: DataFrame, key: str, weight: str) -> DataFrame:
+    """Inner join to a materialised side with one row a key, of which ``weight`` says how many rows it meets.
+
+    Only keys that alone meet more than a quarter of a partition's share are broadcast,
+    at most four a partition whatever the input; the others are shuffled as ever.
+    """
+    share = (side.agg(F.sum(weight)).first()[0] or 0) // (4 * partitions(rows.sparkSession))
+    heavy = side.where(F.col(weight) > share)
+    if heavy.isEmpty():
+        return rows.join(side, key)
+    met = rows.join(F.broadcast(heavy), key)
+    others = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
+    return met.unionByName(others.join(side.where(F.col(weight) <= share), key))

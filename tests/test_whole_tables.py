@@ -58,7 +58,8 @@ def test_lookup_of_all_stored_questions(spark, sf_dir):
     stored = queries._results(spark, sf_dir)
     rows = lookup.prepare_rows(stored).select("id", "exact", "tokens").collect()
     asked = [(r["item_id"], r["text"]) for r in queries._t(spark, sf_dir, "benchmark").collect()]
-    asked += [(r["id"] + 1_000_000, r["question"].upper()) for r in stored.collect() if r["question"]]
+    upper = lambda s: "".join(c.upper() if "a" <= c <= "z" else c for c in s)
+    asked += [(r["id"] + 1_000_000, upper(r["question"])) for r in stored.collect() if r["question"]]
     tokens = {r["qid"]: r["t"] for r in spark.createDataFrame(asked, "qid long, text string").select("qid", lookup_tokens(F.col("text"), lookup.QUERY_TOKENS).alias("t")).collect()}
     want = {}
     for qid, text in asked:
