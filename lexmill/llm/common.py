@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexmill.plans.staging import join_counted, materialize, partitions, shared_dir, small_or_shuffled
+from lexmill.plans.staging import join_counted, join_hot, materialize, partitions, shared_dir, small_or_shuffled
 
-__all__ = ["join_counted", "materialize", "partitions", "shared_dir", "small_or_shuffled"]
+__all__ = ["join_counted", "join_hot", "materialize", "partitions", "shared_dir", "small_or_shuffled"]
 
 #: Words are separated by space and the control characters \x09-\x0D only.
 SPACES = r"[\x20\x09-\x0D]+"

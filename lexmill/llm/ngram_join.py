@@ -55,7 +55,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import join_counted, materialize, partitions, small_or_shuffled
+from .common import join_hot, materialize, partitions, small_or_shuffled
 from .components import connected_components
 from .wordhash import LOWER, U64, gram_hashes, row_bounds, row_chunks, text_buffers, word_hashes, words
 
@@ -288,7 +288,7 @@ def _tie_edges(grams: DataFrame, must: Column) -> DataFrame:
     that may have a link is an ``a``, if only beside itself.
     """
     ties = grams.groupBy("gram").agg(F.min(F.struct("size", "node")).alias("first"), F.count("*").alias("n")).where("n > 1").select("gram", F.col("first.node").alias("tie"), "n")
-    weights = join_counted(grams, materialize(ties), "gram", "n").groupBy("node", "tie").agg(F.count("*").alias("w"), F.first("size").alias("size"))
+    weights = join_hot(grams, materialize(ties), "gram", "n").groupBy("node", "tie").agg(F.count("*").alias("w"), F.first("size").alias("size"))
     per_node = weights.groupBy("node").agg(F.first("size").alias("size"), F.sum("w").alias("shared"), F.array_sort(F.collect_list(F.struct("w", "tie"))).alias("ties"))
     alive = per_node.withColumn("must", must).where("shared >= must")
     running = F.aggregate("ties", F.struct(F.lit(0).cast("long").alias("sum"), F.array().cast("array<bigint>").alias("kept")), lambda a, t: F.struct((a["sum"] + F.when(t["tie"] == F.col("node"), 0).otherwise(t["w"])).alias("sum"), F.when((t["tie"] != F.col("node")) & (a["sum"] + t["w"] <= F.floor((F.col("must") - 1) / 2)), a["kept"]).otherwise(F.concat(a["kept"], F.array(t["tie"]))).alias("kept")))
