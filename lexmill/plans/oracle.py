@@ -6,7 +6,7 @@ from lexmill.functions import text as tx
 from lexmill.functions import tokens as tk
 from lexmill.operators import bm25, chunk, fusion, graph, lookup, select
 
-from .queries import _SQL_CODE, HEADINGS, QUESTIONS, STATUSES, TITLES, _sql_pick
+from .queries import _SQL_CODE, HEADINGS, LINE_STARTS, QUESTIONS, STATUSES, TITLES, _sql_pick
 
 
 def _code(key: str) -> str:
@@ -193,6 +193,21 @@ ORACLE_SQL["answer_lookup"] = f"""
     s AS (SELECT qid, id, answer, CASE WHEN a.exact = r.exact THEN 1.0::DOUBLE ELSE len(list_intersect(a.tokens, r.tokens))::DOUBLE / greatest(1, len(a.tokens)) END AS score FROM a, r),
     t AS (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, id)::INT AS rank FROM s QUALIFY rank <= 5)
     SELECT qid, rank, id, round(score, {lookup.DIGITS}) AS score, left(answer, {lookup.HEAD_CHARS}) AS answer_head FROM t"""
+_CHAPTER_RE, _SECTION_RE, _ARTICLE_RE = r"(?i)^Chương\s+([IVXLCDM]+|\d+)\b", r"(?i)^Mục\s+\d+\b", r"(?i)^Điều\s+(\d+[a-zA-Z]?)\.?\s*(.*)"
+ORACLE_SQL["text_units"] = rf"""
+    WITH d AS (SELECT doc_id, unnest(w) AS line, generate_subscripts(w, 1) - 1 AS i FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS w FROM documents)),
+    l AS (SELECT * FROM (SELECT doc_id, i AS pos, {_norm("CASE WHEN doc_id % 5 = 0 THEN '' ELSE " + _sql_pick(LINE_STARTS, '(doc_id * 7 + i * (doc_id % 3 + 1))') + " END || line")} AS t FROM d) WHERE t <> ''),
+    f AS (SELECT *, regexp_matches(t, '{_CHAPTER_RE}') AS ch, NOT ch AND regexp_matches(t, '{_SECTION_RE}') AS se, NOT ch AND NOT se AND regexp_matches(t, '{_ARTICLE_RE}') AS st FROM l),
+    g AS (SELECT *, sum(st::INT) OVER w AS unit, last_value(CASE WHEN ch THEN t END IGNORE NULLS) OVER w AS chapter, last_value(CASE WHEN se THEN t END IGNORE NULLS) OVER w AS section, max(st::INT) OVER (PARTITION BY doc_id) AS has
+        FROM f WINDOW w AS (PARTITION BY doc_id ORDER BY pos ROWS UNBOUNDED PRECEDING)),
+    b AS (SELECT *, sum((NOT st AND regexp_matches(t, '^(\d+)\.\s+'))::INT) OVER (PARTITION BY doc_id, unit ORDER BY pos ROWS UNBOUNDED PRECEDING) AS clause, NOT st AND regexp_matches(t, '^(\d+)\.\s+') AS cl FROM g WHERE unit > 0 AND NOT ch AND NOT se),
+    c AS (SELECT doc_id, unit, clause, max(CASE WHEN cl THEN regexp_extract(t, '^(\d+)\.', 1) END) AS no, coalesce(string_agg(t, chr(10) ORDER BY pos) FILTER (NOT p), '') AS body, coalesce(string_agg(lower(left(t, 1)) || '=' || t, '+' ORDER BY pos) FILTER (p), '') AS points
+        FROM (SELECT *, NOT cl AND regexp_matches(t, '^([a-zA-ZđĐ])\)\s+') AS p FROM b WHERE clause > 0 AND NOT st) GROUP BY doc_id, unit, clause),
+    k AS (SELECT doc_id, unit, count(*) AS n, string_agg(no || '~' || body || '~' || points, '|' ORDER BY clause) AS s FROM c GROUP BY doc_id, unit),
+    u AS (SELECT doc_id, unit, string_agg(t, chr(10) ORDER BY pos) AS body, arg_min(t, pos) AS head, arg_min(coalesce(chapter, ''), pos) AS chapter, arg_min(coalesce(section, ''), pos) AS section FROM b GROUP BY doc_id, unit)
+    SELECT doc_id, (unit - 1)::INT AS pos, 'article' AS chunk_level, regexp_extract(head, '{_ARTICLE_RE}', 1) AS article_no, trim(regexp_extract(head, '{_ARTICLE_RE}', 2)) AS article_title, nullif(chapter, '') AS chapter, nullif(section, '') AS section, sha1(body) AS text_sha1, coalesce(n, 0)::BIGINT AS n_clauses, sha1(coalesce(s, '')) AS clauses_sha1
+    FROM u LEFT JOIN k USING (doc_id, unit)
+    UNION ALL SELECT doc_id, 0, 'full_text', 'toan_van', 'Toàn văn', NULL, NULL, sha1(string_agg(t, chr(10) ORDER BY pos)), 0, sha1('') FROM g WHERE has = 0 GROUP BY doc_id"""
 _MARK = "chr(57344)"  # private use, in no text
 
 

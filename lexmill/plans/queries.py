@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from lexmill.functions import text as tx
 from lexmill.functions import tokens as tk
-from lexmill.operators import bm25, chunk, dense, fusion, graph, html, index, lookup, normalize, select
+from lexmill.operators import bm25, chunk, dense, fusion, graph, html, index, lookup, normalize, select, units
 from lexmill.plans.staging import shared_dir
 from lexmill.sources import readers
 from lexmill.streaming import incremental
@@ -299,8 +299,23 @@ def html_title_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def html_units(spark: SparkSession, sf_dir: str) -> DataFrame:
-    units = html.with_units(_t(spark, sf_dir, "pages").select("page_id", "html")).select("page_id", F.posexplode("units").alias("pos", "u"))
-    return units.select("page_id", "pos", "u.chunk_level", "u.article_no", "u.article_title", "u.article_text")
+    found = html.page_units(_t(spark, sf_dir, "pages").select("page_id", "html"), "page_id")
+    return found.select("page_id", "pos", "chunk_level", "article_no", "article_title", "article_text")
+
+
+#: What stands before the lines of a document, by turns; the same list in both engines.
+LINE_STARTS = ["", "Chương II ", "Mục 3 ", "Điều 4. ", "1. ", "a) ", "", "b) ", "12. ", "Đ) ", "điều 5a ", "", "Chương 7. "]
+
+
+def text_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Units, clauses and points of whole documents whose lines are given headings."""
+    docs = _documents(spark, sf_dir).select("doc_id", F.posexplode(F.split(_whole_text(), "\n")).alias("i", "line"))
+    start = F.when(F.col("doc_id") % 5 == 0, "").otherwise(_pick(LINE_STARTS, F.col("doc_id") * 7 + F.col("i") * (F.col("doc_id") % 3 + 1)))
+    lines = docs.select(F.col("doc_id").alias("key"), F.col("i").alias("pos"), F.concat(start, F.col("line")).alias("raw"))
+    rows = lines.groupBy("key").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "raw"))), lambda x: x["raw"]), "\n").alias("text"))
+    found = units.units(units.plain_lines(rows, "key", "text"))
+    clauses = F.array_join(F.transform("clauses", lambda c: F.concat_ws("~", c["clause_no"], c["text"], F.array_join(F.transform(c["points"], lambda p: F.concat_ws("=", p["point"], p["text"])), "+"))), "|")
+    return found.select(F.col("key").alias("doc_id"), "pos", "chunk_level", "article_no", "article_title", "chapter", "section", F.sha1("article_text").alias("text_sha1"), F.size("clauses").cast("long").alias("n_clauses"), F.sha1(clauses).alias("clauses_sha1"))
 
 
 def html_file_links(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -315,6 +330,6 @@ def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 _ALL = [
     norm_fold, legal_ids, title_flags, citation_keys, file_names, tokens_lookup, tokens_plan, tokens_search, doc_last_wins, dedupe_text_first, dedupe_two_key, normalized_documents,
     chunk_pack, article_split, bm25_topk, keyword_search_stored, bm25_phrases, dense_topk, hybrid_rrf, rerank_adjust, capped_select_variants, evidence_caps, result_assembly, variant_summary, context_blocks,
-    answer_lookup, rule_plan, graph_nodes, graph_edges, relation_enrich, row_filters, resume_pending, url_extract, json_props, unique_keys, html_title_text, html_units, html_file_links, daily_events,
+    answer_lookup, rule_plan, graph_nodes, graph_edges, relation_enrich, row_filters, resume_pending, url_extract, json_props, unique_keys, html_title_text, html_units, html_file_links, text_units, daily_events,
 ]
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in _ALL}

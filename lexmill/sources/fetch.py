@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import time
 from collections.abc import Callable, Iterator
 from urllib import error, request
@@ -30,21 +31,26 @@ def http_get(url: str, timeout: float) -> tuple[int, str]:
         return failed.code, failed.read().decode("utf-8", "replace")
 
 
+def _outcome(url: str, transport: Transport, timeout: float) -> tuple[int, str] | OSError:
+    try:
+        return transport(url, timeout)
+    except OSError as problem:
+        return problem
+
+
 def with_retry(url: str, transport: Transport = http_get, *, retries: int = RETRIES, backoff: float = BACKOFF, timeout: float = TIMEOUT, sleep: Callable[[float], None] = time.sleep) -> tuple[int, str]:
     """Ask until the status is below 500; the last answer, or the last error, stands."""
-    answer, failure = None, None
-    for attempt in range(1, retries + 1):
-        try:
-            answer = transport(url, timeout)
-            if answer[0] < 500:
-                return answer
-        except OSError as problem:
-            failure = problem
-        if attempt < retries:
-            sleep(backoff * attempt)
-    if answer is None:
-        raise failure
-    return answer
+    seen: list[tuple[int, str] | OSError] = []
+    settled = lambda: bool(seen) and isinstance(seen[-1], tuple) and seen[-1][0] < 500
+    pauses = (backoff * n for n in range(retries))
+    for pause in itertools.takewhile(lambda _: not settled(), pauses):
+        if pause:
+            sleep(pause)
+        seen.append(_outcome(url, transport, timeout))
+    last = next((x for x in reversed(seen) if isinstance(x, tuple)), seen[-1])
+    if isinstance(last, OSError):
+        raise last
+    return last
 
 
 def fetch_page(url: str, transport: Transport = http_get, **options) -> tuple[str | None, str | None]:

@@ -207,16 +207,30 @@ PAGE = """<html><head><title>T</title><script>x="<p>"</script></head><body><div
 <a href="f/x.PDF">tệp</a><a href="/q">Tải về</a><a href="/n">no</a></body></html>"""
 
 
-def test_html():
-    units = html.units_from_html(PAGE)
-    assert [(u["article_no"], u["article_title"], u["provision_id"], u["chapter"], u["part"]) for u in units] == [("1", "Tên", "a1", "Chương II", "Phần I"), ("2", "Khác", None, "Chương II", "Phần I")]
-    assert units[0]["clauses"] == [{"clause_no": "1", "text": "1. Một\ntiếp", "points": [{"point": "a", "text": "a) điểm"}, {"point": "b", "text": "b) hai"}]}]
-    assert html.article_ids(PAGE) == {"1": "a1"}
-    assert html.file_links(PAGE, "http://h/p/") == ["http://h/p/f/x.PDF", "http://h/q"]
+def test_html(spark):
+    plain = "<div>lời đầu</div><p>Chương I</p><p>Mục 1</p><p>Điều 3. X</p><p>1. y</p><p>Chương II</p><p>Điều 4a</p>"
+    pages = spark.createDataFrame([(1, PAGE, "http://h/p/"), (2, plain, ""), (3, "<p>x</p>y", ""), (4, "", None), (5, None, None)], "page_id int, html string, url string")
+    found = {}
+    for u in html.page_units(pages, "page_id").orderBy("page_id", "pos").collect():
+        found.setdefault(u["page_id"], []).append(u)
+    assert [(u["article_no"], u["article_title"], u["provision_id"], u["chapter"], u["part"]) for u in found[1]] == [("1", "Tên", "a1", "Chương II", "Phần I"), ("2", "Khác", None, "Chương II", "Phần I")]
+    assert [c.asDict(recursive=True) for c in found[1][0]["clauses"]] == [{"clause_no": "1", "text": "1. Một\ntiếp", "points": [{"point": "a", "text": "a) điểm"}, {"point": "b", "text": "b) hai"}]}]
+    assert [(u["article_no"], u["chapter"], u["section"], u["article_text"]) for u in found[2]] == [("3", "Chương I", "Mục 1", "Điều 3. X\n1. y"), ("4a", "Chương II", "Mục 1", "Điều 4a")]
+    assert [(u["chunk_level"], u["chunk_no"], u["article_text"], u["clauses"]) for u in found[3]] == [("full_text", "toan_van", "x\ny", [])]
+    assert set(found) == {1, 2, 3}
+    assert [tuple(r) for r in html.page_article_ids(pages, "page_id").collect()] == [(1, "1", "a1")]
+    files = {r["page_id"]: r["files"] for r in html.with_file_links(pages).collect()}
+    assert files[1] == ["http://h/p/f/x.PDF", "http://h/q"] and files[4] == files[5] == []
     assert html.text_and_title("<h1> A <b>b</b></h1><style>s</style>x", "u") == ("A b x", "A b")
     assert html.text_and_title("", "http://u") == ("", "http://u")
-    assert [u["chunk_level"] for u in html.units_from_lines(["Chương I", "Mục 1", "Điều 3. X", "1. y"])] == ["article"]
-    assert html.units_from_lines(["x"])[0]["chunk_no"] == "toan_van" and html.units_from_lines([]) == []
+
+
+def test_units_end_at_the_level_above(spark):
+    """Sections are the first level present: a part ends one, and a unit without a number has its place as one."""
+    body = '<div class="prov-part">P1</div><p class="prov-section">1. S</p><p>a</p><p class="prov-part">P2</p><p>lost</p><p class="prov-section">Tên</p><p>b</p>'
+    page = spark.createDataFrame([("k", body)], "page_id string, html string")
+    got = [(u["chunk_level"], u["chunk_no"], u["chunk_title"], u["part"], u["section"], u["article_text"]) for u in html.page_units(page, "page_id").orderBy("pos").collect()]
+    assert got == [("section", "1", "S", "P1", None, "1. S\na"), ("section", "section_2", "Tên", "P2", None, "Tên\nb")]
 
 
 def test_relations(spark):
