@@ -9,12 +9,12 @@ from dataclasses import dataclass, field, fields
 from typing import Protocol
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexmill.functions import text as tx
-from lexmill.operators import bm25, chunk, dense, fusion, graph, lookup, normalize, select
+from lexmill.operators import bm25, chunk, dense, fusion, graph, index, lookup, normalize, select
 from lexmill.sources import readers, sinks
 
 LONGEST_QUESTION, MOST_RESULTS, MOST_QUESTIONS = 2500, 20, 100
@@ -30,6 +30,17 @@ class Generator(Protocol):
     def generate(self, prompts: list[str]) -> list[str]: ...
 
 
+@dataclass
+class Models:
+    """What the stages with models use; the instructions are the caller's."""
+
+    encoder: dense.Encoder | None = None
+    generator: Generator | None = None
+    scorer: Callable[[Column, Column], Column] | None = None
+    expand_instructions: str = ""
+    answer_instructions: str = ""
+
+
 @dataclass
 class EngineConfig:
     """Paths and sizes; every field can be set by LEXMILL_<FIELD> in the environment."""
@@ -99,11 +110,17 @@ def parse_plans(raw: DataFrame) -> DataFrame:
     return rows.select("qid", F.coalesce("_p.query_expansion", F.lit("")).alias("query_expansion"), tx.first_filled(F.col("_p.hyde_answer"), F.substring(tx.norm_space(F.col("raw")), 1, 800)).alias("hyde_answer"), "ord")
 
 
-def retrieve(chunks: DataFrame, questions: DataFrame, plans: DataFrame, config: EngineConfig, vectors: DataFrame | None = None, query_vectors: DataFrame | None = None) -> DataFrame:
-    """Fused candidates per question: keyword list, and the dense list where vectors are given."""
+def answer_prompt(question: Column, context: Column, instructions: str) -> Column:
+    """Prompt for an answer with the labels it rests on: the caller's instructions, the question, the labelled context."""
+    return F.concat(F.lit(instructions.rstrip() + "\n\n"), tx.text_or_empty(question), F.lit("\n\n"), tx.text_or_empty(context))
+
+
+def retrieve(chunks: DataFrame, questions: DataFrame, plans: DataFrame, config: EngineConfig, vectors: DataFrame | None = None, query_vectors: DataFrame | None = None, index_path: str | None = None) -> DataFrame:
+    """Fused candidates per question: keyword list, from a stored index if there is one, and the dense list where vectors are given."""
     rows = fusion.with_citations(index_rows(chunks))
     queries = query_texts(questions, plans)
-    keyword = bm25.bm25_search(rows, queries, INDEX_COLUMNS, config.bm25_top).select("qid", "rowid", "score", "rank", F.lit(0).alias("list_no"), F.lit("bm25").alias("source_name"))
+    listed = index.search(chunks.sparkSession, index_path, queries, config.bm25_top) if index_path else bm25.bm25_search(rows, queries, INDEX_COLUMNS, config.bm25_top)
+    keyword = listed.select("qid", "rowid", "score", "rank", F.lit(0).alias("list_no"), F.lit("bm25").alias("source_name"))
     lists = keyword
     if vectors is not None and query_vectors is not None:
         near = dense.dense_search(vectors, query_vectors, config.dense_top)
@@ -143,31 +160,62 @@ class Engine:
         return self._stage("chunks", lambda: chunk.chunk_articles(self.table("articles"), c.chunk_target, c.chunk_longest).withColumn("rowid", F.xxhash64("ord", "idx")))
 
     def keyword_index(self) -> None:
-        rows = index_rows(self.table("chunks"))
-        sinks.write_index(bm25.build_postings(rows, INDEX_COLUMNS), bm25.build_lengths(rows, INDEX_COLUMNS), self.path("index"), self.settings.index_parts)
-
-    def run(self, stages: list[str], *, plans: DataFrame | None = None, evidence: DataFrame | None = None) -> dict[str, float]:
-        """Run the named stages in order; returns seconds by stage."""
-        took = {}
+        """Index the chunks that the index does not hold yet."""
+        batch = int(self.spark.read.parquet(f"{self.path('index')}/lengths").agg(F.max("batch")).first()[0] or 0) + 1 if self.has("index/lengths/_SUCCESS") else 0
+        index.add_rows(index_rows(self.table("chunks")), self.path("index"), batch, INDEX_COLUMNS, buckets=self.settings.index_parts)
+
+    def has(self, name: str) -> bool:
+        return readers.path_exists(self.spark, self.path(name))
+
+    def questions(self) -> DataFrame:
+        return readers.read_questions(self.spark, self.settings.questions)
+
+    def plans(self) -> DataFrame:
+        """Expansions of the questions; none without the expand stage."""
+        return self.table("plans") if self.has("plans/_SUCCESS") else self.spark.createDataFrame([], "qid long, query_expansion string, hyde_answer string, ord long")
+
+    def evidence(self) -> DataFrame:
+        return self.table("evidence") if self.has("evidence/_SUCCESS") else self.spark.createDataFrame([], "qid long, answer string, used_articles array<string>")
+
+    def _retrieve(self, plans: DataFrame, models: Models) -> DataFrame:
+        questions, vectors, asked = self.questions(), None, None
+        if self.has("vectors/_SUCCESS"):
+            if models.encoder is None:
+                raise ValueError("retrieve needs an encoder, as there are vectors")
+            vectors = self.table("vectors")
+            asked = dense.embed(query_texts(questions, plans).select("qid", "text"), models.encoder, "text")
+        where = self.path("index") if self.has("index/settings/_SUCCESS") else None
+        return retrieve(self.table("chunks"), questions, plans, self.settings, vectors, asked, where)
+
+    def _answer(self, models: Models) -> DataFrame:
+        ranked = self.table("reranked").withColumn("pos", F.col("final_rank"))
+        items = select.context_items(ranked)
+        asked = self.questions().join(select.context_texts(items), "qid", "left")
+        prompts = asked.select("qid", "question", answer_prompt(F.col("question"), F.col("context"), models.answer_instructions).alias("prompt"))
+        return select.read_evidence(generate(prompts, models.generator).drop("prompt"), items)
+
+    def run(self, stages: list[str], *, models: Models | None = None, plans: DataFrame | None = None, evidence: DataFrame | None = None) -> dict[str, float]:
+        """Run the named stages in order; returns seconds by stage.  A stage without the model it needs raises."""
+        models, took = models or Models(), {}
+        for stage, model in (("dense_index", models.encoder), ("expand", models.generator), ("answer", models.generator)):
+            if stage in stages and model is None:
+                raise ValueError(f"{stage} needs a model")
+        prompt = lambda: tx.hyde_prompt(F.col("question"), models.expand_instructions).alias("prompt")
+        ranked = lambda: self.table("reranked").withColumn("pos", F.col("final_rank"))
+        work: dict[str, Callable[[], object]] = {
+            "normalize": self.normalize,
+            "chunk": self.chunks,
+            "keyword_index": self.keyword_index,
+            "dense_index": lambda: self._stage("vectors", lambda: dense.embed(self.table("chunks").select(F.col("rowid").alias("vec_id"), "text"), models.encoder, "text").drop("text")),
+            "expand": lambda: self._stage("plans", lambda: parse_plans(generate(self.questions().select("qid", prompt(), F.lit(0).cast("long").alias("ord")), models.generator).drop("prompt"))),
+            "retrieve": lambda: self._stage("candidates", lambda: self._retrieve(plans if plans is not None else self.plans(), models)),
+            "rerank": lambda: self._stage("reranked", lambda: fusion.rerank(self.table("candidates"), *([models.scorer] if models.scorer else []))),
+            "answer": lambda: self._stage("evidence", lambda: self._answer(models)),
+            "results": lambda: sinks.write_variants(select.assemble(self.questions(), evidence if evidence is not None else self.evidence(), ranked(), select.variants(self.spark)), self.path("results")),
+        }
         for name in [s for s in STAGES if s in stages]:
             began = time.time()
-            if name == "normalize":
-                self.normalize()
-            elif name == "chunk":
-                self.chunks()
-            elif name == "keyword_index":
-                self.keyword_index()
-            elif name == "retrieve":
-                questions = readers.read_questions(self.spark, self.settings.questions)
-                asked = plans if plans is not None else self.spark.createDataFrame([], "qid long, query_expansion string, hyde_answer string, ord long")
-                self._stage("candidates", lambda q=questions, p=asked: retrieve(self.table("chunks"), q, p, self.settings))
-            elif name == "rerank":
-                self._stage("reranked", lambda: fusion.rerank(self.table("candidates")))
-            elif name == "results":
-                questions = readers.read_questions(self.spark, self.settings.questions)
-                ranked = self.table("reranked").withColumn("pos", F.col("final_rank"))
-                used = evidence if evidence is not None else self.spark.createDataFrame([], "qid long, answer string, used_articles array<string>")
-                sinks.write_variants(select.assemble(questions, used, ranked, select.variants(self.spark)), self.path("results"))
+            work[name]()
             took[name] = time.time() - began
         return took
 

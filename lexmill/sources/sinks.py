@@ -22,12 +22,6 @@ def write_documents(documents: DataFrame, path: str) -> None:
     documents.orderBy("legal_id", "title", "ord").drop("ord").write.mode("overwrite").option("ignoreNullFields", "false").json(path)
 
 
-def write_index(postings: DataFrame, lengths: DataFrame, path: str, parts: int) -> None:
-    """Keyword index as Parquet; postings clustered by token, so a search reads few row groups."""
-    postings.repartitionByRange(parts, "token").sortWithinPartitions("token", "rowid", "col", "pos").write.mode("overwrite").parquet(f"{path}/postings")
-    lengths.write.mode("overwrite").parquet(f"{path}/lengths")
-
-
 def write_vectors(vectors: DataFrame, path: str, vec_id: str = "vec_id") -> int:
     """Append vectors of ids that the table lacks; returns how many rows it has then."""
     from .readers import path_exists

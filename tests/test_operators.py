@@ -142,6 +142,25 @@ def test_dense_search(spark):
     want = [(j, int(i)) for j in range(3) for i in np.argsort(-(v.astype(np.float32).astype(float) @ q[j].astype(np.float32).astype(float)))[:5]]
     assert [(r["qid"], r["vec_id"]) for r in got] == want
     assert dense.dense_search(vectors, queries.limit(0), 5).count() == 0
+    assert dense.dense_search(vectors.limit(0), queries, 5).count() == 0
+
+
+@pytest.mark.parametrize("block", [5, 16_384])
+def test_dense_search_leaves_out_far_clusters(spark, monkeypatch, block):
+    """Every vector as a query, with repeated vectors, ties and a null; clusters far apart."""
+    monkeypatch.setattr(dense, "BLOCK", block)
+    monkeypatch.setattr(dense, "QUERY_BLOCK", block)
+    rnd = np.random.default_rng(4)
+    v = np.repeat(rnd.normal(size=(6, 5)) * 20, 40, axis=0) + rnd.normal(size=(240, 5)).round(1)
+    v[100:110] = v[100]
+    rows = [(i, [float(x) for x in r]) for i, r in enumerate(v)] + [(999, None)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    queries = vectors.withColumnRenamed("vec_id", "qid")
+    got = {}
+    for r in dense.dense_search(vectors, queries, 7, digits=5).orderBy("qid", "rank").collect():
+        got.setdefault(r["qid"], []).append(r["vec_id"])
+    scores = np.round(v @ v.T, 5)
+    assert got == {q: np.lexsort((np.arange(240), -scores[q]))[:7].tolist() for q in range(240)}
 
 
 def test_rrf_adds_each_chunk(spark):

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lexmill.operators import select
-from lexmill.plans.engine import Engine, EngineConfig, clean_question
+from lexmill.plans.engine import STAGES, Engine, EngineConfig, Models, clean_question, retrieve
 from lexmill.sources import fetch, readers, sinks
 from lexmill.streaming import incremental
 
@@ -129,3 +129,53 @@ def test_engine(spark, tmp_path):
     with pytest.raises(ValueError, match="longer"):
         clean_question("x" * 2501)
     assert select.VARIANTS[0][0] == "p4_d2" and "raw_dirs" in engine.config()
+
+
+def stand_ins():
+    """Encoder and generator, as local classes so that they travel to the workers."""
+
+    class Letters:
+        """How often each of four letters occurs."""
+
+        def encode(self, texts):
+            return [[t.lower().count(c) + 0.01 for c in "abcd"] for t in texts]
+
+    class Echo:
+        """A plan for an expansion prompt, an answer with a label for one with context."""
+
+        def generate(self, prompts):
+            assert all(p.startswith(("EXPAND", "ANSWER")) for p in prompts)
+            return ['{"query_expansion": "nhà đất", "hyde_answer": "bbb"}' if p.startswith("EXPAND") else '{"answer": " Có  quyền ", "used_articles": ["2", "A9"]}' for p in prompts]
+
+    return Models(encoder=Letters(), generator=Echo(), expand_instructions="EXPAND", answer_instructions="ANSWER")
+
+
+def test_engine_runs_all_stages(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "documents.jsonl").write_text("\n".join(json.dumps({"doc_id": f"d{i}", "title": f"Luật {i}/2020/QH", "status": ""}) for i in range(3)))
+    (raw / "articles.jsonl").write_text("\n".join(json.dumps({"doc_id": f"d{i}", "text": f"Điều {j}. Quyền {w} {i} " + f"{w} {'abc'[i]} " * 30}) for i in range(3) for j, w in ((1, "đất"), (2, "nhà"))))
+    (tmp_path / "q.json").write_text(json.dumps([{"id": 1, "question": "quyền nhà"}, {"id": 2, "question": "quyền gì"}]))
+    base = f"file://{tmp_path}"
+    engine = Engine(spark, EngineConfig(base=base, out=f"{base}/out", questions=f"{base}/q.json", results="", raw_dirs=["raw"], index_parts=2))
+    for stage in ("dense_index", "expand", "answer"):
+        with pytest.raises(ValueError, match=stage):
+            engine.run([stage])
+    models = stand_ins()
+    assert list(engine.run(STAGES, models=models)) == STAGES
+    assert engine.table("vectors").columns == ["vec_id", "embedding"] and engine.table("vectors").count() == engine.table("chunks").count() == 6
+    assert {(r["query_expansion"], r["hyde_answer"]) for r in engine.table("plans").collect()} == {("nhà đất", "bbb")}
+    found = engine.table("candidates").collect()
+    assert {s["source"] for r in found for s in r["sources"]} == {"bm25", "dense"}
+    # the stored index and the rows give the same keyword list
+    plans, questions = engine.plans(), engine.questions()
+    rows = retrieve(engine.table("chunks"), questions, plans, engine.settings)
+    stored = retrieve(engine.table("chunks"), questions, plans, engine.settings, index_path=engine.path("index"))
+    listed = lambda df: sorted((r["qid"], r["rank"], r["citation"]) for r in df.collect())
+    assert listed(rows) == listed(stored)
+    used = {r["qid"]: r for r in engine.table("evidence").collect()}
+    second = {r["qid"]: r["citation"] for r in engine.table("reranked").where("final_rank = 2").collect()}
+    assert {q: (r["answer"], r["used_labels"], r["used_articles"]) for q, r in used.items()} == {q: ("Có quyền", ["A2"], [second[q]]) for q in (1, 2)}
+    result = json.loads((tmp_path / "out/results/p4_d2/results.json").read_text())
+    assert [r["answer"] for r in result] == ["Có quyền"] * 2 and result[0]["relevant_articles"] == [second[1]]
+    assert list(engine.run(["keyword_index", "retrieve"], models=models)) == ["keyword_index", "retrieve"]  # complete stages stay
