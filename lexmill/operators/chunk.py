@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexmill.functions import text as tx
+from lexmill.plans.counters import Counters
 
 from .normalize import DEFAULT_SOURCE, WHOLE_TEXT, first_wins
 
@@ -57,13 +58,17 @@ def chunk_texts(text: Column, target: int = TARGET_CHARS, longest: int = MAX_CHA
     return F.when(F.length(whole) <= longest, F.array(whole)).otherwise(packed)
 
 
-def chunk_articles(articles: DataFrame, target: int = TARGET_CHARS, longest: int = MAX_CHARS, overlap: int = OVERLAP, shortest: int = MIN_CHARS) -> DataFrame:
+def chunk_articles(articles: DataFrame, target: int = TARGET_CHARS, longest: int = MAX_CHARS, overlap: int = OVERLAP, shortest: int = MIN_CHARS, counters: Counters | None = None) -> DataFrame:
     """Chunks of articles; numbered before short ones go, first of equal texts stays.
 
-    ``chunk_id`` is not unique when two articles share code and number.
+    ``chunk_id`` is not unique when two articles share code and number.  ``counters``
+    gets pieces, long_pieces and chunks from the pass that writes them.
     """
-    pieces = articles.select("*", F.posexplode(chunk_texts(F.col("text"), target, longest, overlap)).alias("idx", "piece")).where(F.length("piece") >= shortest)
+    counters = counters or Counters()
+    pieces = articles.select("*", F.posexplode(chunk_texts(F.col("text"), target, longest, overlap)).alias("idx", "piece"))
+    pieces = counters.at(pieces, pieces=F.count("*"), long_pieces=F.count_if(F.length("piece") >= shortest)).where(F.length("piece") >= shortest)
     code = F.col("legal_id")
     name = F.concat(F.lit(f"{DEFAULT_SOURCE}:"), tx.doc_key(code, F.col("title")), F.lit(":article:"), F.col("article_no"), F.lit(":chunk:"), F.col("idx").cast("string"))
     rows = pieces.select(name.alias("chunk_id"), "source", "doc_id", "legal_id", "doc_type", "title", "article_no", tx.article_label(F.col("article_no")).alias("article_label"), "article_title", "url", F.col("piece").alias("text"), F.struct("ord", "idx").alias("_at"), F.sha1("piece").alias("_hash"))
-    return first_wins(rows, "_hash", "_at").select(*[c for c in rows.columns if not c.startswith("_")], F.col("_at.ord").alias("ord"), F.col("_at.idx").alias("idx"))
+    kept = first_wins(rows, "_hash", "_at").select(*[c for c in rows.columns if not c.startswith("_")], F.col("_at.ord").alias("ord"), F.col("_at.idx").alias("idx"))
+    return counters.at(kept, chunks=F.count("*"))

@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 
 from lexmill.functions import text as tx
 from lexmill.plans.components import connected_components
+from lexmill.plans.counters import Counters
 from lexmill.plans.staging import materialize
 
 # Input names tried in order for each output field.
@@ -55,10 +56,15 @@ def first_wins(df: DataFrame, key: str, order: str = "ord") -> DataFrame:
     return df.groupBy(key).agg(F.min_by(F.struct(*[c for c in df.columns if c != key]), order).alias("_row")).select(key, "_row.*").select(*df.columns)
 
 
-def document_table(raw: DataFrame, skip_expired: bool = True) -> DataFrame:
-    """Normalised documents, expired ones dropped, last one of each id."""
-    docs = normalize_documents(raw)
-    return last_wins(drop_expired(docs) if skip_expired else docs, "doc_id")
+def document_table(raw: DataFrame, skip_expired: bool = True, counters: Counters | None = None) -> DataFrame:
+    """Normalised documents, expired ones dropped, last one of each id.
+
+    ``counters`` gets rows_read, titled, live and documents from the pass that writes the table.
+    """
+    counters = counters or Counters()
+    docs = normalize_documents(counters.at(raw, rows_read=F.count("*")))
+    docs = counters.at(docs, titled=F.count("*"), live=F.count_if(~tx.is_expired(F.col("status"))))
+    return counters.at(last_wins(drop_expired(docs) if skip_expired else docs, "doc_id"), documents=F.count("*"))
 
 
 def normalize_articles(raw: DataFrame, documents: DataFrame, aliases: dict[str, list[str]] | None = None) -> DataFrame:
@@ -125,19 +131,16 @@ def two_key_dedupe(df: DataFrame, key: str, other: str, order: str = "ord", roun
     return df.join(scanned if kept is None else kept.unionByName(scanned), order, "left_semi")
 
 
-def article_table(raw: DataFrame, documents: DataFrame, skip_expired: bool = True) -> DataFrame:
-    """Normalised articles, deduped by citation key or text hash, first wins."""
-    rows = normalize_articles(raw, documents)
-    rows = drop_expired(rows) if skip_expired else rows
-    rows = materialize(rows.withColumn("_key", tx.article_key(F.col("legal_id"), F.col("title"), F.col("article_no"))).withColumn("_hash", tx.sha1_text(F.col("text"))))
-    return two_key_dedupe(rows, "_key", "_hash").drop("_key", "_hash")
-
+def article_table(raw: DataFrame, documents: DataFrame, skip_expired: bool = True, counters: Counters | None = None) -> DataFrame:
+    """Normalised articles, deduped by citation key or text hash, first wins.
 
-def normalize_report(raw_articles: DataFrame, documents: DataFrame, articles: DataFrame) -> DataFrame:
-    """Counters of the stage: docs, articles, skipped_dup."""
-    live = drop_expired(normalize_articles(raw_articles, documents))
-    one = lambda df, name: df.agg(F.count("*").alias(name))  # noqa: E731  single rows, joined as such
-    return one(documents, "docs").crossJoin(one(articles, "articles")).crossJoin(one(live, "live")).select("docs", "articles", (F.col("live") - F.col("articles")).alias("skipped_dup"))
+    ``counters`` gets articles_read, live_articles and articles; what is skipped as repeated is the difference of the last two.
+    """
+    counters = counters or Counters()
+    rows = normalize_articles(counters.at(raw, articles_read=F.count("*")), documents)
+    rows = counters.at(drop_expired(rows) if skip_expired else rows, live_articles=F.count("*"))
+    rows = materialize(rows.withColumn("_key", tx.article_key(F.col("legal_id"), F.col("title"), F.col("article_no"))).withColumn("_hash", tx.sha1_text(F.col("text"))))
+    return counters.at(two_key_dedupe(rows, "_key", "_hash").drop("_key", "_hash"), articles=F.count("*"))
 
 
 def _number(base: str, order: str):

@@ -17,6 +17,8 @@ from lexmill.functions import text as tx
 from lexmill.operators import bm25, chunk, dense, fusion, graph, index, lookup, normalize, select
 from lexmill.sources import readers, sinks
 
+from .counters import Counters
+
 LONGEST_QUESTION, MOST_RESULTS, MOST_QUESTIONS = 2500, 20, 100
 STAGES = ["normalize", "chunk", "keyword_index", "dense_index", "expand", "retrieve", "rerank", "answer", "results"]
 INDEX_COLUMNS = ["title_fts", "legal_fts", "article_fts", "body_fts"]
@@ -136,6 +138,7 @@ class Engine:
     def __init__(self, spark: SparkSession, config: EngineConfig | None = None) -> None:
         self.spark, self.settings = spark, config or EngineConfig()
         self._rows: DataFrame | None = None
+        self.counted: dict[str, dict[str, int]] = {}
 
     def path(self, name: str) -> str:
         return f"{self.settings.out}/{name}"
@@ -143,21 +146,23 @@ class Engine:
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(name))
 
-    def _stage(self, name: str, make: Callable[[], DataFrame]) -> DataFrame:
-        """Skip a stage whose table is complete."""
+    def _stage(self, name: str, make: Callable[[Counters], DataFrame]) -> DataFrame:
+        """Skip a stage whose table is complete; what it counts while it writes is in ``counted``."""
         if not readers.path_exists(self.spark, f"{self.path(name)}/_SUCCESS"):
-            make().write.mode("overwrite").parquet(self.path(name))
+            counters = Counters()
+            make(counters).write.mode("overwrite").parquet(self.path(name))
+            self.counted[name] = counters.values()
         return self.table(name)
 
     def normalize(self) -> tuple[DataFrame, DataFrame]:
         c = self.settings
-        docs = self._stage("documents", lambda: normalize.document_table(readers.read_raw_dirs(self.spark, c.base, c.raw_dirs, RAW_DOCUMENT), c.skip_expired))
-        arts = self._stage("articles", lambda: normalize.article_table(readers.read_raw_dirs(self.spark, c.base, c.raw_dirs, RAW_ARTICLE, articles=True), docs, c.skip_expired))
+        docs = self._stage("documents", lambda n: normalize.document_table(readers.read_raw_dirs(self.spark, c.base, c.raw_dirs, RAW_DOCUMENT), c.skip_expired, n))
+        arts = self._stage("articles", lambda n: normalize.article_table(readers.read_raw_dirs(self.spark, c.base, c.raw_dirs, RAW_ARTICLE, articles=True), docs, c.skip_expired, n))
         return docs, arts
 
     def chunks(self) -> DataFrame:
         c = self.settings
-        return self._stage("chunks", lambda: chunk.chunk_articles(self.table("articles"), c.chunk_target, c.chunk_longest).withColumn("rowid", F.xxhash64("ord", "idx")))
+        return self._stage("chunks", lambda n: chunk.chunk_articles(self.table("articles"), c.chunk_target, c.chunk_longest, counters=n).withColumn("rowid", F.xxhash64("ord", "idx")))
 
     def keyword_index(self) -> None:
         """Index the chunks that the index does not hold yet."""
@@ -206,11 +211,11 @@ class Engine:
             "normalize": self.normalize,
             "chunk": self.chunks,
             "keyword_index": self.keyword_index,
-            "dense_index": lambda: self._stage("vectors", lambda: dense.embed(self.table("chunks").select(F.col("rowid").alias("vec_id"), "text"), models.encoder, "text").drop("text")),
-            "expand": lambda: self._stage("plans", lambda: parse_plans(generate(self.questions().select("qid", prompt(), F.lit(0).cast("long").alias("ord")), models.generator).drop("prompt"))),
-            "retrieve": lambda: self._stage("candidates", lambda: self._retrieve(plans if plans is not None else self.plans(), models)),
-            "rerank": lambda: self._stage("reranked", lambda: fusion.rerank(self.table("candidates"), *([models.scorer] if models.scorer else []))),
-            "answer": lambda: self._stage("evidence", lambda: self._answer(models)),
+            "dense_index": lambda: self._stage("vectors", lambda _: dense.embed(self.table("chunks").select(F.col("rowid").alias("vec_id"), "text"), models.encoder, "text").drop("text")),
+            "expand": lambda: self._stage("plans", lambda _: parse_plans(generate(self.questions().select("qid", prompt(), F.lit(0).cast("long").alias("ord")), models.generator).drop("prompt"))),
+            "retrieve": lambda: self._stage("candidates", lambda _: self._retrieve(plans if plans is not None else self.plans(), models)),
+            "rerank": lambda: self._stage("reranked", lambda _: fusion.rerank(self.table("candidates"), *([models.scorer] if models.scorer else []))),
+            "answer": lambda: self._stage("evidence", lambda _: self._answer(models)),
             "results": lambda: sinks.write_variants(select.assemble(self.questions(), evidence if evidence is not None else self.evidence(), ranked(), select.variants(self.spark)), self.path("results")),
         }
         for name in [s for s in STAGES if s in stages]:

@@ -242,6 +242,14 @@ ORACLE_SQL["article_split"] = f"""
     p AS (SELECT doc_id, string_split(regexp_replace(text, '({_HEADING_RE})', {_MARK} || '\\1', 'g'), {_MARK})[2:] AS k FROM t),
     a AS (SELECT doc_id, unnest(k) AS part, generate_subscripts(k, 1) - 1 AS article_pos FROM p)
     SELECT doc_id, article_pos::INT AS article_pos, regexp_extract(part, '{_HEADING_RE}', 1) AS article_no, {_norm(f"regexp_extract(part, '{_HEADING_RE}', 2)")} AS article_title, {_norm('part')} AS text FROM a"""
+_STATUS_SQL = f"contains({_fold(_sql_pick(STATUSES, 'doc_id'))}, 'het hieu luc')"
+ORACLE_SQL["stage_counters"] = f"""
+    WITH n AS ({ORACLE_SQL["normalized_documents"]}), c AS ({ORACLE_SQL["chunk_pack"]}),
+    t AS (SELECT {_norm(r"replace(regexp_replace(text, '\s+', ' ', 'g'), '. ', '. 1. ')")} AS text FROM documents),
+    p AS (SELECT unnest(k) AS piece FROM (SELECT {_pieces('text')} AS k FROM t)), e AS (SELECT doc_id, NOT {_STATUS_SQL} AS alive FROM documents)
+    SELECT 'rows_read' AS counter, count(*) AS n FROM documents UNION ALL SELECT 'titled', count(*) FROM n UNION ALL SELECT 'live', count(*) FILTER (alive) FROM e
+    UNION ALL SELECT 'documents', count(DISTINCT n.doc_id) FROM n JOIN e ON e.doc_id = n.ord WHERE alive
+    UNION ALL SELECT 'pieces', count(*) FROM p UNION ALL SELECT 'long_pieces', count(*) FROM p WHERE length(piece) >= {chunk.MIN_CHARS} UNION ALL SELECT 'chunks', count(*) FROM c"""
 ORACLE_SQL["keyword_search_stored"] = ORACLE_SQL["bm25_topk"]
 ORACLE_SQL["result_assembly"] = _ASSEMBLY + " SELECT variant, qid, question, answer, docs, articles FROM a"
 ORACLE_SQL["variant_summary"] = _ASSEMBLY + " SELECT variant, min(na)::INT AS min_articles, round(avg(na), 3) AS avg_articles, max(na)::INT AS max_articles, min(nd)::INT AS min_docs, round(avg(nd), 3) AS avg_docs, max(nd)::INT AS max_docs, 0::BIGINT AS bad_answers FROM a GROUP BY variant"

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from lexmill.functions import text as tx
 from lexmill.functions import tokens as tk
 from lexmill.operators import bm25, chunk, dense, fusion, graph, html, index, lookup, normalize, select, units
+from lexmill.plans.counters import Counters
 from lexmill.plans.staging import shared_dir
 from lexmill.sources import readers
 from lexmill.streaming import incremental
@@ -110,10 +111,22 @@ def dedupe_two_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.two_key_dedupe(rows, "key", "hash").select("ord", "key", "hash")
 
 
-def normalized_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("doc_id")
-    raw = _documents(spark, sf_dir).select(F.lit("").alias("title"), F.concat(_pick(TITLES, k), F.lit("  số "), F.col("source")).alias("ten_van_ban"), _code(k).alias("so_ky_hieu"), F.lit(None).cast("string").alias("url"), F.concat(F.lit("http://x/"), k).alias("source_url"), _pick(STATUSES, k).alias("tinh_trang"), k.alias("ord"))
-    return normalize.normalize_documents(raw)
+    return _documents(spark, sf_dir).select(F.lit("").alias("title"), F.concat(_pick(TITLES, k), F.lit("  số "), F.col("source")).alias("ten_van_ban"), _code(k).alias("so_ky_hieu"), F.lit(None).cast("string").alias("url"), F.concat(F.lit("http://x/"), k).alias("source_url"), _pick(STATUSES, k).alias("tinh_trang"), k.alias("ord"))
+
+
+def normalized_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return normalize.normalize_documents(_raw_documents(spark, sf_dir))
+
+
+def stage_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the document and chunk stages count while they are written."""
+    counters = Counters()
+    made = [normalize.document_table(_raw_documents(spark, sf_dir), counters=counters), chunk.chunk_articles(_sample_articles(spark, sf_dir), counters=counters)]
+    for table in made:
+        table.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(list(counters.values().items()), "counter string, n long")
 
 
 def _sample_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -328,7 +341,7 @@ def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL = [
-    norm_fold, legal_ids, title_flags, citation_keys, file_names, tokens_lookup, tokens_plan, tokens_search, doc_last_wins, dedupe_text_first, dedupe_two_key, normalized_documents,
+    norm_fold, legal_ids, title_flags, citation_keys, file_names, tokens_lookup, tokens_plan, tokens_search, doc_last_wins, dedupe_text_first, dedupe_two_key, normalized_documents, stage_counters,
     chunk_pack, article_split, bm25_topk, keyword_search_stored, bm25_phrases, dense_topk, hybrid_rrf, rerank_adjust, capped_select_variants, evidence_caps, result_assembly, variant_summary, context_blocks,
     answer_lookup, rule_plan, graph_nodes, graph_edges, relation_enrich, row_filters, resume_pending, url_extract, json_props, unique_keys, html_title_text, html_units, html_file_links, text_units, daily_events,
 ]
