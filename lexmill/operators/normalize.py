@@ -13,7 +13,7 @@ from pyspark.sql import types as T
 from lexmill.functions import text as tx
 from lexmill.plans.components import connected_components
 from lexmill.plans.counters import Counters
-from lexmill.plans.staging import materialize
+from lexmill.plans.staging import materialize, rank_within
 
 # Input names tried in order for each output field.
 DOC_ALIASES = {"title": ["title", "ten_van_ban", "name"], "legal_id": ["legal_id", "so_ky_hieu", "code"], "url": ["url", "source_url"], "doc_type": ["doc_type", "loai_van_ban"], "status": ["status", "tinh_trang", "hieu_luc"], "doc_id": ["doc_id"], "source": ["source"]}
@@ -167,14 +167,13 @@ def suffix_keys(df: DataFrame, base: str, order: str = "ord", name: str = "key")
     """Unique keys in the order of a unique column: a base, or else the base with the least ``_n`` from 2 on that is free.
 
     Only bases that are equal without trailing numbers can meet.  Where all rows
-    of such a family have the same base the number is the place; mixed families
-    are scanned one by one.
+    of such a family have the same base the number is the place, ranked by ranges, so a
+    base of most rows is many tasks; mixed families are scanned one by one.
     """
     family = F.regexp_replace(F.col(base), r"(_[0-9]+)+$", "")
-    rows = df.withColumn("_family", family)
+    rows = rank_within(df.withColumn("_family", family), base, order, "_n")
     sizes = rows.groupBy("_family").agg((F.min(base) != F.max(base)).alias("_mixed")).where("_mixed").select("_family")
     rows = rows.join(sizes.withColumn("_mixed", F.lit(True)), "_family", "left")
-    n = F.row_number().over(Window.partitionBy(base).orderBy(order))
     scanned = rows.where("_mixed").select("_family", order, base).groupBy("_family").applyInArrow(_number(base, order), T.StructType([df.schema[order], T.StructField("_key", T.StringType())]))
-    numbered = rows.withColumn("_plain", F.when(n == 1, F.col(base)).otherwise(F.concat_ws("_", F.col(base), n)))
+    numbered = rows.withColumn("_plain", F.when(F.col("_n") == 1, F.col(base)).otherwise(F.concat_ws("_", F.col(base), F.col("_n"))))
     return numbered.join(scanned, order, "left").select(*df.columns, F.when(F.col("_mixed"), F.col("_key")).otherwise(F.col("_plain")).alias(name))

@@ -250,6 +250,7 @@ ORACLE_SQL["stage_counters"] = f"""
     SELECT 'rows_read' AS counter, count(*) AS n FROM documents UNION ALL SELECT 'titled', count(*) FROM n UNION ALL SELECT 'live', count(*) FILTER (alive) FROM e
     UNION ALL SELECT 'documents', count(DISTINCT n.doc_id) FROM n JOIN e ON e.doc_id = n.ord WHERE alive
     UNION ALL SELECT 'pieces', count(*) FROM p UNION ALL SELECT 'long_pieces', count(*) FROM p WHERE length(piece) >= {chunk.MIN_CHARS} UNION ALL SELECT 'chunks', count(*) FROM c"""
+ORACLE_SQL["dedupe_two_key_stream"] = ORACLE_SQL["dedupe_two_key"]
 ORACLE_SQL["keyword_search_stored"] = ORACLE_SQL["bm25_topk"]
 ORACLE_SQL["result_assembly"] = _ASSEMBLY + " SELECT variant, qid, question, answer, docs, articles FROM a"
 ORACLE_SQL["variant_summary"] = _ASSEMBLY + " SELECT variant, min(na)::INT AS min_articles, round(avg(na), 3) AS avg_articles, max(na)::INT AS max_articles, min(nd)::INT AS min_docs, round(avg(nd), 3) AS avg_docs, max(nd)::INT AS max_docs, 0::BIGINT AS bad_answers FROM a GROUP BY variant"

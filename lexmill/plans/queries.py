@@ -106,11 +106,27 @@ def dedupe_text_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return normalize.first_wins(rows, "hash")
 
 
+def _two_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _documents(spark, sf_dir).select(F.col("doc_id").alias("ord"), F.concat_ws("|", "source", "lang", (F.col("n_chars") % 40).cast("string")).alias("key"), F.concat_ws("|", F.substring(F.sha1("text"), 1, 2), "lang").alias("hash"))
+
+
 def dedupe_two_key(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _documents(spark, sf_dir).select(F.col("doc_id").alias("ord"), F.concat_ws("|", "source", "lang", (F.col("n_chars") % 40).cast("string")).alias("key"), F.concat_ws("|", F.substring(F.sha1("text"), 1, 2), "lang").alias("hash"))
+    rows = _two_keys(spark, sf_dir)
     return normalize.two_key_dedupe(rows, "key", "hash").select("ord", "key", "hash")
 
 
+def dedupe_two_key_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same rows from a stream over files that come one after the other."""
+    folder = f"{shared_dir(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    rows = _two_keys(spark, sf_dir)
+    middle = rows.agg(F.percentile_approx("ord", 0.5)).first()[0] or 0
+    for part in (rows.where(F.col("ord") <= middle), rows.where(F.col("ord") > middle)):
+        part.write.mode("append").parquet(f"{folder}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{folder}/in")
+        incremental.dedupe_two_keys_to_table(stream, f"{folder}/out", f"{folder}/checkpoint", "key", "hash").awaitTermination()
+    return spark.read.parquet(f"{folder}/out").select("ord", "key", "hash")
+
+
 def _raw_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     k = F.col("doc_id")
     return _documents(spark, sf_dir).select(F.lit("").alias("title"), F.concat(_pick(TITLES, k), F.lit("  số "), F.col("source")).alias("ten_van_ban"), _code(k).alias("so_ky_hieu"), F.lit(None).cast("string").alias("url"), F.concat(F.lit("http://x/"), k).alias("source_url"), _pick(STATUSES, k).alias("tinh_trang"), k.alias("ord"))
@@ -341,7 +357,7 @@ def daily_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _ALL = [
-    norm_fold, legal_ids, title_flags, citation_keys, file_names, tokens_lookup, tokens_plan, tokens_search, doc_last_wins, dedupe_text_first, dedupe_two_key, normalized_documents, stage_counters,
+    norm_fold, legal_ids, title_flags, citation_keys, file_names, tokens_lookup, tokens_plan, tokens_search, doc_last_wins, dedupe_text_first, dedupe_two_key, dedupe_two_key_stream, normalized_documents, stage_counters,
     chunk_pack, article_split, bm25_topk, keyword_search_stored, bm25_phrases, dense_topk, hybrid_rrf, rerank_adjust, capped_select_variants, evidence_caps, result_assembly, variant_summary, context_blocks,
     answer_lookup, rule_plan, graph_nodes, graph_edges, relation_enrich, row_filters, resume_pending, url_extract, json_props, unique_keys, html_title_text, html_units, html_file_links, text_units, daily_events,
 ]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Most rows and bytes of a side that is broadcast; beyond them the same join is shuffled.
@@ -53,11 +53,15 @@ def join_counted(rows: DataFrame, side: DataFrame, key: str, weight: str, how: s
     broadcast holds; no other key meets more than its share of the rows, so the
     shuffled join of the rest has no hot key.  ``how`` is inner, left or left_semi.
     """
-    found = side.agg(F.count("*"), F.sum(weight)).first()
-    if found[0] <= BROADCAST_ROWS:
+    size = sum((F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c, kind in side.dtypes if kind in ("string", "binary")), F.lit(0))
+    lists = [F.size(c) for c, kind in side.dtypes if kind.startswith("array")]
+    size = size + sum((32 * F.greatest(n, F.lit(0)) for n in lists), F.lit(0)) + 8 * len(side.columns)
+    found = side.agg(F.count("*"), F.sum(weight), F.coalesce(F.max(size), F.lit(1))).first()
+    fit = max(1, min(BROADCAST_ROWS, BROADCAST_BYTES // found[2]))  # rows of the largest size that a broadcast holds
+    if found[0] <= fit:
         return rows.join(F.broadcast(side), key, how)
-    heavy = side.where(F.col(weight) >= -(-found[1] // BROADCAST_ROWS) + 1)
-    rest = side.where(F.col(weight) <= -(-found[1] // BROADCAST_ROWS))
+    share = -(-found[1] // fit)
+    heavy, rest = side.where(F.col(weight) > share), side.where(F.col(weight) <= share)
     met = rows.join(F.broadcast(heavy), key, "left_semi" if how == "left_semi" else "inner")
     others = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
     return met.unionByName(others.join(rest, key, how))
@@ -76,3 +80,21 @@ def join_hot(rows: DataFrame, side: DataFrame, key: str, weight: str) -> DataFra
     met = rows.join(F.broadcast(heavy), key)
     others = rows.join(F.broadcast(heavy.select(key)), key, "left_anti")
     return met.unionByName(others.join(side.where(F.col(weight) <= share), key))
+
+
+def rank_within(df: DataFrame, group: str, order: str, name: str) -> DataFrame:
+    """1-based place of each row in its group by a unique column; a large group is ranked by many tasks.
+
+    Rows are dealt by ranges of group and order and numbered inside their range.  Only
+    groups that go over the end of a range need to know how many of them stand before;
+    there are at most two of those a partition.
+    """
+    placed = df.repartitionByRange(partitions(df.sparkSession), group, order).withColumn("_part", F.spark_partition_id())
+    placed = materialize(placed)
+    counts = placed.groupBy(group, "_part").agg(F.count("*").alias("_n"))
+    by_group = Window.partitionBy(group)
+    earlier = F.coalesce(F.sum("_n").over(by_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    split = counts.withColumn("_parts", F.count("*").over(by_group)).withColumn("_before", earlier).where("_parts > 1").select(F.col(group).alias("_group"), F.col("_part").alias("_at"), "_before")
+    inside = placed.withColumn("_i", F.row_number().over(Window.partitionBy("_part", group).orderBy(order)))
+    joined = inside.join(F.broadcast(split), F.col(group).eqNullSafe(F.col("_group")) & (F.col("_part") == F.col("_at")), "left")
+    return joined.select(*df.columns, (F.col("_i") + F.coalesce("_before", F.lit(0))).cast("long").alias(name))

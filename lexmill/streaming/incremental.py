@@ -7,6 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lexmill.functions import text as tx
+from lexmill.operators import normalize
+from lexmill.plans.staging import materialize, rank_within
 from lexmill.sources.readers import path_exists
 
 
@@ -21,9 +23,10 @@ def finished(rows: DataFrame, upstream: DataFrame, key: str = "qid") -> DataFram
 
 
 def row_slice(rows: DataFrame, start: int = 0, limit: int | None = None, order: str = "ord") -> DataFrame:
-    """The rows from ``start`` on, at most ``limit`` of them, as a crawl is cut into runs."""
-    later = rows.orderBy(order).offset(start)
-    return later if limit is None else later.limit(limit)
+    """The rows from ``start`` on, at most ``limit`` of them, as a crawl is cut into runs; places are ranked by ranges."""
+    place = F.col("_place") > start if limit is None else F.col("_place").between(start + 1, start + limit)
+    placed = rank_within(rows.withColumn("_all", F.lit(0)), "_all", order, "_place")
+    return placed.where(place).select(*rows.columns)
 
 
 def append_pending(rows: DataFrame, path: str, key: str = "qid") -> int:
@@ -62,6 +65,27 @@ def stream_to_table(rows: DataFrame, path: str, checkpoint: str, key: str) -> St
     return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def dedupe_two_keys_to_table(rows: DataFrame, path: str, checkpoint: str, key: str, other: str, order: str = "ord") -> StreamingQuery:
+    """Append the rows that a scan in order would keep, dropping a row of which either key was kept before.
+
+    A micro-batch first loses what shares a key with the rows of other batches in the
+    table, then is scanned by itself, so as long as order grows with the batches the
+    table is that of one scan over everything.  Each batch has a partition of its own,
+    which a batch that runs again replaces; what was kept survives a restart as data.
+    """
+
+    def write(batch: DataFrame, number: int) -> None:
+        spark, new = batch.sparkSession, batch
+        if path_exists(spark, path):
+            kept = spark.read.parquet(path).where(F.col("batch") != number)
+            for name in (key, other):
+                new = new.join(kept.select(name).distinct(), name, "left_anti")
+        kept_now = normalize.two_key_dedupe(materialize(new.select(*batch.columns)), key, other, order)
+        kept_now.withColumn("batch", F.lit(number)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch").parquet(path)
+
+    return rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
 def text_key(text: str = "text"):
     """Content key for streams whose rows carry no id."""
     return tx.sha1_text(F.col(text))
