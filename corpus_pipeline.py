@@ -3,6 +3,14 @@
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame that is written
 as Parquet and read again as the next stage's docs.  All but the last return
 the columns of ``documents``.
+
+Defined cases: a null or empty text fails the base rule and goes in the first stage;
+a very long text is one row in every stage; rows that repeat are judged alike, their
+repeated lines and the rows themselves go as copies, of ties in the least id every row
+stays; columns beyond those of ``documents`` are kept by all stages but the last,
+whatever their names; an empty table goes through as an empty table.  The tables
+between the stages stay in the shared folder until the session's owner clears it, as
+the result is read from the last of them.
 """
 
 from __future__ import annotations

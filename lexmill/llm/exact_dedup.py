@@ -37,10 +37,10 @@ def exact_dedup(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "tex
     """
     if keep not in ("smallest", "largest"):
         raise ValueError(keep)
-    text = F.coalesce(F.col(text_col), F.lit(""))
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
     text = lower_ascii(text) if fold_case else text
     digest = F.sha2(text, 256)
-    rows = docs.select(F.col(id_col).alias("doc_id"), digest.alias("text_sha256"), F.monotonically_increasing_id().alias("row_no"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), digest.alias("text_sha256"), F.monotonically_increasing_id().alias("row_no"))
     rows = materialize(rows).withColumn("hash", short_hash(F.col("text_sha256")))
 
     pick = F.max if keep == "largest" else F.min

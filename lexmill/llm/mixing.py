@@ -9,7 +9,9 @@ seeded part of its documents once more.  That part is the documents of smallest
 seeded hash whose sizes make up the rest, found by radix selection on the hash
 (4,096 sums per source and round), so no source is ever gathered or sorted.
 
-Defined cases: null text has size 0; null source is a source of its own, last
+Defined cases: null and empty texts have size 0, and are taken as often as their
+hash says; a very long text is one row of a large size; documents of equal hash are
+taken together or not at all; null source is a source of its own, last
 in order; sources of size 0 have target 0; rows that repeat an id are taken
 alike; an empty table gives an empty result; other columns are kept by
 ``mix_documents`` and ignored by ``mix_plan``.
@@ -34,7 +36,7 @@ def seeded_hash(doc_id: Column, seed: int) -> Column:
 
 
 def document_sizes(docs: DataFrame, seed: int, *, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    spaced = docs.select(F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"), single_spaced(F.col(text_col)).alias("spaced"))
+    spaced = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.col(f"`{source_col}`").alias("source"), single_spaced(F.col(f"`{text_col}`")).alias("spaced"))
     return spaced.select("doc_id", "source", spaced_word_count(F.col("spaced")).alias("size"), seeded_hash(F.col("doc_id"), seed).alias("u"))
 
 

@@ -8,10 +8,12 @@ times as the counts allow.  Each repetition uses up at least one length, so the
 plan stays at a few thousand combinations.  Pieces get their rank among pieces
 of equal length from salted partial counts, and a rank is a place in the plan.
 
-Defined cases: null text is empty and still holds the end id; documents over
-the capacity are cut into pieces of that length of which the first may be
-shorter; rows that repeat a document are packed each; null ids are kept; an
-empty table gives an empty result; other columns are ignored.
+Defined cases: null and empty texts hold the end id alone; documents over the
+capacity, however long, are cut into pieces of that length of which the first may be
+shorter, and the ids of one document must fit a worker; pieces of equal length are
+interchangeable, so ties among them go by document and piece; rows that repeat a
+document are packed each; null ids are kept; an empty table gives an empty result;
+other columns are ignored.
 """
 
 from __future__ import annotations
@@ -38,7 +40,7 @@ PIECE_FIELDS = [T.StructField("piece", T.IntegerType()), T.StructField("start",
 
 def cut_pieces(docs: DataFrame, tokenizer_path: str, *, capacity: int = CAPACITY, end_id: int = END_ID, cache_entries: int = CACHE_ENTRIES, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per piece: doc_id, piece, start, length, ids_crc32."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    rows = docs.select(F.col(f"`{id_col}`").alias("doc_id"), F.coalesce(F.col(f"`{text_col}`"), F.lit("")).alias("text"))
     end = np.uint32(end_id).tobytes()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

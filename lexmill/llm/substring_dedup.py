@@ -9,7 +9,7 @@ windows around one anchor (about a dozen), shipped once as its words.
 
 1. Runs are counted by their prefix.  A prefix is the anchor's words; where a
    sample of the documents says that more than ``SPLIT_WINDOWS`` windows stand
-   behind one anchor, it is longer, up to the whole window.  Suffixes whose
+   behind one anchor, it is the whole window; prefixes have these two lengths.  Suffixes whose
    prefix occurs once have no repeat and go no further, so words are shipped for
    the others only.
 2. The words of the rest are grouped by prefix.  A group fits in memory: a short

@@ -13,7 +13,8 @@ the manifest itself is committed.  Readers open only what the manifest lists.
 Of records with equal payloads one is the response and the others are revisit
 records without content, whose payloads are not shuffled either.  Defined cases:
 null payload is empty; a very long payload is one record and must fit a worker;
-null url gives a record without target; a null id sorts first; rows that repeat
+null url gives a record without target; ids are numbers, as others cannot be cast
+to long; a null id sorts first, and many of them are cut by digest; rows that repeat
 the id of the response are responses too, and rows that repeat have record ids
 of their own; an empty table gives an empty manifest and an empty
 result; other columns are ignored.
@@ -129,13 +130,17 @@ def _range_sums(sizes: DataFrame, starts: np.ndarray) -> np.ndarray:
 
 
 def shard_starts(sizes: DataFrame, shard_bytes: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First id, first shard and number of shards of each range, from a materialised table (id, bytes) without null ids.
+    """First id, first shard and number of shards of each range, from a materialised table (id, bytes); null ids stand before the least id.
 
     Some ranges share a shard; a range of several shards holds a single id.
     """
-    low, high, total = sizes.agg(F.min("id"), F.max("id"), F.sum("bytes")).first()
-    if low is None:
+    low, high, total, nulls = sizes.agg(F.min("id"), F.max("id"), F.sum("bytes"), F.count_if(F.col("id").isNull())).first()
+    if total is None:
         return (np.zeros(1, dtype=np.int64),) * 2 + (np.ones(1, dtype=np.int64),)
+    low, high = (0, 0) if low is None else (low, high)
+    if nulls:
+        low = max(low - 1, -(1 << 63))
+        sizes = sizes.withColumn("id", F.coalesce("id", F.lit(low).cast("long")))
     shard_bytes = max(shard_bytes, total // MOST_SHARDS)
     ranges, sums = [(int(low), int(high) + 1)], np.array([total], dtype=np.int64)
     while heavy := sum(size > shard_bytes and b - a > 1 for (a, b), size in zip(ranges, sums.tolist(), strict=True)):
@@ -184,7 +189,7 @@ def write_warc(pages: DataFrame, directory: str, *, id_col: str = "page_id", url
     equal = digests.where(F.col("length") >= min_revisit_bytes).groupBy("sha1").agg(pick("page_id").alias("response"), F.count("*").alias("n"))
     equal = materialize(equal.where("n > 1"))
     revisit = F.coalesce(~F.col("page_id").eqNullSafe(F.col("response")), F.lit(False)) & F.col("response").isNotNull()
-    sizes = join_counted(digests, equal, "sha1", "n", "left").where("page_id is not null")
+    sizes = join_counted(digests, equal, "sha1", "n", "left")
     sizes = materialize(sizes.select(F.col("page_id").alias("id"), (F.when(revisit, 0).otherwise(F.col("length")) + 500).alias("bytes")))
     records = join_counted(records, equal, "sha1", "n", "left").withColumn("revisit", revisit)
     records = records.select("page_id", "url", F.when(~F.col("revisit"), F.col("payload")).alias("payload"), "sha1", "length", "response", "revisit", F.crc32("sha1").alias("cut"))

@@ -83,3 +83,14 @@ def test_damage_is_found(spark, tmp_path):
     record = gzip.decompress((tmp_path / "x" / name).read_bytes())
     with pytest.raises(ValueError, match="digest"):
         parse_record(record.replace(b"<p>x", b"<p>y"))
+
+
+def test_null_ids_are_dealt_over_shards(spark, tmp_path):
+    rows = [(None, "u", f"payload {i} " * 20) for i in range(300)] + [(i, "u", f"other {i} " * 20) for i in range(5)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    manifest = write_warc(pages, f"file://{tmp_path}/n", shard_bytes=20_000)
+    assert sorted(r["records"] for r in manifest.collect())[-1] < 100 and sum(r["records"] for r in manifest.collect()) == 305
+    got = read_warc(spark, f"file://{tmp_path}/n", with_payload=True)
+    assert sorted((r["page_id"] is None, bytes(r["payload"]).decode()) for r in got.collect()) == sorted((p is None, t) for p, _, t in rows)
+    write_warc(pages.where("page_id is null").limit(3), f"file://{tmp_path}/a")
+    assert read_warc(spark, f"file://{tmp_path}/a").count() == 3
