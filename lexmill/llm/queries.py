@@ -203,3 +203,48 @@ ORACLE_SQL: dict[str, str] = {
         o AS (SELECT *, row_number() OVER (PARTITION BY able ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY able) AS size FROM z)
         SELECT doc_id, n_features, weight, score, CASE WHEN able AND place <= 5 * size // 100 THEN place END AS rank FROM o""",
 }
+
+
+def _either_case(words: str) -> str:
+    return "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in words)
+
+
+# White space of Python's regular expressions, as a class of RE2.
+_BLANKS = r"\x{09}\x{0B}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+_ASSIGN_SQL = _either_case("(?:password|passwd|secret|token|api_?key)") + r"""[\x22\x27]?\x20*[:=]\x20*[\x22\x27]?"""
+_SPAN_SQL = {
+    "assign": (_ASSIGN_SQL + r"[A-Za-z0-9+/_.=-]+", rf"length(regexp_extract(m, '{_ASSIGN_SQL}([A-Za-z0-9+/_.=-]+)', 1)) >= 6"),
+    "access": (r"AKIA[A-Z0-9]+", "length(m) >= 20"),
+    "hex": (r"[0-9a-f]{24,}", "true"),
+    "key": (r"[A-Za-z0-9+/]{40,}=?", "length(m) = 40 AND NOT ends_with(m, '=') AND regexp_matches(m, '[a-z]') AND regexp_matches(m, '[A-Z]') AND regexp_matches(m, '[0-9]')"),
+    "endpoint": (rf"https?://[^\x{{0A}}{_BLANKS}\x22\x27<>]+", "true"),
+    "blank": (rf"\n[{_BLANKS}]*\n", "true"),
+}
+
+
+def _found(kind: str) -> str:
+    """(doc_id, kind, a, b) of the matches of a kind; places are sums of the lengths before."""
+    pattern, keep = _SPAN_SQL[kind]
+    return f"""SELECT doc_id, '{kind}' AS kind, a, a + length(m) AS b FROM (SELECT doc_id, m, sum(length(g) + length(m)) OVER (PARTITION BY n ORDER BY i) - length(m) AS a
+        FROM (SELECT n, doc_id, unnest(k) AS m, unnest(h[1:len(k)]) AS g, generate_subscripts(k, 1) AS i FROM (SELECT n, doc_id, regexp_extract_all(t, '{pattern}') AS k, string_split_regex(t, '{pattern}') AS h FROM d))) WHERE {keep}"""
+
+
+_NEAR = "EXISTS (FROM {others} o WHERE o.doc_id = s.doc_id AND o.a BETWEEN least(s.low, s.a - 300) AND greatest(s.high, s.b + 300))"
+_APART = "NOT EXISTS (FROM {taken} x WHERE x.doc_id = s.doc_id AND x.a < s.b AND s.a < x.b)"
+_SCOPED = "SELECT s.*, coalesce((SELECT max(b) FROM blank x WHERE x.doc_id = s.doc_id AND x.b <= s.a), 0) AS low, coalesce((SELECT min(a) FROM blank x WHERE x.doc_id = s.doc_id AND x.a >= s.b), (SELECT length(t) FROM d WHERE d.doc_id = s.doc_id)) AS high"
+ORACLE_SQL["op7_secret_scan"] = f"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, row_number() OVER () AS n FROM documents),
+    strong AS MATERIALIZED ({_found('assign')} UNION ALL {_found('access')} UNION ALL {_found('hex')}),
+    blank AS MATERIALIZED ({_found('blank')} AND doc_id IN (SELECT doc_id FROM strong UNION SELECT doc_id FROM ({_found('key')}))),
+    k AS MATERIALIZED ({_SCOPED} FROM ({_found('key')}) s WHERE {_APART.format(taken='strong')}),
+    taken AS (SELECT doc_id, a, b FROM strong UNION ALL SELECT doc_id, a, b FROM k),
+    e AS MATERIALIZED ({_SCOPED} FROM ({_found('endpoint')}) s WHERE {_APART.format(taken='taken')} AND s.doc_id IN (SELECT doc_id FROM taken)),
+    access AS (FROM strong WHERE kind = 'access'), hidden AS (SELECT doc_id, a FROM strong WHERE kind = 'assign' UNION ALL SELECT doc_id, a FROM k),
+    f AS (SELECT doc_id, kind, a, b FROM strong
+        UNION ALL SELECT doc_id, kind, a, b FROM k s WHERE {_NEAR.format(others='access')} OR {_NEAR.format(others='e')}
+        UNION ALL SELECT doc_id, kind, a, b FROM e s WHERE {_NEAR.format(others='access')} OR {_NEAR.format(others='hidden')}),
+    o AS (SELECT *, kind || ':' || a || ':' || b AS said, list_position(['assign', 'access', 'hex', 'key', 'endpoint'], kind) AS rk FROM f),
+    g AS (SELECT doc_id, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access, count(*) FILTER (kind = 'hex') AS n_hex,
+        string_agg(said, ',' ORDER BY a, rk, b) FILTER (rk <= 3) AS base, string_agg(said, ',' ORDER BY a, rk, b) AS spans FROM o GROUP BY doc_id)
+    SELECT doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access, coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+    FROM d LEFT JOIN g USING (doc_id)"""
