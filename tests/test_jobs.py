@@ -81,7 +81,7 @@ def test_command_line(spark, tmp_path, documents):
     source = tmp_path / "documents"
     documents.where("doc_id < 20").write.parquet(f"file://{source}")
     args = ["--documents", str(source), "--index", f"{tmp_path}/index", "--checkpoint", f"{tmp_path}/mark"]
-    done = subprocess.run([sys.executable, "-m", "jobs.keyword_index", *args], cwd=ROOT, capture_output=True, text=True, timeout=300, env=os.environ | {"SPARK_LOCAL_DIRS": str(tmp_path / "local")})
+    done = subprocess.run([sys.executable, "-m", "jobs.keyword_index", *args, "--config", f"{ROOT}/jobs/keyword_index.json"], cwd=ROOT, capture_output=True, text=True, timeout=300, env=os.environ | {"SPARK_LOCAL_DIRS": str(tmp_path / "local"), "PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.sql.shuffle.partitions=2 --conf spark.ui.enabled=false pyspark-shell"})
     assert done.returncode == 0, done.stderr[-2000:]
     assert "wrote 20 rows" in done.stderr
     assert stored(spark, f"file://{tmp_path}/index") == plain(documents.where("doc_id < 20"))
