@@ -20,15 +20,19 @@ def capped(ranked: DataFrame, caps: DataFrame, *, group: str = "qid", distinct:
     """Selection from rows (qid, pos, citation, doc) under each variant's caps.
 
     Equal to a greedy scan: first of each citation, documents in order of first
-    appearance up to max_docs, then max_per_doc and max_articles by position.
+    appearance up to max_docs, then max_per_doc and max_articles by position.  First
+    positions are aggregated before any window, and windows keep no more rows of a
+    document, and documents of a group, than the largest cap, already before they are
+    shuffled, so no task holds a whole ranking.
     """
-    rows = ranked.where("citation <> ''")
+    most = caps.agg(F.max("max_docs").alias("docs"), F.max("max_per_doc").alias("per_doc")).first()
+    rows = ranked.where("citation <> ''").select(group, "pos", "citation", "doc")
     if distinct:
-        rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy(group, "citation").orderBy("pos"))).where("_n = 1").drop("_n")
-    rows = rows.withColumn("_doc_at", F.min("pos").over(Window.partitionBy(group, "doc")))
-    rows = rows.withColumn("doc_no", F.dense_rank().over(Window.partitionBy(group).orderBy("_doc_at")))
-    rows = rows.withColumn("in_doc", F.row_number().over(Window.partitionBy(group, "doc").orderBy("pos")))
-    fit = rows.crossJoin(F.broadcast(caps)).where("doc_no <= max_docs and in_doc <= max_per_doc")
+        rows = rows.groupBy(group, "citation").agg(F.min(F.struct("pos", "doc")).alias("_f")).select(group, "_f.pos", "citation", "_f.doc")
+    docs = rows.groupBy(group, "doc").agg(F.min("pos").alias("_doc_at"))
+    docs = docs.withColumn("doc_no", F.dense_rank().over(Window.partitionBy(group).orderBy("_doc_at"))).where(F.col("doc_no") <= (most["docs"] or 0))
+    rows = rows.withColumn("in_doc", F.row_number().over(Window.partitionBy(group, "doc").orderBy("pos"))).where(F.col("in_doc") <= (most["per_doc"] or 0))
+    fit = rows.join(docs.select(group, "doc", "doc_no"), [group, "doc"]).crossJoin(F.broadcast(caps)).where("doc_no <= max_docs and in_doc <= max_per_doc")
     fit = fit.withColumn("art_no", F.row_number().over(Window.partitionBy(group, "variant").orderBy("pos"))).where("art_no <= max_articles")
     return fit.select(group, "variant", "art_no", "doc_no", "citation", "doc")
 

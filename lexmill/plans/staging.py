@@ -89,12 +89,12 @@ def rank_within(df: DataFrame, group: str, order: str, name: str) -> DataFrame:
     groups that go over the end of a range need to know how many of them stand before;
     there are at most two of those a partition.
     """
-    placed = df.repartitionByRange(partitions(df.sparkSession), group, order).withColumn("_part", F.spark_partition_id())
+    placed = df.repartitionByRange(partitions(df.sparkSession), group, order).withColumn("_rank_part", F.spark_partition_id())
     placed = materialize(placed)
-    counts = placed.groupBy(group, "_part").agg(F.count("*").alias("_n"))
+    counts = placed.groupBy(group, "_rank_part").agg(F.count("*").alias("_rank_n"))
     by_group = Window.partitionBy(group)
-    earlier = F.coalesce(F.sum("_n").over(by_group.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    split = counts.withColumn("_parts", F.count("*").over(by_group)).withColumn("_before", earlier).where("_parts > 1").select(F.col(group).alias("_group"), F.col("_part").alias("_at"), "_before")
-    inside = placed.withColumn("_i", F.row_number().over(Window.partitionBy("_part", group).orderBy(order)))
-    joined = inside.join(F.broadcast(split), F.col(group).eqNullSafe(F.col("_group")) & (F.col("_part") == F.col("_at")), "left")
-    return joined.select(*df.columns, (F.col("_i") + F.coalesce("_before", F.lit(0))).cast("long").alias(name))
+    earlier = F.coalesce(F.sum("_rank_n").over(by_group.orderBy("_rank_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    split = counts.withColumn("_rank_parts", F.count("*").over(by_group)).withColumn("_rank_before", earlier).where("_rank_parts > 1").select(F.col(group).alias("_rank_group"), F.col("_rank_part").alias("_rank_at"), "_rank_before")
+    inside = placed.withColumn("_rank_i", F.row_number().over(Window.partitionBy("_rank_part", group).orderBy(order)))
+    joined = inside.join(F.broadcast(split), F.col(group).eqNullSafe(F.col("_rank_group")) & (F.col("_rank_part") == F.col("_rank_at")), "left")
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], (F.col("_rank_i") + F.coalesce("_rank_before", F.lit(0))).cast("long").alias(name))

@@ -9,7 +9,7 @@ import html as html_lib
 import io
 import re
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from xml.etree import ElementTree
 
 import pyarrow as pa
@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lexmill.functions import text as tx
+from lexmill.plans.staging import materialize, rank_within
 
 # Names and headers looked for.
 DOCUMENT_FILES = ["documents.jsonl", "documents (1).jsonl", "documents (2).jsonl"]
@@ -136,24 +137,40 @@ def _sheet_frames(name: str, content: bytes):
     raise ValueError(f"cannot read {name}")
 
 
-def read_sheets(spark: SparkSession, path: str) -> DataFrame:
-    """Rows of all sheets under a path as text columns, first of each id; lock files are skipped.
+def read_sheets(spark: SparkSession, path: str, *, every_sheet: bool = False, frames: Callable = _sheet_frames) -> DataFrame:
+    """Rows of the sheets under a path as text columns, first of each id; lock files are skipped.
 
-    Files are read whole on the driver; they are lists of documents to fetch.
+    Files are parsed where they are read, one at a time; the driver learns the names of
+    the columns only.  A workbook's first sheet counts, or with ``every_sheet`` all.
     """
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "[!~]*").load(path).orderBy("path").select("path", "content").collect()
-    import pandas as pd
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "[!~]*").load(path).select("path", "content")
+    files = files.where(F.lower("path").rlike(r"\.(csv|xlsx|xls)$"))
 
-    frames = [f for r in files if r["path"].lower().endswith((".csv", ".xlsx", ".xls")) for f in _sheet_frames(r["path"], bytes(r["content"]))[:1]]
-    if not frames:
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for name, content in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                found = frames(name, content)
+                for sheet, frame in enumerate(found if every_sheet else found[:1]):
+                    names = [str(c) for c in frame.columns]
+                    cells = [[None if v is None or v != v else str(v) for v in row] for row in frame.itertuples(index=False, name=None)]
+                    size = len(cells)
+                    yield pa.RecordBatch.from_arrays([pa.array([name] * size), pa.array([sheet] * size, pa.int32()), pa.array(range(size), pa.int64()), pa.array([names] * size, pa.list_(pa.string())), pa.array(cells, pa.list_(pa.string()))], names=["path", "sheet", "row", "names", "cells"])
+
+    rows = materialize(files.repartition("path").mapInArrow(parse, "path string, sheet int, row long, names array<string>, cells array<string>"))
+    at = F.struct("path", "sheet", "pos").alias("at")
+    named = rows.select("path", "sheet", F.posexplode("names").alias("pos", "name")).groupBy("name").agg(F.min(at).alias("at")).orderBy("at").collect()
+    if not named:
         raise FileNotFoundError(path)
-    whole = pd.concat(frames, ignore_index=True)
-    key = next((c for c in whole.columns if str(c).strip().lower() == "id"), None)
+    names = [r["name"] for r in named]
+    whole = rows.select(F.struct("path", "sheet", "row").alias("_at"), F.map_from_arrays("names", "cells").alias("_cells"))
+    whole = whole.select("_at", *[F.element_at("_cells", F.lit(n)).alias(n) for n in names])
+    key = next((n for n in names if n.strip().lower() == "id"), None)
     if key is not None:
-        whole = whole.drop_duplicates(subset=[key], keep="first")
-    names = [str(c) for c in whole.columns]
-    rows = [tuple(None if v is None else str(v) for v in r) + (i,) for i, r in enumerate(whole.itertuples(index=False, name=None))]
-    return spark.createDataFrame(rows, T.StructType([*[T.StructField(n, T.StringType()) for n in names], T.StructField("ord", T.LongType())]))
+        others = F.struct(*[F.col(f"`{n}`") for n in names])
+        alone = F.when(F.col(f"`{key}`").isNull(), F.col("_at")).alias("_alone")  # rows without an id all stay
+        whole = whole.groupBy(F.col(f"`{key}`").alias("_id"), alone).agg(F.min("_at").alias("_at"), F.min_by(others, "_at").alias("_row")).select("_at", "_row.*")
+    ranked = rank_within(whole.withColumn("_all", F.lit(0)), "_all", "_at", "_place")
+    return ranked.select(*[F.col(f"`{n}`") for n in names], (F.col("_place") - 1).alias("ord"))
 
 
 def normalize_columns(df: DataFrame) -> DataFrame:

@@ -42,6 +42,27 @@ def test_sheets(spark, tmp_path):
     assert [r[0] for r in readers.url_list(rows).collect()] == ["http://a.b/c"]
 
 
+def test_every_sheet_of_a_workbook(spark, tmp_path):
+    """Two sheets a file, the second with other columns and URLs; cells without value are null."""
+
+    def two_sheets(name, content):
+        import pandas as pd
+
+        first = pd.DataFrame({"ID": [1, 2], "a.b": ["x", None]})
+        return [first, pd.DataFrame({"link": ["see http://a.b/1, http://a.b/2", content.decode()]})]
+
+    (tmp_path / "w.xlsx").write_bytes(b"http://c.d/")
+    (tmp_path / "~lock.xlsx").write_bytes(b"x")
+    rows = readers.read_sheets(spark, f"file://{tmp_path}", frames=two_sheets)
+    assert [tuple(r) for r in rows.orderBy("ord").collect()] == [("1", "x", 0), ("2", None, 1)] and rows.columns == ["ID", "a.b", "ord"]
+    whole = readers.read_sheets(spark, f"file://{tmp_path}", every_sheet=True, frames=two_sheets)
+    assert whole.columns == ["ID", "link", "a.b", "ord"] or whole.columns == ["ID", "a.b", "link", "ord"]
+    assert [r[0] for r in readers.url_list(whole.drop("ord")).collect()] == ["http://a.b/1", "http://a.b/2", "http://c.d/"]
+    with pytest.raises(FileNotFoundError):
+        (tmp_path / "none").mkdir()
+        readers.read_sheets(spark, f"file://{tmp_path}/none")
+
+
 def test_docx(spark, tmp_path):
     xml = '<w:document xmlns:w="http://schemas.openxmlformats.org/wordprocessingml/2006/main"><w:body><w:p><w:r><w:t>Điều</w:t><w:t> 1</w:t></w:r></w:p><w:p/><w:p><w:r><w:t>x &amp;amp;  y</w:t></w:r></w:p></w:body></w:document>'
     with zipfile.ZipFile(tmp_path / "a.docx", "w") as z:
