@@ -61,7 +61,7 @@ def test_run(spark, sf_dir):
 
 
 def test_the_rest_works_without_these_modules(tmp_path):
-    for name in ("lexmill", "__spark_entry__.py"):
+    for name in ("lexmill", "jobs", "__spark_entry__.py"):
         os.symlink(f"{ROOT}/{name}", tmp_path / name) if name.endswith(".py") else __import__("shutil").copytree(f"{ROOT}/{name}", tmp_path / name, ignore=lambda d, n: ["llm", "__pycache__"])
     code = "import __spark_entry__ as e; q = e.queries(); assert 'bm25_topk' in q and 'pipeline' not in q and not any(n.startswith('op') for n in q)"
     subprocess.run([sys.executable, "-c", code], cwd=tmp_path, check=True, env=os.environ | {"PYTHONPATH": str(tmp_path)})
