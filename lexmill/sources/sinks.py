@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-import io
 import json
+import uuid
 import zipfile
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,19 +52,69 @@ def write_report(spark: SparkSession, path: str, report: object) -> None:
     _put(spark, path, json.dumps(report, ensure_ascii=False, indent=2).encode())
 
 
+def _qualified(spark: SparkSession, path: str) -> str:
+    """The path with its file system, as tasks need it."""
+    name = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    whole = name.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(name).toString()
+    return whole.replace("file:/", "file:///", 1) if whole.startswith("file:/") and not whole.startswith("file://") else whole
+
+
 def write_variants(results: DataFrame, folder: str) -> list[str]:
-    """results.json and a zip of it for each variant; one row per question, as the output format wants."""
-    written = []
-    for name in sorted(r["variant"] for r in results.select("variant").distinct().collect()):
-        rows = results.where(F.col("variant") == name).orderBy("qid").select(F.col("qid").alias("id"), "question", "answer", "relevant_docs", "relevant_articles")
-        body = json.dumps([r.asDict() for r in rows.toLocalIterator()], ensure_ascii=False, indent=2).encode()
-        _put(results.sparkSession, f"{folder}/{name}/results.json", body)
-        packed = io.BytesIO()
-        with zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED) as archive:
-            archive.writestr("results.json", body)
-        _put(results.sparkSession, f"{folder}/{name}.zip", packed.getvalue())
-        written.append(name)
-    return written
+    """results.json and a zip of it for each variant; one row per question, as the output format wants.
+
+    Spark makes the JSON of every row and deals the rows by variant and question; the
+    task of a variant streams them into its two files under temporary names.
+    """
+    spark = results.sparkSession
+    row = F.struct(F.col("qid").alias("id"), "question", "answer", "relevant_docs", "relevant_articles")
+    lines = results.select("variant", "qid", F.to_json(row, {"ignoreNullFields": "false"}).alias("line"))
+    target = _qualified(spark, folder)
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        from pyarrow import fs
+
+        system, root = fs.FileSystem.from_uri(target)
+        current, close, put = None, None, None
+
+        def start(name: str) -> tuple[Callable[[bytes], None], Callable[[], None]]:
+            system.create_dir(f"{root}/{name}", recursive=True)
+            mark = uuid.uuid4().hex
+            names = {f"{root}/{name}/results.json-{mark}": f"{root}/{name}/results.json", f"{root}/{name}.zip-{mark}": f"{root}/{name}.zip"}
+            plain, packed = (system.open_output_stream(n) for n in names)
+            archive = zipfile.ZipFile(packed, "w", zipfile.ZIP_DEFLATED)
+            entry = zipfile.ZipInfo("results.json")  # without the time, so a rerun gives the same file
+            entry.compress_type = zipfile.ZIP_DEFLATED
+            inner = archive.open(entry, "w", force_zip64=True)
+
+            def write_both(data: bytes) -> None:
+                plain.write(data)
+                inner.write(data)
+
+            def finish() -> None:
+                write_both(b"\n]")
+                for stream in (inner, archive, packed, plain):
+                    stream.close()
+                for old, new in names.items():
+                    system.move(old, new)
+
+            return write_both, finish
+
+        for batch in batches:
+            for name, line in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                if name != current:
+                    if close:
+                        close()
+                        yield pa.RecordBatch.from_pydict({"variant": [current]})
+                    current, (put, close) = name, start(name)
+                    put(b"[\n" + line.encode())
+                else:
+                    put(b",\n" + line.encode())
+        if close:
+            close()
+            yield pa.RecordBatch.from_pydict({"variant": [current]})
+
+    dealt = lines.repartition("variant").sortWithinPartitions("variant", "qid")
+    return sorted(r["variant"] for r in dealt.mapInArrow(write, "variant string").collect())  # a row a variant
 
 
 def export_document() -> Column:
