@@ -56,6 +56,11 @@ def hybrid(fused: DataFrame, questions: DataFrame, k: int = TOP, digits: int = 1
     return top_k(asked.withColumn("hybrid_score", score), k, [F.desc("hybrid_score"), F.asc("first_at")])
 
 
+def dense_text(title: Column, label: Column, article_title: Column, text: Column) -> Column:
+    """What a chunk's vector is made of: its title, label and heading, then its whole text; absent parts are empty lines."""
+    return F.concat_ws("\n", *map(tx.text_or_empty, (title, label, article_title, text)))
+
+
 def rerank_text(title: Column, label: Column, article_title: Column, text: Column) -> Column:
     return F.concat_ws("\n", tx.text_or_empty(title), tx.text_or_empty(label), tx.text_or_empty(article_title), F.substring(tx.text_or_empty(text), 1, RERANK_CHARS))
 

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from lexmill.functions import text as tx
 from lexmill.operators import bm25, chunk, dense, fusion, graph, index, lookup, normalize, select
-from lexmill.sources import readers, sinks
+from lexmill.sources import fetch, readers, sinks
 
 from .counters import Counters
 
@@ -60,6 +60,7 @@ class EngineConfig:
     fused_top: int = fusion.TOP
     rrf_k: int = fusion.RRF_K
     index_parts: int = 64
+    allow_fetch: bool = False
 
     @classmethod
     def from_environment(cls) -> EngineConfig:
@@ -81,6 +82,12 @@ def clean_question(question: str | None, longest: int = LONGEST_QUESTION) -> str
     return text
 
 
+def require_enabled(enabled: bool, feature: str) -> None:
+    """Refuse a feature that the configuration leaves off."""
+    if not enabled:
+        raise PermissionError(f"{feature} is switched off in the configuration")
+
+
 def generate(df: DataFrame, model: Generator, prompt: str = "prompt", out: str = "raw") -> DataFrame:
     """Add a model's answer to each prompt, batch by batch."""
 
@@ -207,11 +214,12 @@ class Engine:
                 raise ValueError(f"{stage} needs a model")
         prompt = lambda: tx.hyde_prompt(F.col("question"), models.expand_instructions).alias("prompt")
         ranked = lambda: self.table("reranked").withColumn("pos", F.col("final_rank"))
+        whole = fusion.dense_text(F.col("title"), F.col("article_label"), F.col("article_title"), F.col("text"))
         work: dict[str, Callable[[], object]] = {
             "normalize": self.normalize,
             "chunk": self.chunks,
             "keyword_index": self.keyword_index,
-            "dense_index": lambda: self._stage("vectors", lambda _: dense.embed(self.table("chunks").select(F.col("rowid").alias("vec_id"), "text"), models.encoder, "text").drop("text")),
+            "dense_index": lambda: self._stage("vectors", lambda _: dense.embed(self.table("chunks").select(F.col("rowid").alias("vec_id"), whole.alias("text")), models.encoder, "text").drop("text")),
             "expand": lambda: self._stage("plans", lambda _: parse_plans(generate(self.questions().select("qid", prompt(), F.lit(0).cast("long").alias("ord")), models.generator).drop("prompt"))),
             "retrieve": lambda: self._stage("candidates", lambda _: self._retrieve(plans if plans is not None else self.plans(), models)),
             "rerank": lambda: self._stage("reranked", lambda _: fusion.rerank(self.table("candidates"), *([models.scorer] if models.scorer else []))),
@@ -244,6 +252,11 @@ class Engine:
             self._rows = lookup.prepare_rows(readers.read_results(self.spark, self.settings.results)).cache()
         return self._rows
 
+    def fetch(self, rows: DataFrame, **options) -> DataFrame:
+        """First page that answers for each row's ``urls``, where fetching is allowed."""
+        require_enabled(self.settings.allow_fetch, "fetch")
+        return fetch.fetch_first_ok(rows, **options)
+
     def answer(self, question: str, top_k: int = 5) -> dict[str, object]:
         return self.batch_answer([question], top_k)[0]
 

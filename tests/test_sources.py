@@ -97,6 +97,14 @@ def test_fetch(spark):
     assert [r["source_url"] for r in page] == ["http://new/--12", "http://new/--x"] and [len(r["logs"]) for r in page] == [3, 3]
 
 
+def test_fetching_needs_to_be_allowed(spark):
+    rows = spark.createDataFrame([("1", ["http://a/"])], "id string, urls array<string>")
+    with pytest.raises(PermissionError, match="fetch is switched off"):
+        Engine(spark, EngineConfig()).fetch(rows)
+    allowed = Engine(spark, EngineConfig(allow_fetch=True))
+    assert allowed.fetch(rows, transport=lambda u, t: (200, "<p>"), retries=1).first()["source_url"] == "http://a/"
+
+
 def test_sinks(spark, tmp_path):
     base = f"file://{tmp_path}"
     results = spark.createDataFrame([("v1", 2, "q", "a", ["d"], ["x"]), ("v1", 1, "q", "a", [], [])], "variant string, qid int, question string, answer string, relevant_docs array<string>, relevant_articles array<string>")
@@ -185,6 +193,9 @@ def test_engine_runs_all_stages(spark, tmp_path):
     models = stand_ins()
     assert list(engine.run(STAGES, models=models)) == STAGES
     assert engine.table("vectors").columns == ["vec_id", "embedding"] and engine.table("vectors").count() == engine.table("chunks").count() == 6
+    one = {r["rowid"]: "\n".join([r["title"], r["article_label"], r["article_title"], r["text"]]) for r in engine.table("chunks").collect()}
+    counts = {i: [t.lower().count(c) + 0.01 for c in "abcd"] for i, t in one.items()}
+    assert all(r["embedding"] == pytest.approx([x / sum(y * y for y in counts[r["vec_id"]]) ** 0.5 for x in counts[r["vec_id"]]], abs=1e-5) for r in engine.table("vectors").collect())
     assert {(r["query_expansion"], r["hyde_answer"]) for r in engine.table("plans").collect()} == {("nhà đất", "bbb")}
     found = engine.table("candidates").collect()
     assert {s["source"] for r in found for s in r["sources"]} == {"bm25", "dense"}
