@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from itertools import chain
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,8 +18,10 @@ from lexmill.plans.staging import materialize
 from .bm25 import top_k
 
 QUERY_TOKENS, ROW_TOKENS, HEAD_CHARS, DIGITS = 80, 120, 300, 5
-#: Token sets that hold a token at most, for the tokens of each round of a lookup; the last takes all.
-RARE = (64, 4096, None)
+#: Rows and questions of a block, and blocks of either at least.
+BLOCK, LEAST_BLOCKS = 32_768, 3
+#: Words of a block that get a number for every row: those of one row in so many, at most as many words.
+DENSE_SHARE, DENSE_WORDS = 32, 4000
 
 
 def prepare_rows(results: DataFrame) -> DataFrame:
@@ -27,45 +35,79 @@ def _least_of_equals(rows: DataFrame, by: str, k: int) -> DataFrame:
     return rows.withColumn("_i", F.row_number().over(Window.partitionBy(by).orderBy("id"))).where(F.col("_i") <= k).drop("_i")
 
 
-def top_overlap(rows: DataFrame, asked: DataFrame, k: int, rounds: tuple[int | None, ...] = RARE) -> DataFrame:
+def _overlaps_of_block(k: int) -> Callable[[pa.Table, pa.Table], pa.Table]:
+    """(qid, id, shared, n) of the k rows of a block (id, words) that share most words with each question (qid, words)."""
+
+    def best(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        # ties go to the least id: positions follow the ids, as Spark orders them
+        rows = rows.take(pc.sort_indices(rows["id"], null_placement="at_start"))
+        numbers: dict[str, int] = {}
+        sets = [[numbers.setdefault(w, len(numbers)) for w in words.split(" ")] for words in rows["words"].to_pylist()]
+        sizes = np.fromiter(map(len, sets), np.int64, len(sets))
+        word = np.fromiter(chain.from_iterable(sets), np.int64, int(sizes.sum()))
+        order = np.argsort(word, kind="stable")
+        places = np.repeat(np.arange(len(sets)), sizes)[order]
+        first = np.searchsorted(word[order], np.arange(len(numbers) + 1))
+        held = np.diff(first)
+        often = np.argsort(-held, kind="stable")[:DENSE_WORDS]
+        maps = {}  # of a frequent word a number for every row, of the others their rows
+        for w in often[held[often] * DENSE_SHARE >= len(sets)].tolist():
+            maps[w] = np.zeros(len(sets), np.uint8)
+            maps[w][places[first[w] : first[w + 1]]] = 1
+
+        qids, ids, shared, sizes_of = [], [], [], []
+        for at, words in enumerate(asked["words"].to_pylist()):
+            own = words.split(" ")
+            count = np.zeros(len(sets), np.uint8 if len(own) < 256 else np.int32)
+            for w in own:
+                if (number := numbers.get(w)) is None:
+                    continue
+                if number in maps:
+                    count += maps[number]
+                else:
+                    count[places[first[number] : first[number + 1]]] += 1
+            least = int(count.max(initial=0))
+            while least > 1 and np.count_nonzero(count >= least) < k:
+                least -= 1
+            if least:
+                found = np.flatnonzero(count >= least)
+                found = found[np.argsort(-count[found].astype(np.int32), kind="stable")[:k]]
+                qids.append(np.full(len(found), at))
+                ids.append(found)
+                shared.append(count[found].astype(np.int64))
+                sizes_of.append(np.full(len(found), len(own)))
+        whole = lambda parts: np.concatenate(parts) if parts else np.zeros(0, np.int64)
+        return pa.table({"qid": asked["qid"].take(pa.array(whole(qids))), "id": rows["id"].take(pa.array(whole(ids))), "shared": whole(shared), "n": whole(sizes_of)})
+
+    return best
+
+
+def top_overlap(rows: DataFrame, asked: DataFrame, k: int, block: int = BLOCK) -> DataFrame:
     """(qid, id, score) of the k rows (id, exact, tokens) that share most tokens with each question (qid, exact, tokens).
 
-    A question first meets rows through its rare tokens, those that at most
-    ``rounds[0]`` token sets hold, and its candidates are scored on whole sets.  A row
-    that shares none of the tokens used so far shares at most the others; a question
-    of which the k-th candidate shares more is done, and only the rest go on to more
-    frequent tokens.  Rows with equal tokens score alike, so the k of least id stand
-    for all of them; likewise for rows with an equal question.  Rows that share nothing
-    have no score.
+    Rows and questions are dealt to blocks of about ``block`` members, and every block
+    of rows meets every block of questions in a group of its own, which gives the k best
+    of its rows for each question.  Only these are shuffled, never the pairs that share a
+    token, and a group's memory is that of its two blocks.  Rows with equal tokens score
+    alike, so the k of least id stand for all of them; likewise for rows with an
+    equal question.  Rows that share nothing have no score.
     """
     asked = materialize(asked)
     same = _least_of_equals(rows.select("id", "exact"), "exact", k).join(asked.select("qid", "exact"), "exact").select("qid", "id", F.lit(1.0).alias("score"))
-    sets = materialize(_least_of_equals(rows.select("id", "tokens").where("size(tokens) > 0"), "tokens", k))
-    held = sets.select("id", F.explode("tokens").alias("token"))
-    seen = held.groupBy("token").agg(F.count("*").alias("df"))
-    pairs = materialize(asked.select("qid", F.explode("tokens").alias("token")).join(seen, "token"))
-    sizes = asked.select("qid", "tokens", F.size("tokens").alias("n"))
-    best = materialize(same)
-    open_queries = materialize(pairs.groupBy("qid").agg(F.count("*").alias("known")))
-    least = 0
-    for most in rounds:
-        there = pairs if most is None else pairs.where(F.col("df") <= most)
-        fresh = there.where(F.col("df") > least).join(open_queries.select("qid"), "qid", "left_semi")
-        met = fresh.select("qid", "token").join(held, "token").select("qid", "id").distinct()
-        scored = met.join(sizes, "qid").join(sets.withColumnRenamed("tokens", "others"), "id").select("qid", "id", (F.size(F.array_intersect("tokens", "others")) / F.greatest(F.lit(1), "n")).alias("score"))
-        merged = best.unionByName(scored).groupBy("qid", "id").agg(F.max("score").alias("score"))
-        best = materialize(top_k(merged, k, [F.desc("score"), F.asc("id")], rank="_rank"))
-        if most is None:
-            break
-        # what a row can share that no token so far has met, against the k-th score
-        left = pairs.where(F.col("df") > most).groupBy("qid").agg(F.count("*").alias("left"))
-        reached = best.where(F.col("_rank") == k).select("qid", "score")
-        state = open_queries.join(left, "qid").join(sizes.select("qid", "n"), "qid").join(reached, "qid", "left")
-        open_queries = materialize(state.where(F.col("score").isNull() | (F.col("left") / F.greatest(F.lit(1), "n") >= F.col("score"))).select("qid", "known"))
-        best, least = best.drop("_rank"), most
-        if open_queries.isEmpty():
-            break
-    return best.select("qid", "id", "score")
+    words = F.array_join("tokens", " ").alias("words")  # no token holds a blank
+    sets = materialize(_least_of_equals(rows.where("size(tokens) > 0").select("id", words), "words", k))
+    questions = asked.where("size(tokens) > 0").select("qid", words)
+    blocks, parts = (max(LEAST_BLOCKS, -(-side.count() // block)) for side in (sets, questions))
+    dealt = lambda key, many: F.pmod(F.xxhash64(key), F.lit(many)).cast("int")
+    each = lambda many: F.explode(F.sequence(F.lit(0), F.lit(many - 1)))
+    left = sets.select(dealt("id", blocks).alias("block"), each(parts).alias("part"), "id", "words")
+    right = questions.select(each(blocks).alias("block"), dealt("qid", parts).alias("part"), "qid", "words")
+    kinds = {name: side.schema[name].dataType.simpleString() for side, name in ((asked, "qid"), (sets, "id"))}
+    met = left.groupBy("block", "part").cogroup(right.groupBy("block", "part"))
+    best = met.applyInArrow(_overlaps_of_block(k), f"qid {kinds['qid']}, id {kinds['id']}, shared long, n long")
+    scored = best.select("qid", "id", (F.col("shared") / F.col("n")).alias("score"))
+    merged = same.unionByName(scored).groupBy("qid", "id").agg(F.max("score").alias("score"))
+    return materialize(top_k(merged, k, [F.desc("score"), F.asc("id")], rank="_rank")).select("qid", "id", "score")
 
 
 def answer_candidates(rows: DataFrame, questions: DataFrame, k: int = 5) -> DataFrame:
