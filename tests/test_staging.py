@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from lexmill.plans import staging
+from lexmill.plans import components, staging
 from lexmill.plans.staging import join_counted, join_hot, materialize, rank_within
 
 
@@ -49,3 +49,23 @@ def test_ranks_of_a_group_over_many_tasks(spark, skewed):
     parts = {r[0]: r[1] for r in rows.repartitionByRange(staging.partitions(spark), "k", "row").groupBy(F.spark_partition_id().alias("p")).count().collect()}
     assert max(parts.values()) < 3000  # the hot key is dealt over ranges
     assert rank_within(rows.limit(0), "k", "row", "place").collect() == []
+
+
+@pytest.mark.parametrize("few", [True, False])
+def test_components_of_few_edges_leave_few_files(spark, monkeypatch, few):
+    parts, session = [], spark.newSession()
+    for key, value in (("spark.sql.shuffle.partitions", "40"), ("spark.sql.adaptive.coalescePartitions.enabled", "false")):
+        session.conf.set(key, value)
+    if not few:
+        monkeypatch.setattr(components, "BROADCAST_ROWS", 0)
+
+    def kept(df):
+        done = staging.materialize(df)
+        parts.append(done.rdd.getNumPartitions())
+        return done
+
+    monkeypatch.setattr(components, "materialize", kept)
+    edges = session.createDataFrame([(i, i + 1) for i in range(30)] + [(100, i) for i in range(101, 200)], "a long, b long")
+    got = {r["node"]: r["component"] for r in components.connected_components(edges).collect()}
+    assert got == {**dict.fromkeys(range(31), 0), **dict.fromkeys(range(100, 200), 100)}
+    assert max(parts[1:]) <= (components.LEAST_TASKS if few else 40)
