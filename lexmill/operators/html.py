@@ -14,7 +14,9 @@ from collections.abc import Callable, Iterator
 from html.parser import HTMLParser
 from urllib.parse import urljoin
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -28,6 +30,9 @@ VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "met
 FILE_SUFFIXES = [".pdf", ".doc", ".docx"]
 FILE_WORDS = ["bản pdf", "tải về", *FILE_SUFFIXES]
 
+#: Bytes and rows of pages that are parsed before their results go on.
+SLICE_BYTES, SLICE_ROWS = 1 << 20, 256
+
 
 class Node:
     """An element, or the document when the tag is empty."""
@@ -133,19 +138,33 @@ def links(html: str | None, base_url: str | None) -> list[dict]:
     return [{"href": urljoin(base_url or "", n.attributes["href"]), "label": n.text()} for n in found]
 
 
-def _map_rows(df: DataFrame, inputs: list[str], make: Callable[..., dict], fields: list[T.StructField]) -> DataFrame:
-    """Add ``fields`` made from ``inputs`` row by row inside Arrow batches."""
-    from pyspark.sql.pandas.types import to_arrow_type
+def _slices(batch: pa.RecordBatch, columns: list[str]) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``SLICE_BYTES`` in the columns, one row at least."""
+    sizes = sum(np.asarray(pc.fill_null(pc.binary_length(batch.column(c)), 0).to_numpy(zero_copy_only=False), np.int64) for c in columns)
+    ends = np.cumsum(sizes)
+    at = 0
+    while at < batch.num_rows:
+        before = int(ends[at - 1]) if at else 0
+        end = min(max(at + 1, int(np.searchsorted(ends, before + SLICE_BYTES, "right"))), at + SLICE_ROWS)
+        yield batch.slice(at, end - at)
+        at = end
+
 
-    kinds = [to_arrow_type(f.dataType) for f in fields]
+def _mapped(batches: Iterator[pa.RecordBatch], inputs: list[str], make: Callable[..., dict], kinds: dict[str, pa.DataType]) -> Iterator[pa.RecordBatch]:
+    """Batches with the made columns; Python holds the values of one slice at a time, whatever the batch and the pages in it."""
+    for batch in batches:
+        for part in _slices(batch, inputs):
+            rows = [make(*values) for values in zip(*(part.column(c).to_pylist() for c in inputs), strict=True)]
+            made = [pa.array([r[name] for r in rows], kind) for name, kind in kinds.items()]
+            yield pa.RecordBatch.from_arrays([*part.columns, *made], names=[*part.schema.names, *kinds])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = [make(*values) for values in zip(*(batch.column(c).to_pylist() for c in inputs), strict=True)]
-            made = [pa.array([r[f.name] for r in rows], kind) for f, kind in zip(fields, kinds, strict=True)]
-            yield pa.RecordBatch.from_arrays([*batch.columns, *made], names=[*batch.schema.names, *(f.name for f in fields)])
 
-    return df.mapInArrow(run, T.StructType([*df.schema.fields, *fields]))
+def _map_rows(df: DataFrame, inputs: list[str], make: Callable[..., dict], fields: list[T.StructField]) -> DataFrame:
+    """Add ``fields`` made from the string columns ``inputs`` row by row inside Arrow batches."""
+    from pyspark.sql.pandas.types import to_arrow_type
+
+    kinds = {f.name: to_arrow_type(f.dataType) for f in fields}
+    return df.mapInArrow(lambda batches: _mapped(batches, inputs, make, kinds), T.StructType([*df.schema.fields, *fields]))
 
 
 def with_text_and_title(pages: DataFrame, html: str = "html", url: str = "url") -> DataFrame:
