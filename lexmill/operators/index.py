@@ -24,6 +24,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from lexmill.functions.tokens import index_tokens
 from lexmill.plans.staging import materialize, partitions, small_or_shuffled
 from lexmill.sources.readers import path_exists
 
@@ -52,27 +53,40 @@ def _settings(spark: SparkSession, path: str, buckets: int = BUCKETS, shards: in
     return tuple(spark.read.parquet(f"{path}/settings").first())
 
 
+def _row_postings(rows: DataFrame, columns: list[str], row_id: str) -> DataFrame:
+    """(token, rowid, dl, packed) of each distinct token of a row; a place is column * 2**32 + position, in order."""
+
+    def placed(column: str, number: int) -> Column:
+        return F.transform(index_tokens(F.col(column)), lambda t, p: F.struct(t.alias("token"), (p.cast("long") + F.lit(number << 32)).alias("place")))
+
+    each = F.array(*[placed(c, i) for i, c in enumerate(columns)])
+    split = rows.select(F.col(row_id).alias("rowid"), F.array_sort(F.flatten(each)).alias("all")).where("size(all) > 0")
+    first = F.filter(F.sequence(F.lit(1), F.size("all")), lambda i: (i == 1) | (F.get("all", i - 1)["token"] != F.get("all", i - 2)["token"]))
+    starts = split.select("rowid", "all", F.concat(first, F.array(F.size("all") + 1)).alias("starts"))
+    runs = F.transform(F.slice("starts", 1, F.size("starts") - 1), lambda s, k: F.struct(F.get("all", s - 1)["token"].alias("token"), F.transform(F.slice("all", s, F.get("starts", k + 1) - s), lambda x: x["place"]).alias("packed")))
+    return starts.select("rowid", F.size("all").alias("dl"), F.explode(runs).alias("r")).select("r.token", "rowid", "dl", "r.packed")
+
+
 def write_batch(rows: DataFrame, path: str, batch: int, columns: list[str], *, row_id: str = "rowid", buckets: int = BUCKETS, shards: int = SHARDS) -> None:
     """Index the given columns of new rows as one batch."""
     spark = rows.sparkSession
     buckets, shards = _settings(spark, path, buckets, shards)
     there = rows.where(F.col(row_id).isNotNull())
-    tokens = bm25.token_rows(there, columns, row_id)
-    length = Window.partitionBy("rowid")
-    if len(columns) == 1:  # the only column is the row
-        counted = tokens.withColumn("dl", F.size("tokens"))
-    else:
-        counted = tokens.withColumn("dl", F.sum(F.size("tokens")).over(length).cast("int"))
-    placed = counted.select("rowid", "dl", "col", F.posexplode("tokens").alias("pos", "token"))
-    postings = placed.groupBy("token", "rowid").agg(F.count("*").cast("int").alias("f"), F.first("dl").alias("dl"), F.array_sort(F.collect_list(F.struct("col", "pos"))).alias("places"))
-    postings = postings.withColumns({"shard": F.pmod(F.xxhash64("rowid"), F.lit(shards)).cast("int"), "bucket": _bucket(F.col("token"), buckets), "batch": F.lit(batch)})
     parts = max(1, partitions(spark) // buckets)  # tasks of a bucket; a token of most rows is dealt over them by shard
-    dealt = postings.repartition(partitions(spark), "bucket", F.pmod(F.xxhash64("token", "shard"), F.lit(parts)))
-    _write(dealt.sortWithinPartitions("bucket", "token", "shard", "rowid"), f"{path}/postings", "batch", "bucket")
-
-    stored = spark.read.schema(postings.schema).parquet(f"{path}/postings").where(F.col("batch") == batch)
-    blocks = stored.groupBy("batch", "bucket", "token", "shard").agg(F.count("*").alias("rows"), F.max("f").alias("most"), F.min("dl").alias("shortest"))
-    _write(blocks.repartition(partitions(spark), "bucket", F.pmod(F.xxhash64("token"), F.lit(parts))).sortWithinPartitions("bucket", "token", "shard"), f"{path}/blocks", "batch", "bucket")
+    shard = F.pmod(F.xxhash64("rowid"), F.lit(shards)).cast("int")
+    deal = lambda df: df.repartition(partitions(spark), "bucket", F.pmod(F.xxhash64("token", "shard"), F.lit(parts)))
+
+    # a token's places are brought together inside the row, so postings are shuffled once, places as one number each
+    postings = deal(_row_postings(there, columns, row_id).withColumns({"shard": shard, "bucket": _bucket(F.col("token"), buckets)}))
+    places = F.transform("packed", lambda p: F.struct(F.shiftright(p, 32).cast("int").alias("col"), p.bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("pos")))
+    postings = postings.select("token", "rowid", F.size("packed").alias("f"), "dl", places.alias("places"), "shard", F.lit(batch).alias("batch"), "bucket")
+    _write(postings.sortWithinPartitions("bucket", "token", "shard", "rowid"), f"{path}/postings", "batch", "bucket")
+
+    stored = spark.read.schema(postings.schema).parquet(f"{path}/postings").where(F.col("batch") == batch).select("token", "shard", "f", "dl", "bucket")
+    placed = stored.withColumn("part", F.pmod(F.xxhash64("token", "shard"), F.lit(parts))).repartition(partitions(spark), "bucket", "part")  # grouped where it lies and is written
+    blocks = placed.groupBy("bucket", "part", "token", "shard").agg(F.count("*").alias("rows"), F.max("f").alias("most"), F.min("dl").alias("shortest"))
+    blocks = blocks.select("token", "shard", "rows", "most", "shortest", F.lit(batch).alias("batch"), "bucket")
+    _write(blocks.sortWithinPartitions("bucket", "token", "shard"), f"{path}/blocks", "batch", "bucket")
     _write(bm25.build_lengths(there, columns, row_id).withColumn("batch", F.lit(batch)), f"{path}/lengths", "batch")
 
 

@@ -6,7 +6,7 @@ import re
 
 from pyspark.sql import functions as F
 
-from lexmill.operators import bm25
+from lexmill.operators import bm25, index
 
 
 def plan_of(df):
@@ -21,3 +21,16 @@ def test_scores_do_not_gather_a_frequent_token(spark):
     # neither the matches of a token nor the pairs of a query and a row are brought together
     assert "SortMergeJoin" not in plan and "hashpartitioning(qid, rowid" not in re.sub(r"#\d+L?", "", plan)
     assert {(r["qid"], r["rank"]) for r in found.collect()} == {(q, k) for q in range(20) for k in range(1, 6)}
+
+
+def test_postings_of_a_row_need_no_shuffle(spark):
+    rows = spark.createDataFrame([(1, "b a b", "A c"), (2, None, "x"), (3, "", None), (4, "z " * 300, "b")], "rowid long, title string, text string")
+    made = index._row_postings(rows, ["title", "text"], "rowid")
+    assert "Exchange" not in plan_of(made)
+    want = {}
+    for r in rows.collect():
+        for col, text in enumerate((r["title"], r["text"])):
+            for pos, token in enumerate((text or "").lower().split()):
+                want.setdefault((token, r["rowid"]), []).append((col, pos))
+    assert {(r["token"], r["rowid"]): [(p >> 32, p & 0xFFFFFFFF) for p in r["packed"]] for r in made.collect()} == want
+    assert {r["rowid"]: r["dl"] for r in made.collect()} == {1: 5, 2: 1, 4: 301}
