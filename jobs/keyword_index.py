@@ -57,7 +57,7 @@ def run(spark: SparkSession, documents: str, index_path: str, checkpoint: str, c
 
 def postings(spark: SparkSession, index_path: str) -> DataFrame:
     """The index as it stands: token, rowid, occurrences and the row's length."""
-    return spark.read.parquet(f"{index_path}/postings").select("token", "rowid", "f", "dl")
+    return index.postings(spark, index_path).select("token", "rowid", "f", "dl")
 
 
 def main() -> None:

@@ -80,3 +80,11 @@ def index_tokens(text: Column) -> Column:
     """Tokens of the keyword index: letters and numbers, single diacritics removed."""
     lowered = F.regexp_replace(F.lower(F.translate(text_or_empty(text), *_index_table())), r"\p{Mn}+", "")
     return F.filter(F.split(lowered, r"[^\p{L}\p{N}\p{Co}]+"), lambda t: t != "")
+
+
+def index_text(text: Column) -> Column:
+    """The tokens of ``index_tokens`` joined by blanks; letters of ASCII texts need no table."""
+    plain = text_or_empty(text)
+    folded = F.regexp_replace(F.lower(F.translate(plain, *_index_table())), r"\p{Mn}+", "")
+    words = F.when(F.octet_length(plain) == F.length(plain), F.regexp_replace(F.lower(plain), "[^a-z0-9]+", " ")).otherwise(F.regexp_replace(folded, r"[^\p{L}\p{N}\p{Co}]+", " "))
+    return F.btrim(words, F.lit(" "))
