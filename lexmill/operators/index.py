@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexmill.functions.tokens import index_text
-from lexmill.plans.staging import materialize, partitions, small_or_shuffled
+from lexmill.plans.staging import BROADCAST_ROWS, materialize, partitions, small_or_shuffled
 from lexmill.sources.readers import path_exists
 
 from . import bm25
@@ -168,7 +168,10 @@ def _postings(spark: SparkSession, path: str, tokens: DataFrame, table: str = "p
     """The blocks of the named tokens; only their buckets are opened."""
     rows = spark.read.schema(SCHEMAS[table]).parquet(f"{path}/{table}")  # a table without a row has no file to tell its columns
     wanted = sorted(r["bucket"] for r in tokens.select("bucket").distinct().collect())  # at most the index's buckets
-    return rows.where(F.col("bucket").isin(wanted)).join(small_or_shuffled(tokens.select("token"), tokens.count()), "token", "left_semi")
+    rows, count = rows.where(F.col("bucket").isin(wanted)), tokens.count()
+    if count <= BROADCAST_ROWS:  # most blocks are of other tokens, and a number is looked up faster than a word
+        rows = rows.join(F.broadcast(tokens.select(F.xxhash64("token").alias("_h"))), F.xxhash64("token") == F.col("_h"), "left_semi")
+    return rows.join(small_or_shuffled(tokens.select("token"), count), "token", "left_semi")
 
 
 def _phrase_counts(hits: DataFrame, phrases: DataFrame) -> DataFrame:
